@@ -1,0 +1,32 @@
+"""Size-checked broadcast for lookup joins.
+
+A broadcast copies one side to every executor, so it is only safe for a side
+whose size is known to be small. Spark's own estimate is unreliable for a
+filtered or derived lookup (a filter keeps the parent's full size estimate),
+so the row count is checked with a bounded job: ``limit(n + 1).count()``
+stops reading as soon as it has seen more than ``n`` rows.
+
+Within the bound the side is broadcast and the large side is never shuffled.
+Beyond it the join is left to the planner: a shuffle join on the key, which
+adaptive execution may still turn into a broadcast at run time, and whose
+skewed partitions it splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup of this many rows of a few short strings stays within a few MB
+# per executor.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is within ``max_rows``, else ``df`` unchanged."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
