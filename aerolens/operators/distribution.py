@@ -63,8 +63,8 @@ def _quartiles(hist: DataFrame, whisker: float) -> DataFrame:
 
 
 def _fenced(frame: DataFrame, stats: DataFrame) -> DataFrame:
-    # ``stats`` has one row per delay column, so its size is fixed by the
-    # caller's column list and the broadcast is bounded.
+    # ``stats`` is grouped by ``delay``, whose values are the caller's column
+    # names: at most len(columns) rows, so the broadcast is bounded.
     return frame.join(F.broadcast(stats), "delay")
 
 
@@ -74,18 +74,23 @@ def box_summary(
     whisker: float = WHISKER_IQR,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
-    (whisker caps), q1, median, mean, q3, the fences and the outlier counts."""
+    (whisker caps), q1, median, mean, q3, the fences and the outlier counts.
+
+    The quartiles are computed once, broadcast back onto the histogram and
+    carried through the second aggregate as grouping columns (they are
+    functions of ``delay``), so the plan has one quartile aggregate and no
+    join after it.
+    """
     hist = value_histogram(df, columns)
     stats = _quartiles(hist, whisker)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
-    caps = _fenced(hist, stats).groupBy("delay").agg(
+    out = _fenced(hist, stats).groupBy(*stats.columns).agg(
         F.min(F.when(v >= lo, v)).alias("_low_in"),
         F.max(F.when(v <= hi, v)).alias("_high_in"),
         F.coalesce(F.sum(F.when(v < lo, n)), F.lit(0)).alias("lower_outliers"),
         F.coalesce(F.sum(F.when(v > hi, n)), F.lit(0)).alias("upper_outliers"),
     )
-    out = stats.join(caps, "delay")
     q1, q3 = F.col("q1"), F.col("q3")
     low_in, high_in = F.col("_low_in"), F.col("_high_in")
     minimum = F.when(low_in.isNull() | (low_in > q1), q1).otherwise(low_in)
@@ -134,12 +139,14 @@ def outlier_histogram(
     count 0. When all upper outliers are equal the range is widened by 0.5 on
     each side; with no upper outlier it is [0, 1] and every count is 0.
     """
-    hist = value_histogram(df, columns)
-    stats = _quartiles(hist, whisker)
     v = F.col("value")
-    upper = _fenced(hist, stats).filter(v > F.col("upper_fence")).select("delay", "value", "n")
-    spans = stats.select("delay").join(
-        upper.groupBy("delay").agg(F.min(v).alias("_lo"), F.max(v).alias("_hi")), "delay", "left"
+    hist = value_histogram(df, columns)
+    fenced = _fenced(hist, _quartiles(hist, whisker))
+    is_upper = v > F.col("upper_fence")
+    upper = fenced.filter(is_upper).select("delay", "value", "n")
+    # Every delay with any value has a row here, even with no upper outlier.
+    spans = fenced.groupBy("delay").agg(
+        F.min(F.when(is_upper, v)).alias("_lo"), F.max(F.when(is_upper, v)).alias("_hi")
     )
     lo, hi = F.col("_lo"), F.col("_hi")
     first = F.when(lo.isNull(), F.lit(0.0)).when(lo == hi, lo - 0.5).otherwise(lo)

@@ -4,6 +4,12 @@ The master is left to the deployer (spark-submit / cluster manager); only a
 test or a local run passes one. Adaptive execution is switched on so that the
 shuffle partition count, skewed partitions and join strategy are re-planned at
 run time from real sizes.
+
+Wide projections (many derived columns plus pushed-down filters) generate
+large Java methods. HotSpot does not JIT-compile methods over 8000 bytes of
+bytecode by default, and such a stage then runs interpreted, several times
+slower. ``-XX:-DontCompileHugeMethods`` lifts that limit for the driver and
+the executors; it takes effect when this builder starts the JVMs.
 """
 
 from __future__ import annotations
@@ -12,6 +18,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def build_session(
     app_name: str = "aerolens",
     master: str | None = None,
@@ -36,6 +45,8 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for side in ("driver", "executor"):
+        conf[f"spark.{side}.extraJavaOptions"] = JIT_OPTIONS
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
