@@ -20,8 +20,8 @@ def stratified_split_counts(model_rows: DataFrame, train_fraction: float = 0.8,
 
 
 def prepared_parts(model_rows: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """M8 then M3-M7: 70/30 split, feature pipeline fitted on the 70 %."""
-    train, test = ml.split_data(model_rows, (0.7, 0.3), seed)
+    """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %."""
+    train, test = ml.parts(ml.tag_split(model_rows, 0.7, seed))
     _, train_f, test_f = ml.prepare(train, test)
     return train_f, test_f
 

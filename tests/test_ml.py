@@ -77,3 +77,22 @@ def test_default_model_settings():
     assert lr.getMaxIter() == 10
     svc = models["Linear SVM (one-vs-rest)"].getClassifier()
     assert svc.getMaxIter() == 10 and svc.getRegParam() == 0.1
+
+
+def test_evaluate_matches_spark_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    pred = spark.createDataFrame(
+        [(0.0, 0.0)] * 50 + [(0.0, 1.0)] * 7 + [(1.0, 1.0)] * 20 + [(1.0, 2.0)] * 9
+        + [(2.0, 0.0)] * 11 + [(2.0, 2.0)] * 3 + [(1.0, 0.0)] * 4,
+        "label_index double, prediction double",
+    )
+    mine = ml.evaluate(pred)
+    for metric in ("f1", "accuracy"):
+        ev = MulticlassClassificationEvaluator(
+            labelCol="label_index", predictionCol="prediction", metricName=metric
+        )
+        assert mine[metric] == pytest.approx(ev.evaluate(pred), rel=1e-12)
+    never_predicted = spark.createDataFrame([(0.0, 1.0), (1.0, 1.0)], "label_index double, prediction double")
+    ev = MulticlassClassificationEvaluator(labelCol="label_index", predictionCol="prediction")
+    assert ml.evaluate(never_predicted)["f1"] == pytest.approx(ev.evaluate(never_predicted), rel=1e-12)
