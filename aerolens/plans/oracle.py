@@ -288,8 +288,7 @@ rng AS (
          CASE WHEN hi IS NULL THEN 1.0E0 WHEN lo = hi THEN hi + 0.5 ELSE hi END AS last
   FROM span),
 r2 AS (SELECT delay, first, last, (last - first) / 10.0 AS step FROM rng),
-bins AS (SELECT delay, first, last, step, CAST(b.i AS INTEGER) AS bin
-         FROM r2 JOIN (SELECT UNNEST(range(10)) AS i) b ON TRUE),
+bins AS (SELECT delay, first, last, step, CAST(UNNEST(range(10)) AS INTEGER) AS bin FROM r2),
 binned AS (SELECT u.delay, 0{_bin_case()} AS bin FROM up u JOIN r2 r ON u.delay = r.delay)
 SELECT b.delay, b.bin,
        CAST(b.bin AS DOUBLE) * b.step + b.first AS bin_start,
