@@ -170,7 +170,8 @@ def outlier_histogram(
         (b.cast("double") * step_c + first_c).alias("bin_start"),
         F.when(b == bins - 1, last_c).otherwise((b + 1).cast("double") * step_c + first_c).alias("bin_end"),
     )
-    out = edges.join(counts, ["delay", "bin"], "left")
+    # ``counts`` has at most len(columns) x bins rows: a bounded broadcast.
+    out = edges.join(F.broadcast(counts), ["delay", "bin"], "left")
     return out.select(
         "delay", "bin", "bin_start", "bin_end",
         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
