@@ -105,3 +105,24 @@ def test_streaming_ingest_processes_each_file_once(spark, scratch):
     cols = [c for c in want.columns]
     assert got.count() == want.count()
     assert sorted(rows(got.select(*cols)), key=str) == sorted(rows(want), key=str)
+
+
+def test_report_run_end_to_end(spark, scratch):
+    from aerolens.plans.catalog import queries
+    from aerolens.plans.reporting import run_reports
+
+    flights = load_flights(spark, SF_SMALL)
+    airports = load_airports(spark, SF_SMALL)
+    _write_csv(flights, f"{scratch}/flights")
+    _write_csv(airports, f"{scratch}/airports")
+    written = run_reports(
+        spark, [f"{scratch}/flights"], f"{scratch}/airports", f"{scratch}/out",
+        "NATION_5", "NATION_7", years=[1998], flights_schema=FIXTURE_FLIGHTS_SCHEMA,
+    )
+    registry = queries()
+    for name in ("top_states_per_year", "two_state_comparison", "delay_box_summary",
+                 "top_origin_pairs_by_daypart", "label_counts", "null_percentages"):
+        got = spark.read.parquet(written[name])
+        want = registry[name](spark, SF_SMALL)
+        assert sorted(rows(got.select(*want.columns)), key=str) == sorted(rows(want), key=str), name
+    assert "top_destination_states_1998" in written
