@@ -139,16 +139,23 @@ def perceptron(
     )
 
 
-def logistic_one_vs_rest(max_iter: int = 10) -> Estimator:
+# One-vs-rest fits one binary model per class; they are independent, so they
+# run as concurrent Spark jobs (one per class of the three labels).
+OVR_PARALLELISM = 3
+
+
+def logistic_one_vs_rest(max_iter: int = 10, parallelism: int = OVR_PARALLELISM) -> Estimator:
     """One-vs-rest over binary logistic regression."""
     lr = LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, maxIter=max_iter)
-    return OneVsRest(classifier=lr, labelCol=LABEL, featuresCol=FEATURES)
+    return OneVsRest(classifier=lr, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
 
 
-def svm_one_vs_rest(max_iter: int = 10, reg_param: float = 0.1) -> Estimator:
+def svm_one_vs_rest(
+    max_iter: int = 10, reg_param: float = 0.1, parallelism: int = OVR_PARALLELISM
+) -> Estimator:
     """One-vs-rest over a linear SVM."""
     svc = LinearSVC(labelCol=LABEL, featuresCol=FEATURES, maxIter=max_iter, regParam=reg_param)
-    return OneVsRest(classifier=svc, labelCol=LABEL, featuresCol=FEATURES)
+    return OneVsRest(classifier=svc, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
 
 
 def confusion(predictions: DataFrame) -> DataFrame:
