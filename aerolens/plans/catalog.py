@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from aerolens.operators import distribution, filters, quality, reports
 from aerolens.operators.setops import combine
+from aerolens.plans import single_pass
 from aerolens.plans.modeling import feature_vectors, model_comparison, stratified_split_counts
 from aerolens.plans.tables import enriched_flights, labelled_flights, model_input
 from aerolens.sources.fixture import load_flights
@@ -83,6 +84,8 @@ def queries() -> dict[str, Query]:
         "parts_of_day_share": _report(reports.parts_of_day_share),
         "top_origin_pairs_by_daypart": _report(reports.top_origin_pairs_by_daypart),
         "top_destination_pairs_by_daypart": _report(reports.top_destination_pairs_by_daypart),
+        # the base measures of all reports from one scan (GROUPING SETS)
+        "report_aggregates": lambda s, d: single_pass.report_aggregates(_enriched(s, d)),
         # cleaning and labels
         "flown_flights": _flown,
         "without_outliers": lambda s, d: labelled_flights(_enriched(s, d)),

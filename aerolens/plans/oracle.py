@@ -14,6 +14,7 @@ Every LIMIT carries a full tie-break with explicit null ordering.
 from __future__ import annotations
 
 from aerolens.plans.catalog import STATE_A, STATE_B
+from aerolens.plans.single_pass import KEY_COLUMNS, REPORT_KEYS
 
 FLIGHT_COLUMNS = [
     "FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME", "DEP_TIME", "DEP_DELAY",
@@ -141,6 +142,24 @@ def _bin_case(k: int = 10) -> str:
     )
 
 
+def _report_aggregates() -> str:
+    keys = ", ".join(KEY_COLUMNS)
+    sets = ", ".join("(" + ", ".join(k) + ")" for k in REPORT_KEYS.values())
+    return _with(
+        f"""
+SELECT {keys},
+       COUNT(*) AS scheduled, COUNT(DEP_TIME) AS flown, COUNT(ARR_TIME) AS arrived,
+       COUNT(ORIGIN) AS origins,
+       SUM(DEP_DELAY) AS dep_delay_sum, COUNT(DEP_DELAY) AS dep_delay_n,
+       SUM(ARR_DELAY) AS arr_delay_sum, COUNT(ARR_DELAY) AS arr_delay_n,
+       SUM(TAXI_OUT) AS taxi_out_sum, COUNT(TAXI_OUT) AS taxi_out_n,
+       SUM(DISTANCE) AS distance,
+       GROUPING({keys}) AS set_id
+FROM enriched
+GROUP BY GROUPING SETS ({sets})"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     flight_cols = ", ".join(FLIGHT_COLUMNS)
     all_cols = FLIGHT_COLUMNS + EXTRA_COLUMNS
@@ -243,6 +262,7 @@ SELECT s1.Year, State1, State2 FROM s1 JOIN s2 ON s1.Year = s2.Year"""
         "top_destination_pairs_by_daypart": _ranked(
             pairs, "Parts_of_day", "DestCount", "Parts_of_day, DestinationCity, DestCount"
         ),
+        "report_aggregates": _report_aggregates(),
         "flown_flights": _with("SELECT * FROM flown"),
         "without_outliers": _with("SELECT * FROM labelled"),
         "model_input": _with(

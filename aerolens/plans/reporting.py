@@ -1,13 +1,14 @@
 """End-to-end report run over real files.
 
 Reads the yearly flight files and the airport lookup, writes the enriched
-table once (Parquet, partitioned by Year), then computes every report from
-that stored table and writes the data behind each chart with the report
-sink. The profile of the raw files, the delay distribution and, on request,
-the model comparison are written the same way.
+table once (Parquet, partitioned by Year), then computes every aggregate
+report from that stored table in a single scan (``single_pass``) and writes
+the data behind each chart with the report sink. The profile of the raw
+files, the delay distribution, the label counts and, on request, the model
+comparison are written the same way.
 
-Storing the enriched table first means the enrichment runs once, and every
-report reads only the columns it needs, with year filters pruning folders.
+Storing the enriched table first means the enrichment runs once; the
+grouping-sets aggregate then reads the table once for all seventeen reports.
 
 Usage:
     python -m aerolens.plans.reporting --flights 'data/*.csv' \\
@@ -23,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolens.operators import distribution, filters, quality, reports
+from aerolens.operators import distribution, filters, quality
+from aerolens.plans import single_pass
 from aerolens.operators.enrich import enrich
 from aerolens.plans.modeling import model_comparison
 from aerolens.plans.tables import labelled_flights, model_input, read_enriched, store_enriched
@@ -39,38 +41,19 @@ def report_frames(
     state_b: str,
     years: Sequence[int] = (),
 ) -> dict[str, DataFrame]:
-    """Every report of the enriched table, by name. Per-year reports are
-    computed for all years at once, plus one filtered copy per requested year."""
+    """Every report of the enriched table, by name: the aggregate reports from
+    one grouping-sets scan (per-year reports for all years at once, plus one
+    filtered copy per requested year), then distribution and labels."""
     flown = filters.not_cancelled(enriched)
-    origin_pairs, dest_pairs = reports.top_cities_by_daypart(enriched)
-    out = {
-        "top_origins": reports.top_origins(enriched),
-        "flights_per_month": reports.flights_per_month(enriched),
-        "flights_per_carrier": reports.flights_per_carrier(enriched),
-        "top_destination_states": reports.top_destination_states(enriched),
-        "flights_per_weekday": reports.flights_per_weekday(enriched),
-        "top_states_per_year": reports.top_states_per_year(enriched),
-        "top_cities_in_state_per_year": reports.top_cities_in_state_per_year(enriched, state_a),
-        "two_state_comparison": reports.two_state_comparison(enriched, state_a, state_b),
-        "top_carriers_per_weekday": reports.top_carriers_per_weekday(enriched),
-        "top_carriers_per_year": reports.top_carriers_per_year(enriched),
-        "carrier_average_delays": reports.carrier_average_delays(enriched),
-        "airport_departure_delay": reports.airport_departure_delay(enriched),
-        "airport_taxi_out": reports.airport_taxi_out(enriched),
-        "carrier_distance_per_year": reports.carrier_distance_per_year(enriched),
-        "top_states_per_season": reports.top_states_per_season(enriched),
-        "parts_of_day_share": reports.parts_of_day_share(enriched),
-        "top_origin_pairs_by_daypart": origin_pairs,
-        "top_destination_pairs_by_daypart": dest_pairs,
+    out = single_pass.all_reports(enriched, state_a, state_b, years)
+    out.update({
         "delay_box_summary": distribution.box_summary(flown),
         "delay_outliers": distribution.delay_outliers(flown),
         "outlier_histogram": distribution.outlier_histogram(flown),
         "label_counts": labelled_flights(enriched)
         .groupBy("Labels")
         .agg(F.count(F.lit(1)).alias("Number")),
-    }
-    for year in years:
-        out[f"top_destination_states_{year}"] = reports.top_destination_states(enriched, year=year)
+    })
     return out
 
 
