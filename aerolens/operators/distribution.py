@@ -26,6 +26,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolens.session import stable
+
 # The delay columns summarised, the whisker length in IQRs and
 # the number of histogram bins.
 DELAY_COLUMNS = ("ARR_DELAY", "DEP_DELAY")
@@ -72,6 +74,7 @@ def box_summary(
     df: DataFrame,
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
+    hist: DataFrame | None = None,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
     (whisker caps), q1, median, mean, q3, the fences and the outlier counts.
@@ -79,9 +82,9 @@ def box_summary(
     The quartiles are computed once, broadcast back onto the histogram and
     carried through the second aggregate as grouping columns (they are
     functions of ``delay``), so the plan has one quartile aggregate and no
-    join after it.
+    join after it. ``hist`` is a precomputed ``value_histogram`` to reuse.
     """
-    hist = value_histogram(df, columns)
+    hist = value_histogram(df, columns) if hist is None else hist
     stats = _quartiles(hist, whisker)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
@@ -106,10 +109,12 @@ def delay_outliers(
     df: DataFrame,
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
+    hist: DataFrame | None = None,
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
-    stats = _quartiles(value_histogram(df, columns), whisker)
+    hist = value_histogram(df, columns) if hist is None else hist
+    stats = _quartiles(hist, whisker)
     v = F.col("value")
     rows = _fenced(delay_values(df, columns), stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
@@ -132,6 +137,7 @@ def outlier_histogram(
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
     bins: int = HISTOGRAM_BINS,
+    hist: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width bins over the upper outliers of each delay column.
 
@@ -140,7 +146,7 @@ def outlier_histogram(
     each side; with no upper outlier it is [0, 1] and every count is 0.
     """
     v = F.col("value")
-    hist = value_histogram(df, columns)
+    hist = value_histogram(df, columns) if hist is None else hist
     fenced = _fenced(hist, _quartiles(hist, whisker))
     is_upper = v > F.col("upper_fence")
     upper = fenced.filter(is_upper).select("delay", "value", "n")
@@ -176,3 +182,20 @@ def outlier_histogram(
         "delay", "bin", "bin_start", "bin_end",
         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
     ).orderBy("delay", "bin")
+
+
+def delay_reports(
+    df: DataFrame,
+    columns: Sequence[str] = DELAY_COLUMNS,
+    whisker: float = WHISKER_IQR,
+    bins: int = HISTOGRAM_BINS,
+) -> dict[str, DataFrame]:
+    """D1-D4 together: the value histogram is computed and materialised once
+    (it is small), and the summary and the bins are computed from it; only
+    the outlier rows read ``df`` again."""
+    hist = stable(value_histogram(df, columns))
+    return {
+        "delay_box_summary": box_summary(df, columns, whisker, hist),
+        "delay_outliers": delay_outliers(df, columns, whisker, hist),
+        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist),
+    }

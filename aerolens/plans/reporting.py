@@ -46,10 +46,8 @@ def report_frames(
     filtered copy per requested year), then distribution and labels."""
     flown = filters.not_cancelled(enriched)
     out = single_pass.all_reports(enriched, state_a, state_b, years)
+    out.update(distribution.delay_reports(flown))
     out.update({
-        "delay_box_summary": distribution.box_summary(flown),
-        "delay_outliers": distribution.delay_outliers(flown),
-        "outlier_histogram": distribution.outlier_histogram(flown),
         "label_counts": labelled_flights(enriched)
         .groupBy("Labels")
         .agg(F.count(F.lit(1)).alias("Number")),

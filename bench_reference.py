@@ -116,3 +116,17 @@ LIBRARY_EQUIVALENT = {
     "delay_distribution": ["delay_box_summary", "delay_outliers", "outlier_histogram"],
     "model_comparison": ["model_comparison"],
 }
+
+
+def library_delay_reports(spark, sf_dir):
+    """The library computing all three delay outputs at once (one shared,
+    materialised histogram), the like-for-like counterpart of the shape."""
+    from aerolens.operators.distribution import delay_reports
+
+    flown = enriched_flights(spark, sf_dir).filter(F.col("CANCELLED") != 1)
+    for frame in delay_reports(flown).values():
+        frame.write.format("noop").mode("overwrite").save()
+
+
+# Shapes compared with one combined library call instead of separate queries.
+LIBRARY_COMBINED = {"delay_distribution": library_delay_reports}

@@ -86,3 +86,14 @@ def test_histogram_stays_distributed(spark):
     df = make(spark, [1.0, 2.0], [3.0, 4.0])
     plan = D.box_summary(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan or "partial_percentile" in plan
+
+
+def test_delay_reports_share_one_histogram(spark):
+    rng = np.random.default_rng(3)
+    arr = np.round(rng.normal(0, 15, 800) + (rng.random(800) < 0.05) * 300).tolist()
+    dep = np.round(rng.normal(2, 9, 800)).tolist()
+    df = make(spark, arr, dep)
+    together = D.delay_reports(df)
+    assert sorted(rows(together["delay_box_summary"])) == sorted(rows(D.box_summary(df)))
+    assert sorted(rows(together["delay_outliers"])) == sorted(rows(D.delay_outliers(df)))
+    assert rows(together["outlier_histogram"]) == rows(D.outlier_histogram(df))
