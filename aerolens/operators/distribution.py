@@ -46,14 +46,37 @@ def value_histogram(df: DataFrame, columns: Sequence[str] = DELAY_COLUMNS) -> Da
     return delay_values(df, columns).groupBy("delay", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quartiles(hist: DataFrame, whisker: float) -> DataFrame:
-    """Per delay: count, q1, median, q3, mean and the two fences."""
+def _quartiles(
+    hist: DataFrame,
+    whisker: float,
+    values: DataFrame | None = None,
+    accuracy: int | None = None,
+) -> DataFrame:
+    """Per delay: count, q1, median, q3, mean and the two fences.
+
+    Exact by default: ``percentile`` over the histogram with the frequencies,
+    whose buffer per delay holds one entry per distinct value. With
+    ``accuracy`` the quartiles come from ``percentile_approx`` over the raw
+    ``values`` instead, a fixed-size sketch merged across tasks, for columns
+    whose distinct values are not bounded.
+    """
     v, n = F.col("value"), F.col("n")
+    if accuracy is None:
+        quart = F.percentile(v, [0.25, 0.5, 0.75], n)
+    else:
+        if values is None:
+            raise ValueError("approximate quartiles need the raw values")
+        approx = values.groupBy("delay").agg(
+            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).cast("array<double>").alias("_q")
+        )
     q = hist.groupBy("delay").agg(
         F.sum(n).alias("count"),
-        F.percentile(v, [0.25, 0.5, 0.75], n).alias("_q"),
+        *([quart.alias("_q")] if accuracy is None else []),
         (F.sum(v * n) / F.sum(n)).alias("mean"),
     )
+    if accuracy is not None:
+        # One row per delay column on each side: a bounded broadcast.
+        q = q.join(F.broadcast(approx), "delay")
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
     return q.select(
@@ -75,6 +98,7 @@ def box_summary(
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
     (whisker caps), q1, median, mean, q3, the fences and the outlier counts.
@@ -82,10 +106,11 @@ def box_summary(
     The quartiles are computed once, broadcast back onto the histogram and
     carried through the second aggregate as grouping columns (they are
     functions of ``delay``), so the plan has one quartile aggregate and no
-    join after it. ``hist`` is a precomputed ``value_histogram`` to reuse.
+    join after it. ``hist`` is a precomputed ``value_histogram`` to reuse;
+    ``accuracy`` switches to approximate quartiles (see ``_quartiles``).
     """
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker)
+    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
     out = _fenced(hist, stats).groupBy(*stats.columns).agg(
@@ -110,11 +135,12 @@ def delay_outliers(
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker)
+    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
     v = F.col("value")
     rows = _fenced(delay_values(df, columns), stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
@@ -138,6 +164,7 @@ def outlier_histogram(
     whisker: float = WHISKER_IQR,
     bins: int = HISTOGRAM_BINS,
     hist: DataFrame | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Equal-width bins over the upper outliers of each delay column.
 
@@ -147,7 +174,7 @@ def outlier_histogram(
     """
     v = F.col("value")
     hist = value_histogram(df, columns) if hist is None else hist
-    fenced = _fenced(hist, _quartiles(hist, whisker))
+    fenced = _fenced(hist, _quartiles(hist, whisker, delay_values(df, columns), accuracy))
     is_upper = v > F.col("upper_fence")
     upper = fenced.filter(is_upper).select("delay", "value", "n")
     # Every delay with any value has a row here, even with no upper outlier.
@@ -189,13 +216,14 @@ def delay_reports(
     columns: Sequence[str] = DELAY_COLUMNS,
     whisker: float = WHISKER_IQR,
     bins: int = HISTOGRAM_BINS,
+    accuracy: int | None = None,
 ) -> dict[str, DataFrame]:
     """D1-D4 together: the value histogram is computed and materialised once
     (it is small), and the summary and the bins are computed from it; only
     the outlier rows read ``df`` again."""
     hist = stable(value_histogram(df, columns))
     return {
-        "delay_box_summary": box_summary(df, columns, whisker, hist),
-        "delay_outliers": delay_outliers(df, columns, whisker, hist),
-        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist),
+        "delay_box_summary": box_summary(df, columns, whisker, hist, accuracy),
+        "delay_outliers": delay_outliers(df, columns, whisker, hist, accuracy),
+        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist, accuracy),
     }

@@ -97,3 +97,20 @@ def test_delay_reports_share_one_histogram(spark):
     assert sorted(rows(together["delay_box_summary"])) == sorted(rows(D.box_summary(df)))
     assert sorted(rows(together["delay_outliers"])) == sorted(rows(D.delay_outliers(df)))
     assert rows(together["outlier_histogram"]) == rows(D.outlier_histogram(df))
+
+
+def test_approximate_quartiles_for_continuous_values(spark):
+    rng = np.random.default_rng(5)
+    arr = (rng.normal(0, 30, 5000) + (rng.random(5000) < 0.03) * 400).tolist()
+    dep = rng.exponential(20, 5000).tolist()
+    df = make(spark, arr, dep)
+    got = {r["delay"]: r for r in D.box_summary(df, accuracy=100000).collect()}
+    for name, col in (("ARR_DELAY", arr), ("DEP_DELAY", dep)):
+        want = brute_box(col)
+        spread = want["q3"] - want["q1"]
+        for key in ("q1", "median", "q3"):
+            assert abs(got[name][key] - want[key]) <= 0.01 * spread, (name, key)
+        assert got[name]["count"] == want["count"]
+        assert got[name]["mean"] == pytest.approx(want["mean"], rel=1e-9)
+    out = D.delay_outliers(df, accuracy=100000).count()
+    assert abs(out - sum(len(brute_box(c)["lower"]) + len(brute_box(c)["upper"]) for c in (arr, dep))) <= 10
