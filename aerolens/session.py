@@ -73,8 +73,10 @@ def stable(df: DataFrame) -> DataFrame:
     With a checkpoint folder configured (shared storage on a cluster) this is a
     reliable ``checkpoint``: lineage is cut and the data survives the loss of
     any executor. Without one, the frame is persisted to memory and disk; a
-    lost block is then recomputed from lineage, which stays correct because
-    every random draw in this package is seeded per row.
+    lost block is then recomputed from lineage. That recomputation gives the
+    same rows because the random draws here are seeded and their inputs are
+    read in a fixed order (file scans, or a repartition that sorts before
+    distributing rows).
     """
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)

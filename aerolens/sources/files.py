@@ -51,9 +51,13 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, AIRPORTS_SCHEMA)
 
 
-def read_parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One of the driver's parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+def read_parquet(
+    spark: SparkSession, sf_dir: str, table: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """One of the driver's parquet tables; with ``schema``, only those columns
+    and no schema inference."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{str(sf_dir).rstrip('/')}/{table}.parquet")
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

@@ -16,6 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.sources.files import read_parquet
+from aerolens.sources.schemas import (
+    CUSTOMER_SOURCE_SCHEMA,
+    LINEITEM_SOURCE_SCHEMA,
+    NATION_SOURCE_SCHEMA,
+)
 
 
 def _code(prefix: str, value: Column, width: int) -> Column:
@@ -103,10 +108,11 @@ def airports_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame
 
 
 def load_flights(spark, sf_dir: str) -> DataFrame:
-    return flights_from_lineitem(read_parquet(spark, sf_dir, "lineitem"))
+    return flights_from_lineitem(read_parquet(spark, sf_dir, "lineitem", LINEITEM_SOURCE_SCHEMA))
 
 
 def load_airports(spark, sf_dir: str) -> DataFrame:
     return airports_from_customers(
-        read_parquet(spark, sf_dir, "customer"), read_parquet(spark, sf_dir, "nation")
+        read_parquet(spark, sf_dir, "customer", CUSTOMER_SOURCE_SCHEMA),
+        read_parquet(spark, sf_dir, "nation", NATION_SOURCE_SCHEMA),
     )

@@ -82,3 +82,13 @@ AIRPORTS_SCHEMA = T.StructType([
 
 # Number of trailing, mostly-null columns in each flights layout.
 TRAILING_COLUMNS = 6
+
+# Columns of the driver's tables that the derived views read, with their
+# types. Declaring them skips Parquet schema inference (a footer-reading job
+# per table and query) and reads only these columns.
+LINEITEM_SOURCE_SCHEMA = (
+    "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_shipdate TIMESTAMP_NTZ"
+)
+CUSTOMER_SOURCE_SCHEMA = "c_custkey BIGINT, c_nationkey INT"
+NATION_SOURCE_SCHEMA = "n_nationkey INT, n_name STRING"
