@@ -59,6 +59,9 @@ def test_airport_lookup_file_facts(spark):
         "sum(CASE WHEN State LIKE ' %' THEN 1 ELSE 0 END)",
     ).first()
     assert tuple(facts) == (427, 425, 425, 3)
+    # CRLF line ends leave no carriage return in the join key.
+    lengths = {r[0] for r in airports.selectExpr("length(IATA)").distinct().collect()}
+    assert lengths == {3, None}
 
 
 def test_report_sink_writes_the_data(spark, scratch):
