@@ -23,7 +23,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolens.session import stable
@@ -46,37 +47,113 @@ def value_histogram(df: DataFrame, columns: Sequence[str] = DELAY_COLUMNS) -> Da
     return delay_values(df, columns).groupBy("delay", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def bucketed_quantiles(
+    hist: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = QUARTILES,
+    buckets: int = 1024,
+) -> DataFrame:
+    """Exact quantiles (linear interpolation) without one task holding every
+    distinct value: (delay, _q array<double>).
+
+    For each column: split points from an approximate-quantile sketch over
+    the distinct values cut them into about ``buckets`` ranges of similar
+    size, and ``Bucketizer`` assigns each histogram row by binary search.
+    Bucket totals (one row per bucket) give every bucket's first rank, which
+    tells which buckets hold the order statistics needed. A running sum over
+    those few buckets only (each about 1/buckets of the distinct values)
+    finds the exact values. The driver receives the split points, the bucket
+    totals and the handful of order statistics, all bounded by ``buckets``.
+    """
+    spark = hist.sparkSession
+    v, n = F.col("value"), F.col("n")
+    out = []
+    for column in columns:
+        h = hist.filter(F.col("delay") == F.lit(column)).select("value", "n")
+        cuts = h.approxQuantile("value", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
+        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+        binned = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(h)
+        totals = sorted(
+            (int(r["bucket"]), int(r["cnt"]))
+            for r in binned.groupBy("bucket").agg(F.sum(n).alias("cnt")).collect()
+        )
+        total = sum(c for _, c in totals)
+        if total == 0:
+            out.append((column, None))
+            continue
+        starts, first = {}, 0
+        for b, c in totals:
+            starts[b] = first
+            first += c
+        positions = [p * (total - 1) for p in probabilities]
+        ranks = sorted({r for pos in positions for r in (int(pos // 1), int(-(-pos // 1)))})
+        owner = {r: max(b for b, s in starts.items() if s <= r) for r in ranks}
+        targets = sorted(set(owner.values()))
+        offset = F.create_map(*[x for b in targets for x in (F.lit(float(b)), F.lit(starts[b]))])
+        w = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = (
+            binned.filter(F.col("bucket").isin([float(b) for b in targets]))
+            .withColumn("_end", F.sum(n).over(w) + offset[F.col("bucket")])
+            .withColumn("_begin", F.col("_end") - n)
+        )
+        wanted = F.lit(False)
+        for r in ranks:
+            wanted = wanted | ((F.col("_begin") <= r) & (F.lit(r) < F.col("_end")))
+        found = [(int(row["_begin"]), int(row["_end"]), float(row["value"]))
+                 for row in ranked.filter(wanted).collect()]
+
+        def at(rank: int) -> float:
+            return next(val for begin, end, val in found if begin <= rank < end)
+
+        values = []
+        for pos in positions:
+            lower, higher = int(pos // 1), int(-(-pos // 1))
+            lo_val, hi_val = at(lower), at(higher)
+            # Same interpolation as Spark's exact percentile.
+            values.append(lo_val if lower == higher or lo_val == hi_val
+                          else (higher - pos) * lo_val + (pos - lower) * hi_val)
+        out.append((column, values))
+    return spark.createDataFrame(out, "delay string, _q array<double>")
+
+
 def _quartiles(
     hist: DataFrame,
     whisker: float,
     values: DataFrame | None = None,
     accuracy: int | None = None,
+    buckets: int | None = None,
+    columns: Sequence[str] = DELAY_COLUMNS,
 ) -> DataFrame:
     """Per delay: count, q1, median, q3, mean and the two fences.
 
     Exact by default: ``percentile`` over the histogram with the frequencies,
-    whose buffer per delay holds one entry per distinct value. With
-    ``accuracy`` the quartiles come from ``percentile_approx`` over the raw
-    ``values`` instead, a fixed-size sketch merged across tasks, for columns
-    whose distinct values are not bounded.
+    whose buffer per delay holds one entry per distinct value (bounded for
+    whole-minute delays). With ``buckets`` the quartiles are still exact but
+    computed by ``bucketed_quantiles``, whose tasks hold about 1/buckets of
+    the distinct values each. With ``accuracy`` they come from
+    ``percentile_approx`` over the raw ``values``, a fixed-size sketch.
     """
     v, n = F.col("value"), F.col("n")
-    if accuracy is None:
-        quart = F.percentile(v, [0.25, 0.5, 0.75], n)
-    else:
+    side = None
+    if buckets is not None:
+        side = bucketed_quantiles(hist, columns, QUARTILES, buckets)
+    elif accuracy is not None:
         if values is None:
             raise ValueError("approximate quartiles need the raw values")
-        approx = values.groupBy("delay").agg(
-            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).cast("array<double>").alias("_q")
+        side = values.groupBy("delay").agg(
+            F.percentile_approx(v, list(QUARTILES), accuracy).cast("array<double>").alias("_q")
         )
     q = hist.groupBy("delay").agg(
         F.sum(n).alias("count"),
-        *([quart.alias("_q")] if accuracy is None else []),
+        *([F.percentile(v, list(QUARTILES), n).alias("_q")] if side is None else []),
         (F.sum(v * n) / F.sum(n)).alias("mean"),
     )
-    if accuracy is not None:
+    if side is not None:
         # One row per delay column on each side: a bounded broadcast.
-        q = q.join(F.broadcast(approx), "delay")
+        q = q.join(F.broadcast(side), "delay")
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
     return q.select(
@@ -99,6 +176,7 @@ def box_summary(
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
     (whisker caps), q1, median, mean, q3, the fences and the outlier counts.
@@ -107,10 +185,11 @@ def box_summary(
     carried through the second aggregate as grouping columns (they are
     functions of ``delay``), so the plan has one quartile aggregate and no
     join after it. ``hist`` is a precomputed ``value_histogram`` to reuse;
-    ``accuracy`` switches to approximate quartiles (see ``_quartiles``).
+    ``buckets`` and ``accuracy`` choose how the quartiles are computed (see
+    ``_quartiles``).
     """
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
+    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
     out = _fenced(hist, stats).groupBy(*stats.columns).agg(
@@ -136,11 +215,12 @@ def delay_outliers(
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
+    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v = F.col("value")
     rows = _fenced(delay_values(df, columns), stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
@@ -165,6 +245,7 @@ def outlier_histogram(
     bins: int = HISTOGRAM_BINS,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Equal-width bins over the upper outliers of each delay column.
 
@@ -174,7 +255,8 @@ def outlier_histogram(
     """
     v = F.col("value")
     hist = value_histogram(df, columns) if hist is None else hist
-    fenced = _fenced(hist, _quartiles(hist, whisker, delay_values(df, columns), accuracy))
+    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+    fenced = _fenced(hist, stats)
     is_upper = v > F.col("upper_fence")
     upper = fenced.filter(is_upper).select("delay", "value", "n")
     # Every delay with any value has a row here, even with no upper outlier.
@@ -217,13 +299,14 @@ def delay_reports(
     whisker: float = WHISKER_IQR,
     bins: int = HISTOGRAM_BINS,
     accuracy: int | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """D1-D4 together: the value histogram is computed and materialised once
     (it is small), and the summary and the bins are computed from it; only
     the outlier rows read ``df`` again."""
     hist = stable(value_histogram(df, columns))
     return {
-        "delay_box_summary": box_summary(df, columns, whisker, hist, accuracy),
-        "delay_outliers": delay_outliers(df, columns, whisker, hist, accuracy),
-        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist, accuracy),
+        "delay_box_summary": box_summary(df, columns, whisker, hist, accuracy, buckets),
+        "delay_outliers": delay_outliers(df, columns, whisker, hist, accuracy, buckets),
+        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist, accuracy, buckets),
     }

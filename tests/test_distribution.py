@@ -114,3 +114,26 @@ def test_approximate_quartiles_for_continuous_values(spark):
         assert got[name]["mean"] == pytest.approx(want["mean"], rel=1e-9)
     out = D.delay_outliers(df, accuracy=100000).count()
     assert abs(out - sum(len(brute_box(c)["lower"]) + len(brute_box(c)["upper"]) for c in (arr, dep))) <= 10
+
+
+def test_bucketed_quartiles_equal_exact_path_on_fixture(spark):
+    from aerolens.plans.catalog import queries
+
+    flown = queries()["flown_flights"](spark, "/root/testdata/sf0.01")
+    exact = sorted(rows(D.box_summary(flown)))
+    assert sorted(rows(D.box_summary(flown, buckets=64))) == exact
+    assert sorted(rows(D.box_summary(flown, buckets=3))) == exact
+
+
+def test_bucketed_quartiles_continuous_and_hot_values(spark):
+    rng = np.random.default_rng(9)
+    arr = (rng.normal(0, 30, 4000) + (rng.random(4000) < 0.03) * 400).tolist()
+    dep = [0.0] * 2000 + rng.exponential(20, 2000).tolist()  # a hot value: half the rows
+    df = make(spark, arr, dep)
+    for buckets in (2, 7, 256):
+        got = {r["delay"]: r for r in D.box_summary(df, buckets=buckets).collect()}
+        for name, col in (("ARR_DELAY", arr), ("DEP_DELAY", dep)):
+            want = brute_box(col)
+            for key in ("q1", "median", "q3", "minimum", "maximum"):
+                assert got[name][key] == pytest.approx(want[key], rel=1e-12, abs=1e-12), (buckets, name, key)
+            assert got[name]["upper_outliers"] == len(want["upper"])
