@@ -26,12 +26,18 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    max_partition_bytes: str | None = None,
+    advisory_partition_bytes: str | None = None,
 ) -> SparkSession:
     """Get or create a session with adaptive execution enabled.
 
     ``shuffle_partitions`` is the *initial* partition count; AQE coalesces it
     down from real map output sizes, so on a cluster set it high (a few times
     the total executor cores) and let AQE shrink it.
+    ``max_partition_bytes`` caps the input split size of file scans and
+    ``advisory_partition_bytes`` is the post-shuffle size AQE aims for (and
+    splits skewed partitions towards); both are Spark size strings such as
+    "256m". Size them so one task's data fits its share of executor memory.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -47,6 +53,10 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
+    if advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory_partition_bytes
     for side in ("driver", "executor"):
         conf[f"spark.{side}.extraJavaOptions"] = JIT_OPTIONS
     conf.update(extra_conf or {})
