@@ -90,8 +90,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--state-b", required=True)
     parser.add_argument("--years", nargs="*", type=int, default=[])
     parser.add_argument("--models", action="store_true", help="also train and compare the classifiers")
+    parser.add_argument("--shuffle-partitions", type=int, help="initial shuffle partitions (AQE shrinks)")
+    parser.add_argument("--max-partition-bytes", help="input split size, e.g. 256m")
+    parser.add_argument("--advisory-partition-bytes", help="post-shuffle partition size, e.g. 128m")
     args = parser.parse_args(argv)
-    spark = build_session("aerolens-reports")
+    spark = build_session(
+        "aerolens-reports",
+        shuffle_partitions=args.shuffle_partitions,
+        max_partition_bytes=args.max_partition_bytes,
+        advisory_partition_bytes=args.advisory_partition_bytes,
+    )
     for name, path in run_reports(
         spark, args.flights, args.airports, args.out, args.state_a, args.state_b,
         args.years, args.models,
