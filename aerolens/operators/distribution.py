@@ -177,6 +177,7 @@ def box_summary(
     hist: DataFrame | None = None,
     accuracy: int | None = None,
     buckets: int | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
     (whisker caps), q1, median, mean, q3, the fences and the outlier counts.
@@ -189,7 +190,8 @@ def box_summary(
     ``_quartiles``).
     """
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+    if stats is None:
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
     out = _fenced(hist, stats).groupBy(*stats.columns).agg(
@@ -216,11 +218,13 @@ def delay_outliers(
     hist: DataFrame | None = None,
     accuracy: int | None = None,
     buckets: int | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
-    hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+    if stats is None:
+        hist = value_histogram(df, columns) if hist is None else hist
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v = F.col("value")
     rows = _fenced(delay_values(df, columns), stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
@@ -246,6 +250,7 @@ def outlier_histogram(
     hist: DataFrame | None = None,
     accuracy: int | None = None,
     buckets: int | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width bins over the upper outliers of each delay column.
 
@@ -255,7 +260,8 @@ def outlier_histogram(
     """
     v = F.col("value")
     hist = value_histogram(df, columns) if hist is None else hist
-    stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+    if stats is None:
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     fenced = _fenced(hist, stats)
     is_upper = v > F.col("upper_fence")
     upper = fenced.filter(is_upper).select("delay", "value", "n")
@@ -301,12 +307,13 @@ def delay_reports(
     accuracy: int | None = None,
     buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """D1-D4 together: the value histogram is computed and materialised once
-    (it is small), and the summary and the bins are computed from it; only
-    the outlier rows read ``df`` again."""
+    """D1-D4 together: the value histogram and the quartile stats are each
+    computed and materialised once (both are small), and the summary and the
+    bins are computed from them; only the outlier rows read ``df`` again."""
     hist = stable(value_histogram(df, columns))
+    stats = stable(_quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns))
     return {
-        "delay_box_summary": box_summary(df, columns, whisker, hist, accuracy, buckets),
-        "delay_outliers": delay_outliers(df, columns, whisker, hist, accuracy, buckets),
-        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist, accuracy, buckets),
+        "delay_box_summary": box_summary(df, columns, whisker, hist, stats=stats),
+        "delay_outliers": delay_outliers(df, columns, whisker, hist, stats=stats),
+        "outlier_histogram": outlier_histogram(df, columns, whisker, bins, hist, stats=stats),
     }
