@@ -10,7 +10,9 @@ Subpackages
 sources    declared schemas, CSV/Parquet scans, the derived fixture views, sinks
 functions  column expressions (calendar, season, part of day, delay label)
 operators  quality checks, filters, lookup join, reports, distribution, ML
-plans      named queries over the driver's tables and their oracle SQL
+plans      named queries over the driver's tables and their oracle SQL, the
+           single-pass (grouping sets) report suite, model flows and the
+           end-to-end report run over real files (also a CLI)
 streaming  incremental ingest of newly arriving yearly files
 """
 
