@@ -59,3 +59,17 @@ def test_aggregates_are_partial_before_the_shuffle(spark):
     plan = plan_text(spark, "top_states_per_year")
     assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")  # partial is below
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("name, scans", [
+    ("top_states_per_year", 1),
+    ("delay_box_summary", 1),     # histogram shuffle reused by every branch
+    ("outlier_histogram", 1),
+    ("delay_outliers", 2),        # histogram for the fences + the outlier rows
+    ("report_aggregates", 1),     # all reports' measures from one scan
+])
+def test_lineitem_scans_after_exchange_reuse(spark, name, scans):
+    df = entry_module.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == scans
