@@ -164,6 +164,18 @@ def _quartiles(
     )
 
 
+def _histogram(
+    df: DataFrame, columns: Sequence[str], hist: DataFrame | None, buckets: int | None
+) -> DataFrame:
+    """The given histogram, or a new one. The bucketed quartiles read it in
+    several jobs, so for them a new histogram is materialised once instead of
+    being recomputed from the flights by each job."""
+    if hist is not None:
+        return hist
+    hist = value_histogram(df, columns)
+    return stable(hist) if buckets is not None else hist
+
+
 def _fenced(frame: DataFrame, stats: DataFrame) -> DataFrame:
     # ``stats`` is grouped by ``delay``, whose values are the caller's column
     # names: at most len(columns) rows, so the broadcast is bounded.
@@ -189,7 +201,7 @@ def box_summary(
     ``buckets`` and ``accuracy`` choose how the quartiles are computed (see
     ``_quartiles``).
     """
-    hist = value_histogram(df, columns) if hist is None else hist
+    hist = _histogram(df, columns, hist, buckets)
     if stats is None:
         stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v, n = F.col("value"), F.col("n")
@@ -223,7 +235,7 @@ def delay_outliers(
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
     if stats is None:
-        hist = value_histogram(df, columns) if hist is None else hist
+        hist = _histogram(df, columns, hist, buckets)
         stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v = F.col("value")
     rows = _fenced(delay_values(df, columns), stats)
@@ -259,7 +271,7 @@ def outlier_histogram(
     each side; with no upper outlier it is [0, 1] and every count is 0.
     """
     v = F.col("value")
-    hist = value_histogram(df, columns) if hist is None else hist
+    hist = _histogram(df, columns, hist, buckets)
     if stats is None:
         stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     fenced = _fenced(hist, stats)
