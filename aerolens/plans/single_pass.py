@@ -10,7 +10,9 @@ each report is a slice of it passed to the same ``finish_*`` step as the
 standalone report.
 
 Averages are carried as (sum, non-null count) pairs and divided at the end,
-which is how ``avg`` evaluates.
+which is how ``avg`` evaluates. Sets whose reports need only counts and that
+are coarser than another set are rolled up from it after the aggregate, so
+every input row is expanded only for the sets that need it.
 """
 
 from __future__ import annotations
@@ -23,22 +25,29 @@ from pyspark.sql import functions as F
 from aerolens.operators import reports as R
 from aerolens.session import stable
 
-# Grouping sets: name -> grouping columns.
+# Grouping sets: name -> grouping columns. Every input row is expanded once
+# per set, so the list holds only sets that cannot be rolled up from another.
 REPORT_KEYS: dict[str, tuple[str, ...]] = {
-    "origin": ("ORIGIN",),
     "year_month": ("Year", "Month"),
     "year_carrier": ("Year", "OP_CARRIER"),
     "year_day": ("Year", "Day_Name"),
-    "dest_state": ("DestinationState",),
-    "year_state": ("Year", "DestinationState"),
     "year_state_city": ("Year", "DestinationState", "DestinationCity"),
     "day_carrier": ("Day_Name", "OP_CARRIER", "Day_OfWeek"),
     "carrier": ("OP_CARRIER",),
     "year_origin": ("Year", "ORIGIN"),
     "season_state": ("Seasons", "DestinationState"),
-    "daypart": ("Parts_of_day",),
     "daypart_pair": ("Parts_of_day", "OriginCity", "DestinationCity"),
 }
+
+# Count-only sets rolled up from a finer set of the aggregate (sums of counts
+# are exact): name -> (finer set, grouping columns kept).
+ROLLUPS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "origin": ("year_origin", ("ORIGIN",)),
+    "year_state": ("year_state_city", ("Year", "DestinationState")),
+    "dest_state": ("year_state_city", ("DestinationState",)),
+    "daypart": ("daypart_pair", ("Parts_of_day",)),
+}
+COUNT_MEASURES = ("scheduled", "flown", "arrived", "origins")
 KEY_COLUMNS: list[str] = list(dict.fromkeys(c for keys in REPORT_KEYS.values() for c in keys))
 
 
@@ -69,9 +78,21 @@ def report_aggregates(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _slice(aggs: DataFrame, name: str, **measures: Column) -> DataFrame:
+def _set_rows(aggs: DataFrame, name: str) -> DataFrame:
+    """Rows of one grouping set (or of a roll-up of a finer one), with their
+    grouping columns and the base measures."""
+    if name in ROLLUPS:
+        finer, keys = ROLLUPS[name]
+        return _set_rows(aggs, finer).groupBy(*keys).agg(
+            *[F.sum(m).alias(m) for m in COUNT_MEASURES]
+        )
     keys = REPORT_KEYS[name]
-    rows = aggs.filter(F.col("set_id") == F.lit(_set_id(keys)))
+    return aggs.filter(F.col("set_id") == F.lit(_set_id(keys)))
+
+
+def _slice(aggs: DataFrame, name: str, **measures: Column) -> DataFrame:
+    keys = ROLLUPS[name][1] if name in ROLLUPS else REPORT_KEYS[name]
+    rows = _set_rows(aggs, name)
     return rows.select(*keys, *[expr.alias(alias) for alias, expr in measures.items()])
 
 
