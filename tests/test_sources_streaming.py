@@ -139,3 +139,28 @@ def test_report_run_end_to_end(spark, scratch):
         want = registry[name](spark, SF_SMALL)
         assert sorted(rows(got.select(*want.columns)), key=str) == sorted(rows(want), key=str), name
     assert "top_destination_states_1998" in written
+
+
+def test_report_cli_on_public_layout_files(spark, scratch, capsys):
+    """The command-line run on yearly CSV files in the public 28-column layout."""
+    from aerolens.plans.catalog import queries
+    from aerolens.plans.reporting import main
+
+    flights = load_flights(spark, SF_SMALL)
+    full = flights.select(*[
+        F.col(f.name) if f.name in flights.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in FLIGHTS_CSV_SCHEMA.fields
+    ])
+    for year in (1996, 1997, 1998):
+        _write_csv(full.filter(F.year("FL_DATE") == year), f"{scratch}/flights/{year}")
+    _write_csv(load_airports(spark, SF_SMALL), f"{scratch}/airports")
+    main([
+        "--flights", f"{scratch}/flights/*", "--airports", f"{scratch}/airports",
+        "--out", f"{scratch}/out", "--state-a", "NATION_5", "--state-b", "NATION_7",
+    ])
+    written = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert len(spark.read.parquet(written["null_percentages"]).columns) == 28
+    years = F.col("Year").between(1996, 1998)
+    want = queries()["flights_per_month"](spark, SF_SMALL).filter(years)
+    got = spark.read.parquet(written["flights_per_month"]).select(*want.columns)
+    assert sorted(rows(got)) == sorted(rows(want))
