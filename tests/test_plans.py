@@ -73,3 +73,16 @@ def test_lineitem_scans_after_exchange_reuse(spark, name, scans):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet \[l_", final)) == scans
+
+
+@pytest.mark.parametrize("name, shuffles", [
+    ("enriched_flights", 0),        # broadcast lookups, no shuffle of flights
+    ("top_origins", 1),             # partial -> final aggregate
+    ("top_states_per_year", 2),     # aggregate, then the (aggregated) window
+    ("report_aggregates", 1),       # every report's measures, one shuffle
+])
+def test_hash_shuffles_after_planning(spark, name, shuffles):
+    df = entry_module.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == shuffles
