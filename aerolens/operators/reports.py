@@ -163,21 +163,29 @@ def two_state_comparison(df: DataFrame, state1: str, state2: str) -> DataFrame:
 
     Only years in which both states have at least one flight row appear (the
     inner-join semantics of two per-state aggregates), computed here in one
-    scan with conditional aggregation instead of two scans and a join.
+    scan with one conditional aggregation instead of two scans and a join.
     """
     state = F.col("DestinationState")
-    scoped = df.filter(state.isin(state1, state2))
-    agg = scoped.groupBy("Year", "DestinationState").agg(
-        _flown().alias("flown"), _rows().alias("rows")
+    is1, is2 = state == F.lit(state1), state == F.lit(state2)
+    per_year = (
+        df.filter(state.isin(state1, state2))
+        .groupBy("Year")
+        .agg(
+            F.count(F.when(is1, F.col("DEP_TIME"))).alias("State1"),
+            F.count(F.when(is2, F.col("DEP_TIME"))).alias("State2"),
+            F.count(F.when(is1, F.lit(1))).alias("_rows1"),
+            F.count(F.when(is2, F.lit(1))).alias("_rows2"),
+        )
     )
-    return finish_two_state_comparison(agg, state1, state2)
+    return finish_two_state_comparison(per_year)
 
 
-def finish_two_state_comparison(agg: DataFrame, state1: str, state2: str) -> DataFrame:
-    """From (Year, DestinationState, flown, rows) aggregated per state."""
+def pivot_two_states(agg: DataFrame, state1: str, state2: str) -> DataFrame:
+    """(Year, DestinationState, flown, rows) aggregated per state, turned into
+    the per-year form ``finish_two_state_comparison`` takes."""
     state = F.col("DestinationState")
     is1, is2 = state == F.lit(state1), state == F.lit(state2)
-    per_year = (
+    return (
         agg.filter(state.isin(state1, state2))
         .groupBy("Year")
         .agg(
@@ -187,6 +195,10 @@ def finish_two_state_comparison(agg: DataFrame, state1: str, state2: str) -> Dat
             F.coalesce(F.sum(F.when(is2, F.col("rows"))), F.lit(0)).alias("_rows2"),
         )
     )
+
+
+def finish_two_state_comparison(per_year: DataFrame) -> DataFrame:
+    """Keep years where both states have rows; (Year, State1, State2) by Year."""
     both = per_year.filter((F.col("_rows1") > 0) & (F.col("_rows2") > 0))
     return both.select("Year", "State1", "State2").orderBy("Year")
 

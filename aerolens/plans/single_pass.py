@@ -127,7 +127,7 @@ def reports_from_aggregates(
             k,
         ),
         "two_state_comparison": R.finish_two_state_comparison(
-            _slice(aggs, "year_state", flown=flown, rows=scheduled), state_a, state_b
+            R.pivot_two_states(_slice(aggs, "year_state", flown=flown, rows=scheduled), state_a, state_b)
         ),
         "top_carriers_per_weekday": R.finish_top_carriers_per_weekday(
             _slice(aggs, "day_carrier", Number=flown), k
