@@ -85,3 +85,13 @@ def test_combine_by_name_keeps_duplicates(spark):
     assert sorted(rows(out)) == [(1, "x"), (1, "x"), (1, "x"), (2, "y")]
     with pytest.raises(ValueError):
         combine()
+
+
+def test_register_names_a_frame_for_sql(spark):
+    from aerolens.sources import register
+
+    a = register(spark.createDataFrame([(1,), (2,)], "k int"), "aerolens_test_view_a")
+    b = register(spark.createDataFrame([(3,)], "k int"), "aerolens_test_view_b")
+    assert a.count() == 2 and b.count() == 1
+    got = spark.sql("SELECT sum(k) FROM aerolens_test_view_a").first()[0]
+    assert got == 3  # the second registration did not overwrite the first
