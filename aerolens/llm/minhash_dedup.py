@@ -8,18 +8,9 @@ minima. Documents alike in a band are candidates; links are confirmed on full
 sets. With 40 bands of four, a pair at similarity 0.8 is missed with
 probability 7e-10.
 
-No bucket is expanded into all its pairs:
-
-* Documents of equal sets collapse into one class first.
-* In each bucket every class is compared with one *hub*, the class that meets
-  most others over all its buckets.
-* A bucket is settled when its classes, hub aside, are in one component. Of
-  the others, classes are dropped that can't reach the threshold any more
-  since too few of their shingles occur in another class left; what then
-  remains is compared across components, inside the tasks.
-
-Components are joined by ``common.components``; nothing comes to the driver
-but counts.
+Documents of equal sets collapse into one class first; ``linking`` compares
+classes without expanding buckets into pairs. Its bound here: a class can't
+reach the threshold if too few of its shingles occur in another class left.
 
 Null texts and texts without words have empty sets and are linked with
 nothing. A null id counts as larger than any other and comes back as null
@@ -42,7 +33,6 @@ from aerolens.llm.common import (
     NOT_BLANK,
     blocks,
     checkpoint,
-    components,
     documents,
     keyed,
     mix,
@@ -50,12 +40,11 @@ from aerolens.llm.common import (
     text_array,
     words,
 )
+from aerolens.llm.linking import Comparison, linked
 
 BANDS, BAND_VALUES = 40, 4
 #: Rows (of four longs) up to which a list of wanted documents is broadcast.
 BROADCAST_ROWS = 100_000
-#: Members of one hub that are compared in one place.
-HUB_MEMBERS = 500
 
 _draw = np.random.default_rng(80)
 _FACTORS = _draw.integers(1, 1 << 63, 2 * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,11 +121,13 @@ class _Sets:
         self.docs, self.classes, self.size = docs, classes, size
 
     def of(self, wanted: DataFrame, keep: list[str], schema: str) -> DataFrame:
-        """``wanted`` (cid and the columns ``keep``, one row a class) with the
-        column ``shingles``: the packed set."""
+        """``wanted`` (item and the columns ``keep``, one row a class) with the
+        column ``payload``: the packed set."""
         size = self.size
         wanted = checkpoint(
-            wanted.join(self.classes.select("cid", "rid", "rtext"), "cid").select("rid", "rtext", "cid", *keep)
+            wanted.join(self.classes.select(F.col("cid").alias("item"), "rid", "rtext"), "item").select(
+                "rid", "rtext", "item", *keep
+            )
         )
         if wanted.count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
@@ -150,11 +141,11 @@ class _Sets:
                     part = batch.slice(rows, 500)
                     packed = [s.tobytes() for s in shingle_sets(text_array(part), size)]
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(at(c)) for c in ("cid", *keep)] + [pa.array(packed, pa.binary())],
-                        ["cid", *keep, "shingles"],
+                        [part.column(at(c)) for c in ("item", *keep)] + [pa.array(packed, pa.binary())],
+                        ["item", *keep, "payload"],
                     )
 
-        return look.mapInArrow(run, f"cid long, {schema}, shingles binary")
+        return look.mapInArrow(run, ", ".join(x for x in ("item long", schema, "payload binary") if x))
 
 
 def _hits(a: np.ndarray, b: np.ndarray) -> int:
@@ -166,64 +157,36 @@ def _hits(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[where] == a).sum())
 
 
-def _alike(a: np.ndarray, b: np.ndarray, least: Fraction) -> bool:
-    small, large = sorted((len(a), len(b)))
-    if least.denominator * small < least.numerator * large:
-        return False
-    both = _hits(a, b)
-    return least.denominator * both >= least.numerator * (len(a) + len(b) - both)
-
-
-LINKS = "a long, b long"
+def _comparison(sets: _Sets, low: int, high: int) -> Comparison:
+    """Links at a similarity of low / high or more."""
 
+    def alike(a: np.ndarray, b: np.ndarray) -> bool:
+        both = _hits(a, b)
+        return high * both >= low * (len(a) + len(b) - both)
 
-def _links(found: list[tuple[int, int]]) -> pa.Table:
-    a, b = zip(*found, strict=True) if found else ((), ())
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    def thin_out(left: DataFrame) -> DataFrame:
+        shared = _shared(sets.of(left.select("item").distinct(), [], ""), shuffle_partitions(left.sparkSession))
+        return left.join(shared, "item").where(F.col("shared") * high >= F.col("size") * low)
 
-
-def _confirmed(pairs: DataFrame, sets: _Sets, least: Fraction) -> DataFrame:
-    """Those pairs (hub, cid) that reach the threshold on full sets."""
-    spark = pairs.sparkSession
-    n_pairs = pairs.count()
-    groups = max(4 * shuffle_partitions(spark), n_pairs // 2000)
-    salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_MEMBERS).alias("salts"))
-    members = pairs.join(salts, "hub").select(
-        "cid", F.struct("hub", F.pmod(F.xxhash64("cid"), "salts").cast("int").alias("salt")).alias("to")
-    )
-    hubs = salts.select(
-        F.col("hub").alias("cid"),
-        F.explode(F.transform(F.sequence(F.lit(0), F.col("salts").cast("int") - 1), lambda s: F.struct(F.col("hub"), s.alias("salt")))).alias("to"),
+    return Comparison(
+        fetch=sets.of,
+        parse=lambda packed: np.frombuffer(packed, np.uint64),
+        alike=alike,
+        apart=lambda small, large: high * small < low * large,
+        apart_column=lambda small, large: small * high < large * low,
+        thin_out=thin_out,
     )
-    wanted = members.union(hubs).groupBy("cid").agg(F.collect_list("to").alias("to"))
-    held = sets.of(wanted, ["to"], "to array<struct<hub:long,salt:int>>").select(
-        "cid", "shingles", F.explode("to").alias("to")
-    )
-    held = held.select("cid", "shingles", "to.hub", "to.salt", F.pmod(F.xxhash64("to"), F.lit(groups)).alias("place"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        lots: dict[tuple, dict[int, np.ndarray]] = {}
-        columns = (table.column(c).to_pylist() for c in ("hub", "salt", "cid", "shingles"))
-        for hub, salt, cid, shingles in zip(*columns, strict=True):
-            lots.setdefault((hub, salt), {})[cid] = np.frombuffer(shingles, np.uint64)
-        found = []
-        for (hub, _), lot in lots.items():
-            centre = lot.get(hub)
-            found += [(hub, c) for c, s in lot.items() if c != hub and centre is not None and _alike(centre, s, least)]
-        return _links(found)
-
-    return checkpoint(held.groupBy("place").applyInArrow(compare, LINKS))
 
 
 def _shared(sets: DataFrame, partitions: int) -> DataFrame:
-    """cid and how many of its shingles another of these classes holds too."""
+    """item and how many of its shingles another of these classes holds too."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cid = batch.column(batch.schema.get_field_index("cid")).to_numpy(zero_copy_only=False)
-            lots = [np.frombuffer(s, np.uint64) for s in batch.column(batch.schema.get_field_index("shingles")).to_pylist()]
+            item = batch.column(batch.schema.get_field_index("item")).to_numpy(zero_copy_only=False)
+            lots = [np.frombuffer(s, np.uint64) for s in batch.column(batch.schema.get_field_index("payload")).to_pylist()]
             value = np.concatenate(lots) if lots else np.zeros(0, np.uint64)
-            owner = np.repeat(cid, [len(x) for x in lots]) if lots else cid
+            owner = np.repeat(item, [len(x) for x in lots]) if lots else item
             place = (value % np.uint64(partitions)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             place, value, owner = place[order], value[order], owner[order]
@@ -242,65 +205,11 @@ def _shared(sets: DataFrame, partitions: int) -> DataFrame:
         value = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("value").to_pylist()])
         owner = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("owner").to_pylist()])
         _, where, n = np.unique(value, return_inverse=True, return_counts=True)
-        cid, many = np.unique(owner[n[where] > 1], return_counts=True)
-        return pa.table({"cid": pa.array(cid), "shared": pa.array(many.astype(np.int64))})
-
-    dealt = sets.select("cid", "shingles").mapInArrow(deal, "place int, value binary, owner binary")
-    return dealt.groupBy("place").applyInArrow(count, "cid long, shared long").groupBy("cid").agg(F.sum("shared").alias("shared"))
-
-
-def _unsettled(entries: DataFrame) -> DataFrame:
-    """Rows (key, cid, component, ...) of buckets with several components;
-    buckets that hold the same classes count once."""
-    open_keys = (
-        entries.groupBy("key")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("many"),
-            F.bit_xor(F.xxhash64("cid")).alias("who"),
-            F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("who_else"),
-        )
-        .where("low < high")
-        .groupBy("many", "who", "who_else")
-        .agg(F.min("key").alias("key"))
-        .select("key")
-    )
-    return entries.join(open_keys, "key")
-
-
-def _across(entries: DataFrame, sets: _Sets, least: Fraction) -> DataFrame:
-    """Links between different components inside the buckets left, compared in
-    the tasks; only links come out."""
-    wanted = entries.groupBy("cid").agg(F.collect_list(F.struct("key", "component")).alias("to"))
-    held = sets.of(wanted, ["to"], "to array<struct<key:long,component:long>>")
-    held = held.select("cid", "shingles", F.explode("to").alias("to")).select("cid", "shingles", "to.*")
-
-    def compare(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("cid", "component", "shingles")), strict=True))
-        one = {cid: (component, np.frombuffer(s, np.uint64)) for cid, component, s in rows}
-        cids = sorted(one)
-        parent = {component: component for component, _ in one.values()}
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        found = []
-        by_size = sorted(cids, key=lambda c: (len(one[c][1]), c))
-        for i, a in enumerate(by_size):
-            for b in by_size[i + 1 :]:
-                if least.denominator * len(one[a][1]) < least.numerator * len(one[b][1]):
-                    break  # all further ones are too long as well
-                ra, rb = root(one[a][0]), root(one[b][0])
-                if ra != rb and _alike(one[a][1], one[b][1], least):
-                    parent[max(ra, rb)] = min(ra, rb)
-                    found.append((a, b))
-        return _links(found)
-
-    return checkpoint(held.groupBy("key").applyInArrow(compare, LINKS))
+        item, many = np.unique(owner[n[where] > 1], return_counts=True)
+        return pa.table({"item": pa.array(item), "shared": pa.array(many.astype(np.int64))})
+
+    dealt = sets.select("item", "payload").mapInArrow(deal, "place int, value binary, owner binary")
+    return dealt.groupBy("place").applyInArrow(count, "item long, shared long").groupBy("item").agg(F.sum("shared").alias("shared"))
 
 
 def near_duplicates(
@@ -318,40 +227,8 @@ def near_duplicates(
     )
     classes = checkpoint(classes)
     sets = _Sets(docs, classes, shingle)
-    entries = classes.select("cid", "n", F.explode("bands").alias("key"))
-    met = entries.groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
-    entries = checkpoint(entries.join(met, "key"))
-
-    popular = entries.groupBy("cid").agg(F.sum("many").alias("meets"))
-    hubs = (
-        entries.join(popular, "cid")
-        .groupBy("key")
-        .agg(F.max(F.struct("meets", "cid", "n")).alias("hub"))
-        .select("key", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"))
-    )
-    # What a bucket still holds apart from its hub, and the pairs with the hub.
-    entries = checkpoint(entries.join(hubs, "key").where("cid <> hub"))
-    low, high = least.numerator, least.denominator
-    pairs = checkpoint(
-        entries.where(F.least("n", "hub_n") * high >= F.greatest("n", "hub_n") * low).select("hub", "cid").distinct()
-    )
-    links = _confirmed(pairs, sets, least)
-    joined = components(links)
-
-    def labelled(joined: DataFrame) -> DataFrame:
-        return entries.join(joined.select(F.col("id").alias("cid"), "component"), "cid", "left").select(
-            "key", "cid", "n", F.coalesce("component", "cid").alias("component")
-        )
-
-    left = checkpoint(_unsettled(labelled(joined)))
-    if not left.isEmpty():
-        held = sets.of(left.groupBy("cid").agg(F.first("n").alias("n")), ["n"], "n long")
-        shared = _shared(held, max(16, shuffle_partitions(df.sparkSession)))
-        able = left.join(shared, "cid").where(F.col("shared") * high >= F.col("n") * low).select("key", "cid", "component")
-        left = checkpoint(_unsettled(able))
-        if not left.isEmpty():
-            links = checkpoint(links.union(_across(left, sets, least)))
-            joined = components(links)
+    entries = classes.select(F.explode("bands").alias("key"), F.col("cid").alias("item"), F.col("n").alias("size"))
+    joined = linked(entries, _comparison(sets, least.numerator, least.denominator))
 
     # The smallest document of each component.
     rep = classes.select("cid", "rid").join(joined.select(F.col("id").alias("cid"), "component"), "cid", "left")

@@ -12,7 +12,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolens.llm import byte_bpe, decontaminate, language_id, secret_scan, substring_rlz, suffix_dedup
+from aerolens.llm import (
+    byte_bpe,
+    decontaminate,
+    embedding_forest,
+    language_id,
+    minhash_dedup,
+    secret_scan,
+    substring_rlz,
+    suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +38,10 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs, ~held_out())
@@ -67,6 +80,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.close_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -81,10 +98,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_minhash_dedup": op1_minhash_dedup,
         "op2_language_id": op2_language_id,
         "op3_secret_scan": op3_secret_scan,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_byte_bpe": op6_byte_bpe,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op10_decontamination": op10_decontamination,
     }
