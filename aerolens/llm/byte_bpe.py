@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from aerolens.llm.common import documents, text_array
+from aerolens.llm.common import column, documents, text_array
 
 #: Pieces a worker remembers before it starts anew.
 KEPT_PIECES = 400_000
@@ -166,26 +166,49 @@ def byte_bpe(
     return documents(df, id_col, text_col).mapInArrow(encode, schema)
 
 
+def _digests(ranks_file: str, pattern: str, keep: int, with_ids: bool):
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = codec(ranks_file, pattern)
+        for batch in batches:
+            for rows in range(0, batch.num_rows, 1000):
+                part = batch.slice(rows, 1000)
+                packed = code.encode(text_array(part).to_pylist())
+                decoded = [code.decode(np.frombuffer(x, "<u4")) for x in packed]
+                columns = {part.schema.names[k]: part.column(k) for k in range(keep)}
+                if with_ids:
+                    ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))).astype(np.int32)
+                    columns["ids"] = pa.ListArray.from_arrays(
+                        pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4"))
+                    )
+                columns["n_tokens"] = pa.array([len(x) // 4 for x in packed], pa.int64())
+                columns["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string())
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return digest
+
+
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def byte_bpe_digest(
     df: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the packed ids and of the decoded bytes,
     without handing the ids themselves back to Spark."""
+    docs = documents(df, id_col, text_col)
+    return docs.mapInArrow(_digests(ranks_file, pattern, 1, False), f"doc_id long, {DIGESTS}")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = codec(ranks_file, pattern)
-        for batch in batches:
-            packed = code.encode(text_array(batch).to_pylist())
-            decoded = [code.decode(np.frombuffer(x, "<u4")) for x in packed]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(x) // 4 for x in packed], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return documents(df, id_col, text_col).mapInArrow(digest, schema)
+
+def tokenized(
+    df: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """doc_id, source, ids and their digests: the tokens to train on."""
+    docs = df.select(
+        column(df, id_col).cast("long").alias("doc_id"),
+        column(df, source_col).cast("string").alias("source"),
+        column(df, text_col).cast("string").alias("text"),
+    )
+    return docs.mapInArrow(
+        _digests(ranks_file, pattern, 2, True), f"doc_id long, source string, ids array<int>, {DIGESTS}"
+    )

@@ -222,6 +222,25 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
     )
 
 
+def _indexes(
+    docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, text_col: str, part_bytes: int
+) -> list[Index]:
+    """The benchmark in parts, each with its windows by rarest shingle."""
+    items = benchmark.select(
+        column(benchmark, item_col).cast("string").alias("item"),
+        column(benchmark, text_col).cast("string").alias("text"),
+    ).where("item is not null and text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
+    parts = max(1, -(-2 * size // part_bytes))
+    found = []
+    for part in range(parts):
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part).collect()
+        windows = Windows([(r["item"], r["text"]) for r in rows], window)
+        wanted = sorted({s for own in windows.shingles() for s in own})
+        found.append(Index(windows, _shingle_counts(docs, wanted)))
+    return found
+
+
 def contamination(
     df: DataFrame,
     benchmark: DataFrame,
@@ -238,20 +257,36 @@ def contamination(
     Runs one pass over the documents for each ``part_bytes`` of benchmark text
     while the plan is built, to count the shingles, and one when it is read."""
     docs = documents(df, id_col, text_col)
-    items = benchmark.select(
-        column(benchmark, item_col).cast("string").alias("item"),
-        column(benchmark, item_text_col).cast("string").alias("text"),
-    ).where("item is not null and text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
-    parts = max(1, -(-2 * size // part_bytes))
-    found = []
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part).collect()
-        windows = Windows([(r["item"], r["text"]) for r in rows], window)
-        wanted = sorted({s for own in windows.shingles() for s in own})
-        found.append(_find(docs, Index(windows, _shingle_counts(docs, wanted))))
-    result = found[0] if parts == 1 else _merged(found)
+    found = [_find(docs, index) for index in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes)]
+    result = found[0] if len(found) == 1 else _merged(found)
     n_hit = F.expr("aggregate(spans, 0L, (n, x) -> n + x.end - x.start)")
     return result.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), "spans", "items", (F.size("spans") > 0).alias("contaminated")
     )
+
+
+def uncontaminated(
+    df: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    part_bytes: int = 8 << 20,
+) -> DataFrame:
+    """The rows of ``df``, with their own columns, in which no window occurs."""
+    docs = documents(df, id_col, text_col)
+    for index in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes):
+
+        def clean(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = np.ones(batch.num_rows, bool)
+                for block in blocks(text_array(batch, text_col)):
+                    found = words(block, ALNUM, lower=True)
+                    starts, _ = index.hits(found)
+                    good[block.first + found.row[starts]] = False
+                yield batch.filter(pa.array(good))
+
+        df = df.mapInArrow(clean, df.schema)
+    return df

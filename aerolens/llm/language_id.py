@@ -203,22 +203,12 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
-def predict_beside(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with all their columns, then lang_pred, score and rejected."""
-    from pyspark.sql import types as T
-
-    schema = T.StructType(
-        [
-            *df.schema.fields,
-            T.StructField("lang_pred", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("rejected", T.BooleanType()),
-        ]
-    )
-    return df.mapInArrow(_predictor(model, df.columns, text_col), schema)
+def accepted(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are not rejected, with their own columns."""
+    return df.mapInArrow(_predictor(model, df.columns, text_col, only_accepted=True), df.schema)
 
 
-def _predictor(model: Model, keep: list[str], text_col: str = "text"):
+def _predictor(model: Model, keep: list[str], text_col: str = "text", only_accepted: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores, rejected = [], [], []
@@ -236,6 +226,9 @@ def _predictor(model: Model, keep: list[str], text_col: str = "text"):
                     langs.append(model.languages[best[r]] if known else UNKNOWN)
                     scores.append(min(1.0, float(p[r, best[r]])) if known else 0.0)
                     rejected.append(not known or scores[-1] < model.reject_below)
+            if only_accepted:
+                yield batch.filter(pa.array([not x for x in rejected], pa.bool_()))
+                continue
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in keep]
                 + [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],

@@ -33,6 +33,7 @@ from aerolens.llm.common import (
     NOT_BLANK,
     blocks,
     checkpoint,
+    column,
     documents,
     keyed,
     mix,
@@ -212,12 +213,9 @@ def _shared(sets: DataFrame, partitions: int) -> DataFrame:
     return dealt.groupBy("place").applyInArrow(count, "item long, shared long").groupBy("item").agg(F.sum("shared").alias("shared"))
 
 
-def near_duplicates(
-    df: DataFrame, shingle: int = 4, similarity: str = "0.8", id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, for every row of ``df``."""
-    least = Fraction(similarity)
-    docs = keyed(documents(df, id_col, text_col))
+def _grouped(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
+    """rid, rtext, doc_id and n of all rows, and ``least``: the smallest rid
+    of their component, null for empty sets."""
     signed = checkpoint(_signed(docs, shingle))
     classes = (
         signed.where("n > 0")
@@ -235,7 +233,14 @@ def near_duplicates(
     rep = rep.select("cid", "rid", F.coalesce("component", "cid").alias("component"))
     least_rid = rep.groupBy("component").agg(F.min("rid").alias("least"))
     of_class = rep.join(least_rid, "component").select("cid", "least")
-    result = signed.select("doc_id", "rid", "n", "cid").join(of_class, "cid", "left")
+    return signed.select("rid", "rtext", "doc_id", "n", "cid").join(of_class, "cid", "left").drop("cid")
+
+
+def near_duplicates(
+    df: DataFrame, shingle: int = 4, similarity: str = "0.8", id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, for every row of ``df``."""
+    result = _grouped(keyed(documents(df, id_col, text_col)), shingle, Fraction(similarity))
     component = F.coalesce("least", "rid")
     return result.select(
         "doc_id",
@@ -243,3 +248,15 @@ def near_duplicates(
         F.when(component != NO_ID, component).alias("component_id"),
         (component == F.col("rid")).alias("kept"),
     )
+
+
+def one_of_each(
+    df: DataFrame, shingle: int = 5, similarity: str = "0.8", id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` that stay: of each group the smallest id. Rows equal
+    in id and text stay together."""
+    result = _grouped(keyed(documents(df, id_col, text_col)), shingle, Fraction(similarity))
+    gone = result.where("least < rid").select(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"))
+    rid = F.coalesce(column(df, id_col).cast("long"), F.lit(NO_ID))
+    rtext = F.xxhash64(column(df, text_col).cast("string"))
+    return df.join(gone, (rid == F.col("_rid")) & (rtext == F.col("_rtext")), "left_anti")

@@ -17,6 +17,8 @@ from aerolens.llm import (
     decontaminate,
     embedding_forest,
     language_id,
+    license_scan,
+    line_dedup,
     minhash_dedup,
     secret_scan,
     substring_rlz,
@@ -84,6 +86,28 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_forest.close_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.licenses(_table(spark, sf_dir, "documents"))
+    spans = F.transform("findings", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(spans, ",").alias("findings"),
+        F.coalesce(F.array_max(F.transform("findings", lambda x: x["coverage"])), F.lit(0.0)).alias("coverage"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -105,5 +129,7 @@ def queries() -> dict[str, Query]:
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_embedding_dedup": op7_embedding_dedup,
+        "op8_line_dedup": op8_line_dedup,
+        "op9_license_scan": op9_license_scan,
         "op10_decontamination": op10_decontamination,
     }
