@@ -1,14 +1,54 @@
 """A training-corpus pipeline over ``documents``, stage after stage.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` applies
-them in order to the table ``documents``.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of ``documents``. ``run`` applies them in order to the
+table. Rows with null text or text without letters go in the first stage; no
+later stage drops a clean document.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from aerolens.llm import byte_bpe, decontaminate, language_id, line_dedup, minhash_dedup
+from aerolens.llm.queries import RANKS, held_out
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model rejects go (operator 2)."""
+    return language_id.accepted(docs, language_id.train(docs, ~held_out()))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stand earlier, up to two edits, go (operator 8)."""
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (operator 1):
+    shingles of five words, similarity 0.8."""
+    return minhash_dedup.one_of_each(docs)
+
+
+def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go (operator 10)."""
+    return decontaminate.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, and digests of the round trip (operator 6)."""
+    return byte_bpe.tokenized(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_documents),
+    ("byte-level BPE", encode_tokens),
+]
 
 #: SQL can't express the language model nor the tokenizer.
 ORACLE_SQL = None
