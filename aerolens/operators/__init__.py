@@ -1,5 +1,5 @@
 """Operators: functions from DataFrame to DataFrame (ML fitting aside)."""
 
-from aerolens.operators import distribution, enrich, filters, joins, ml, quality, reports, setops, topk
+from aerolens.operators import distribution, enrich, filters, ml, quality, reports, setops, topk
 
-__all__ = ["distribution", "enrich", "filters", "joins", "ml", "quality", "reports", "setops", "topk"]
+__all__ = ["distribution", "enrich", "filters", "ml", "quality", "reports", "setops", "topk"]

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.functions.calendar import with_calendar, with_part_of_day, with_season
-from aerolens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 from aerolens.operators.quality import drop_trailing
 
 # Columns the enrichment adds, in output order.
@@ -23,19 +22,21 @@ CALENDAR_COLUMNS = ["Year", "Month", "Day", "Day_Name", "Day_OfWeek"]
 def map_state_city(
     flights: DataFrame,
     airports: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     trim_state: bool = False,
 ) -> DataFrame:
     """Add OriginCity, OriginState, DestinationCity, DestinationState.
 
     Two left equi-joins of the flights against the same lookup, ORIGIN = IATA
     then DEST = IATA. The lookup is projected to the three columns it
-    contributes before it is broadcast. ``trim_state`` strips blanks around
-    state names (off by default: names are kept as spelt in the file).
+    contributes. Whether it is broadcast is decided where it is loaded: by a
+    hint where its size is bounded by construction, else by the planner from
+    the file's byte statistics (``spark.sql.autoBroadcastJoinThreshold``) and
+    at run time by adaptive execution, which also splits skewed keys of a
+    shuffle join. No job runs here. ``trim_state`` strips blanks around state
+    names (off by default: names are kept as spelt in the file).
     """
     state = F.trim(F.col("State")) if trim_state else F.col("State")
     lookup = airports.select(F.col("IATA"), F.col("City"), state.alias("State"))
-    lookup = broadcast_if_bounded(lookup, max_broadcast_rows)
     origin = lookup.select(
         F.col("IATA").alias("_o_code"),
         F.col("City").alias("OriginCity"),
@@ -55,12 +56,11 @@ def enrich(
     flights: DataFrame,
     airports: DataFrame,
     drop_trailing_columns: bool = True,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Clean and enrich raw flights: drop the trailing columns (P2), add city
     and state (J1), calendar columns (F1-F3), Seasons (F4), Parts_of_day (F5)."""
     base = drop_trailing(flights) if drop_trailing_columns else flights
-    out = map_state_city(base, airports, max_broadcast_rows)
+    out = map_state_city(base, airports)
     out = with_calendar(out)
     out = with_season(out)
     return with_part_of_day(out)

@@ -59,7 +59,8 @@ def with_part_of_day_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("Parts_of_day").isNotNull())
 
 
-def select_model_columns(df: DataFrame, keep_year: bool = False) -> DataFrame:
-    """The ten classifier columns (P3); ``keep_year`` carries Year for a split by year."""
-    cols = MODEL_COLUMNS + (["Year"] if keep_year else [])
+def select_model_columns(df: DataFrame, keep_year: bool = False, keep_key: bool = False) -> DataFrame:
+    """The ten classifier columns (P3); ``keep_year`` carries Year for a split
+    by year, ``keep_key`` what else the split tells rows apart by."""
+    cols = MODEL_COLUMNS + (["Year"] if keep_year else []) + (["FL_DATE", "CRS_DEP_TIME"] if keep_key else [])
     return df.select(*cols)

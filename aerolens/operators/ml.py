@@ -5,14 +5,11 @@ aggregates, and every classifier trains from partition-level statistics.
 The driver only loops over the (few) models.
 
 Differences from a naive script, on purpose:
-- every split is seeded;
+- every split is seeded and a function of the row's key, so it is the same on
+  any cluster and needs no materialised copy;
 - encoders are fitted on the training part only, so the test part cannot
   leak categories into the encoding;
-- the split rows are materialised once (checkpoint to the shared checkpoint
-  folder when the cluster names one), so the random draw is fixed and the
-  scan and enrichment are not recomputed by every model;
-- a training set with fewer partitions than the cluster has cores is
-  rebalanced once before the iterative fits;
+- vectors and labels are materialised once before the models are timed;
 - f1 and accuracy are reported under their own names, both from one
   confusion-matrix aggregate per model.
 """
@@ -21,6 +18,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,12 +33,10 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolens.session import stable
-
 # Model inputs and column names.
 CATEGORY_COLUMNS = ["OP_CARRIER", "ORIGIN", "DEST"]
 NUMERIC_COLUMNS = ["TAXI_OUT", "WHEELS_OFF", "WHEELS_ON", "TAXI_IN", "DEP_TIME", "DEP_DELAY"]
@@ -49,30 +46,54 @@ FEATURES = "features"
 PREDICTION = "prediction"
 
 
-def split_data(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42):
-    """M1 (and M8 with weights 0.7/0.3): seeded random split."""
-    return df.randomSplit(list(weights), seed)
+# What tells a row apart for the split, as text.
+SPLIT_KEY = ["FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME"]
+
+
+def _draw(key: Sequence[str], seed: int) -> Column:
+    """Eight hex digits of a hash of the seed and the row's key."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    return F.substring(F.md5(text), 1, 8)
+
 
+def _threshold(share: float) -> Column:
+    return F.lit(format(min(round(share * 16**8), 16**8 - 1), "08x"))
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the default parallelism when ``df`` has
-    fewer partitions than that (a small or single-file input); a large input
-    already has enough partitions and is left as it is."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
+def split_data(
+    df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42, key: Sequence[str] = SPLIT_KEY
+) -> list[DataFrame]:
+    """M1 (and M8 with weights 0.7/0.3): seeded split into parts of about
+    these shares, each a plain filter. A row's part depends on its key alone,
+    not on the layout; rows of equal key go together."""
+    total, edges, at = sum(weights), [], 0.0
+    for w in weights[:-1]:
+        at += w / total
+        edges.append(_threshold(at))
+    draw, out = _draw(key, seed), []
+    for low, high in zip([None, *edges], [*edges, None]):
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (draw >= low)
+        if high is not None:
+            inside = inside & (draw < high)
+        out.append(df.filter(inside))
+    return out
 
-def tag_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) -> DataFrame:
-    """M2 (and M8 with 0.7): add ``part`` = 'train' or 'test' by an
-    independent seeded draw per row.
 
-    Every row draws on its own, so each year is split in the same proportion
-    as the whole, without one split per year and a union of the parts. The
-    tagged frame is materialised so that both parts come from one draw and
-    later passes read the materialised rows.
+def tag_split(
+    df: DataFrame, train_fraction: float = 0.8, seed: int = 42, key: Sequence[str] = SPLIT_KEY
+) -> DataFrame:
+    """M2 (and M8 with 0.7): add ``part`` = 'train' or 'test'.
+
+    Every row is placed by a hash of its own key, so each year is split in
+    about the same proportion as the whole, without one split per year and a
+    union of the parts, and without materialising anything: any pass over the
+    rows, on any number of partitions, gives the same parts.
     """
-    part = F.when(F.rand(seed) < train_fraction, F.lit("train")).otherwise(F.lit("test"))
-    return stable(balanced(df.withColumn("part", part)))
+    return df.withColumn(
+        "part", F.when(_draw(key, seed) < _threshold(train_fraction), F.lit("train")).otherwise(F.lit("test"))
+    )
 
 
 def parts(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -87,24 +108,33 @@ def feature_pipeline(
     categories: Sequence[str] = CATEGORY_COLUMNS,
     numerics: Sequence[str] = NUMERIC_COLUMNS,
 ) -> Pipeline:
-    """M3-M6: index categories (most frequent = 0, null or unseen rows skipped),
-    index the label, one-hot encode (last level dropped), assemble with the
-    numeric columns (rows with a null input skipped)."""
+    """M3-M6: index categories (most frequent = 0; null or unseen values get an
+    index of their own, so no row is lost to them), index the label, one-hot
+    encode (that last index is the dropped level), assemble with the numeric
+    columns (a row with a null number has no vector and is skipped; see
+    ``unusable``)."""
+    # The suffixes of the encoded columns.
     index_out = [c + "_Index" for c in categories]
     onehot_out = [c + "_OneHot" for c in categories]
     return Pipeline(stages=[
-        StringIndexer(inputCols=list(categories), outputCols=index_out, handleInvalid="skip"),
+        StringIndexer(inputCols=list(categories), outputCols=index_out, handleInvalid="keep"),
         StringIndexer(inputCol=LABEL_SOURCE, outputCol=LABEL),
-        OneHotEncoder(inputCols=index_out, outputCols=onehot_out),
+        OneHotEncoder(inputCols=index_out, outputCols=onehot_out, handleInvalid="error"),
         VectorAssembler(inputCols=onehot_out + list(numerics), outputCol=FEATURES, handleInvalid="skip"),
     ])
 
 
+def unusable(df: DataFrame, numerics: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """One row: how many rows the assembler skips for a null number."""
+    lost = reduce(or_, [F.col(c).isNull() for c in numerics])
+    return df.select(F.count(F.when(lost, F.lit(1))).alias("skipped"))
+
+
 def prepare(train: DataFrame, test: DataFrame) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """M7: fit the feature pipeline on ``train``, transform both parts and keep
-    the original columns plus ``features`` and ``label_index``."""
+    the original columns, the category indices, ``features`` and ``label_index``."""
     model = feature_pipeline().fit(train)
-    keep = train.columns + [FEATURES, LABEL]
+    keep = train.columns + [c + "_Index" for c in CATEGORY_COLUMNS] + [FEATURES, LABEL]
     return model, model.transform(train).select(keep), model.transform(test).select(keep)
 
 
@@ -165,33 +195,31 @@ def confusion(predictions: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def evaluate(predictions: DataFrame) -> dict[str, float]:
-    """Weighted f1 and accuracy of a prediction frame, from one pass.
+def scores(predictions: DataFrame) -> DataFrame:
+    """One row (f1, accuracy), computed from the confusion matrix.
 
     Weighted f1 is the per-class F1 averaged with class frequencies as
     weights (a class with zero precision and recall counts as F1 0), the
-    definition of Spark's multiclass evaluator.
+    definition of Spark's multiclass evaluator. No rows give 0 and 0.
     """
-    cells = [(r["label"], r["prediction"], r["n"]) for r in confusion(predictions).collect()]
-    total = sum(n for _, _, n in cells)
-    if total == 0:
-        return {"f1": 0.0, "accuracy": 0.0}
-    labels = {lab for lab, _, _ in cells}
-    tp = {lab: 0 for lab in labels}
-    actual = {lab: 0 for lab in labels}
-    predicted: dict[float, int] = {}
-    for lab, pred, n in cells:
-        actual[lab] += n
-        predicted[pred] = predicted.get(pred, 0) + n
-        if lab == pred:
-            tp[lab] += n
-    f1 = 0.0
-    for lab in labels:
-        precision = tp[lab] / predicted[lab] if predicted.get(lab) else 0.0
-        recall = tp[lab] / actual[lab] if actual[lab] else 0.0
-        score = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
-        f1 += score * actual[lab] / total
-    return {"f1": f1, "accuracy": sum(tp.values()) / total}
+    cells = confusion(predictions)
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    actual = cells.groupBy("label").agg(F.sum("n").alias("actual"), F.sum(hit).alias("hits"))
+    guessed = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("guessed"))
+    # At most one row for each class on either side.
+    both = actual.join(F.broadcast(guessed), "label", "left")
+    # 2PR / (P + R) with P = hits / guessed and R = hits / actual.
+    f1 = 2.0 * F.col("hits") / (F.col("actual") + F.coalesce("guessed", F.lit(0)))
+    total = F.sum("actual")
+    return both.select(
+        F.coalesce(F.round(F.sum(f1 * F.col("actual")) / total, 12), F.lit(0.0)).alias("f1"),
+        F.coalesce(F.round(F.sum("hits") / total, 12), F.lit(0.0)).alias("accuracy"),
+    )
+
+
+def evaluate(predictions: DataFrame) -> dict[str, float]:
+    """The scores of a prediction frame as numbers."""
+    return scores(predictions).first().asDict()
 
 
 # The classifiers compared and the names they are reported under.
@@ -220,15 +248,16 @@ def compare_models(
     """Fit each model on ``train``, score it on ``test``; one row per model
     (algorithm, f1, accuracy, seconds for fit and score)."""
     models = default_models() if models is None else models
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    # Only what fitting and scoring read, and there before the clock starts.
+    train, test = (f.select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK) for f in (train, test))
     rows = []
     try:
+        train.count(), test.count()
         for name, estimator in models.items():
             start = time.perf_counter()
             fitted = estimator.fit(train)
-            scores = evaluate(fitted.transform(test))
-            rows.append((name, scores["f1"], scores["accuracy"], time.perf_counter() - start))
+            found = evaluate(fitted.transform(test))
+            rows.append((name, found["f1"], found["accuracy"], time.perf_counter() - start))
     finally:
         train.unpersist()
         test.unpersist()

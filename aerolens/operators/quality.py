@@ -7,7 +7,7 @@ partial aggregates computed inside every scan task and merged once.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,17 @@ def null_percentages(df: DataFrame) -> DataFrame:
     )
 
 
+def null_percentages_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The null profile of every group (A18 for each year in one job)."""
+    total = F.count(F.lit(1)).cast("double")
+    shares = [
+        (F.count(F.when(F.col(c).isNull(), F.lit(1))).cast("double") / total * F.lit(100.0)).alias(c)
+        for c in df.columns
+        if c not in keys
+    ]
+    return df.groupBy(*keys).agg(*shares)
+
+
 def shape(df: DataFrame) -> DataFrame:
     """One row with the row count and the column count."""
     return df.select(

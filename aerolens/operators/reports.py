@@ -18,7 +18,8 @@ scheduled ones.
 
 Reports whose reference form takes a year (A2, A3, A4, A8) accept
 ``year=None``; for A2, A3 and A8 that computes the report for every year in
-one aggregation, grouped by Year, instead of one job per year.
+one aggregation, grouped by Year, instead of one job per year. For A4 it means
+all years together; ``top_destination_states_per_year`` has every year.
 """
 
 from __future__ import annotations
@@ -103,6 +104,21 @@ def finish_top_destination_states(agg: DataFrame, k: int = 10) -> DataFrame:
     return top_k(agg, k, "Number", ["DestinationState"])
 
 
+def top_destination_states_per_year(df: DataFrame, k: int = 10) -> DataFrame:
+    """A4 for every year from one aggregate: the k largest states of each Year."""
+    agg = df.groupBy("Year", "DestinationState").agg(_flown().alias("Number"))
+    return finish_top_destination_states_per_year(agg, k)
+
+
+def finish_top_destination_states_per_year(agg: DataFrame, k: int = 10) -> DataFrame:
+    """Exactly k rows a year, ties at the cut broken by state, as in ``top_k``."""
+    w = Window.partitionBy("Year").orderBy(F.col("Number").desc(), F.col("DestinationState").asc_nulls_first())
+    cut = agg.withColumn("_row", F.row_number().over(w)).filter(F.col("_row") <= k)
+    return cut.select("Year", "DestinationState", "Number").orderBy(
+        "Year", F.desc("Number"), F.col("DestinationState").asc_nulls_first()
+    )
+
+
 # A5, A6, A10, A15 -----------------------------------------------------------------
 
 def top_states_per_year(df: DataFrame, k: int = 5) -> DataFrame:

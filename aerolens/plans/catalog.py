@@ -1,13 +1,13 @@
 """Named queries over the driver's tables: name -> callable(spark, sf_dir).
 
 Each query reads the given parquet tables (through the derived flights and
-airports views) and returns a DataFrame; nothing is collected here except the
-few scalars a plan needs (a lookup's row count, the year range) and the ML
-fits, which are actions by nature.
+airports views) and returns a DataFrame. Only the ML fits run jobs while a query is
+built.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +16,22 @@ from pyspark.sql import functions as F
 from aerolens.operators import distribution, filters, quality, reports
 from aerolens.operators.setops import combine
 from aerolens.plans import single_pass
-from aerolens.plans.modeling import feature_vectors, model_comparison, stratified_split_counts
-from aerolens.plans.tables import enriched_flights, labelled_flights, model_input
+from aerolens.plans.modeling import (
+    feature_vectors,
+    model_comparison,
+    perceptron_scores,
+    rule_scores,
+    stratified_split_counts,
+)
+from aerolens.plans.tables import enriched_flights, labelled_flights, model_input, model_rows
+from aerolens.sources.files import register
 from aerolens.sources.fixture import load_flights
 
 # The parameters the registered reports run with.
 STATE_A = "NATION_5"
 STATE_B = "NATION_7"
+ONE_YEAR = 1998
+SPLIT_DATE = "1998-07-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,16 +49,43 @@ def _flown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _union_by_name_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U1 with P8: split the cleaned flights into one frame per year and union
-    them back by name, for every year from the first to the last."""
+    """The cleaned flights as three frames, before a date, since, and
+    undated, each with its columns in another order, put together by name.
+    The predicates cover every row once; three scans, no job while planning."""
     flights = quality.drop_trailing(load_flights(spark, sf_dir))
-    bounds = flights.select(
-        F.min(F.year("FL_DATE")).alias("lo"), F.max(F.year("FL_DATE")).alias("hi")
-    ).first()
-    if bounds["lo"] is None:
-        return flights
-    yearly = [filters.for_year(flights, y) for y in range(bounds["lo"], bounds["hi"] + 1)]
-    return combine(*yearly)
+    date, since = F.col("FL_DATE"), F.lit(SPLIT_DATE).cast("date")
+    columns = flights.columns
+    return combine(
+        flights.filter(date < since),
+        flights.filter(date >= since).select(columns[::-1]),
+        flights.filter(date.isNull()).select(sorted(columns)),
+    )
+
+
+def _flights_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 on a table that has Year but no date."""
+    return filters.for_year(_enriched(spark, sf_dir).drop("FL_DATE"), ONE_YEAR)
+
+
+def _null_percentages_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flights = load_flights(spark, sf_dir)
+    return quality.null_percentages_by(flights.withColumn("Year", F.year("FL_DATE")), ["Year"])
+
+
+def _registered_carrier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched flights under a name of their own, read by SQL."""
+    name = f"flights_{uuid.uuid4().hex}"
+    register(_enriched(spark, sf_dir), name)
+    try:
+        return spark.sql(f"SELECT OP_CARRIER, COUNT(*) AS Number FROM {name} GROUP BY OP_CARRIER")
+    finally:
+        spark.catalog.dropTempView(name)
+
+
+def _single_pass_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A finished report out of the shared aggregate."""
+    aggs = single_pass.report_aggregates(_enriched(spark, sf_dir))
+    return single_pass.reports_from_aggregates(aggs, STATE_A, STATE_B)["carrier_average_delays"]
 
 
 def _label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +101,16 @@ def queries() -> dict[str, Query]:
         "flights_shape": lambda s, d: quality.shape(load_flights(s, d)),
         "drop_trailing_columns": lambda s, d: quality.drop_trailing(load_flights(s, d)),
         "union_by_name_years": _union_by_name_years,
+        "null_percentages_per_year": _null_percentages_per_year,
+        "drop_named_columns": lambda s, d: quality.drop_columns(load_flights(s, d), ["EXTRA_1", "DISTANCE", "absent"]),
+        "flights_in_year": _flights_in_year,
+        "registered_carrier_counts": _registered_carrier_counts,
         # reports
+        "flights_per_month_in_year": _report(reports.flights_per_month, year=ONE_YEAR),
+        "flights_per_carrier_in_year": _report(reports.flights_per_carrier, year=ONE_YEAR),
+        "flights_per_weekday_in_year": _report(reports.flights_per_weekday, year=ONE_YEAR),
+        "top_destination_states_in_year": _report(reports.top_destination_states, year=ONE_YEAR),
+        "top_destination_states_per_year": _report(reports.top_destination_states_per_year),
         "top_origins": _report(reports.top_origins),
         "flights_per_month": _report(reports.flights_per_month),
         "flights_per_carrier": _report(reports.flights_per_carrier),
@@ -85,6 +130,7 @@ def queries() -> dict[str, Query]:
         "top_origin_pairs_by_daypart": _report(reports.top_origin_pairs_by_daypart),
         "top_destination_pairs_by_daypart": _report(reports.top_destination_pairs_by_daypart),
         # the base measures of all reports from one scan (GROUPING SETS)
+        "single_pass_carrier_delays": _single_pass_carriers,
         "report_aggregates": lambda s, d: single_pass.report_aggregates(_enriched(s, d)),
         # cleaning and labels
         "flown_flights": _flown,
@@ -95,10 +141,13 @@ def queries() -> dict[str, Query]:
         "delay_box_summary": lambda s, d: distribution.box_summary(_flown(s, d)),
         "delay_outliers": lambda s, d: distribution.delay_outliers(_flown(s, d)),
         "outlier_histogram": lambda s, d: distribution.outlier_histogram(_flown(s, d)),
-        # ML (no SQL oracle: random splits and fitted models)
-        "stratified_split_counts": lambda s, d: stratified_split_counts(model_input(_enriched(s, d))),
-        "feature_vectors": lambda s, d: feature_vectors(model_input(_enriched(s, d))),
-        "model_comparison": lambda s, d: model_comparison(model_input(_enriched(s, d))),
+        # ML; fitted models have no SQL oracle, what goes into them and how
+        # they are scored has
+        "stratified_split_counts": lambda s, d: stratified_split_counts(model_rows(_enriched(s, d))),
+        "feature_vectors": lambda s, d: feature_vectors(model_rows(_enriched(s, d))),
+        "classification_scores": lambda s, d: rule_scores(labelled_flights(_enriched(s, d))),
+        "model_comparison": lambda s, d: model_comparison(model_rows(_enriched(s, d))),
+        "perceptron_scores": lambda s, d: perceptron_scores(model_rows(_enriched(s, d))),
     }
 
 

@@ -13,8 +13,7 @@ Every LIMIT carries a full tie-break with explicit null ordering.
 
 from __future__ import annotations
 
-from aerolens.plans.catalog import STATE_A, STATE_B
-from aerolens.plans.single_pass import KEY_COLUMNS, REPORT_KEYS
+from aerolens.plans.catalog import ONE_YEAR, STATE_A, STATE_B
 
 FLIGHT_COLUMNS = [
     "FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME", "DEP_TIME", "DEP_DELAY",
@@ -60,12 +59,13 @@ flights AS (
     CAST(NULL AS VARCHAR) AS EXTRA_6
   FROM li3),
 airports AS (
-  SELECT concat('Airport ', lpad(CAST(c_custkey AS VARCHAR), 3, '0')) AS Airport,
-         concat('City ', CAST(c_custkey % 80 AS VARCHAR)) AS City,
+  SELECT 'Airport ' || printf('%03d', key) AS Airport,
+         'City ' || CAST(key % 80 AS VARCHAR) AS City,
          n_name AS State,
-         concat('A', lpad(CAST(c_custkey AS VARCHAR), 3, '0')) AS IATA
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey < 120),
+         'A' || printf('%03d', key) AS IATA
+  FROM (SELECT c_custkey % 120 AS key, CAST(SUM(c_nationkey) % 25 AS INTEGER) AS nation_key
+        FROM customer GROUP BY c_custkey % 120) grouped
+  JOIN nation ON nation_key = n_nationkey),
 enriched AS (
   SELECT f.FL_DATE, f.OP_CARRIER, f.ORIGIN, f.DEST, f.CRS_DEP_TIME, f.DEP_TIME, f.DEP_DELAY,
     f.TAXI_OUT, f.WHEELS_OFF, f.WHEELS_ON, f.TAXI_IN, f.ARR_TIME, f.ARR_DELAY,
@@ -142,9 +142,24 @@ def _bin_case(k: int = 10) -> str:
     )
 
 
+# The grouping columns and the nine grouping sets of the shared
+# aggregate, written out here so that a lost set on the other side shows.
+GROUPING_COLUMNS = "Year, Month, OP_CARRIER, Day_Name, DestinationState, DestinationCity, Day_OfWeek, ORIGIN, Seasons, Parts_of_day, OriginCity"
+GROUPING_SETS = [
+    "(Year, Month)",
+    "(Year, OP_CARRIER)",
+    "(Year, Day_Name)",
+    "(Year, DestinationState, DestinationCity)",
+    "(Day_Name, OP_CARRIER, Day_OfWeek)",
+    "(OP_CARRIER)",
+    "(Year, ORIGIN)",
+    "(Seasons, DestinationState)",
+    "(Parts_of_day, OriginCity, DestinationCity)",
+]
+
+
 def _report_aggregates() -> str:
-    keys = ", ".join(KEY_COLUMNS)
-    sets = ", ".join("(" + ", ".join(k) + ")" for k in REPORT_KEYS.values())
+    keys, sets = GROUPING_COLUMNS, ", ".join(GROUPING_SETS)
     return _with(
         f"""
 SELECT {keys},
@@ -160,6 +175,54 @@ GROUP BY GROUPING SETS ({sets})"""
     )
 
 
+def _parts(share: str) -> str:
+    """The labelled rows with the part that a hash of their key puts them in."""
+    edge = {"0.8": "cccccccd", "0.7": "b3333333"}[share]
+    return f"""parts AS (
+  SELECT *, CASE WHEN substr(md5(concat_ws('|', '42', CAST(FL_DATE AS VARCHAR), OP_CARRIER, ORIGIN, DEST,
+                                           CAST(CRS_DEP_TIME AS VARCHAR))), 1, 8) < '{edge}'
+            THEN 'train' ELSE 'test' END AS part
+  FROM labelled)"""
+
+
+def _feature_vectors() -> str:
+    """Indices by frequency in the train part, then by value; unknown values come last."""
+    ctes, joins = [_parts("0.7")], []
+    for k, c in enumerate(("OP_CARRIER", "ORIGIN", "DEST", "Labels")):
+        ctes.append(f"""i{k} AS (
+  SELECT {c} AS value, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c} ASC) - 1 AS DOUBLE) AS idx,
+         CAST(COUNT(*) OVER () AS DOUBLE) AS many
+  FROM parts WHERE part = 'train' AND {c} IS NOT NULL GROUP BY {c})""")
+        joins.append(f"LEFT JOIN i{k} ON p.{c} = i{k}.value")
+    index = ", ".join(
+        f"COALESCE(i{k}.idx, (SELECT MAX(many) FROM i{k})) AS {c}_Index"
+        for k, c in enumerate(("OP_CARRIER", "ORIGIN", "DEST"))
+    )
+    numbers = ["TAXI_OUT", "WHEELS_OFF", "WHEELS_ON", "TAXI_IN", "DEP_TIME", "DEP_DELAY"]
+    return (
+        ", " + ", ".join(ctes) + f" SELECT {index}, {', '.join('p.' + n for n in numbers)}, i3.idx AS label_index, p.part"
+        f" FROM parts p {' '.join(joins)} WHERE " + " AND ".join(f"p.{n} IS NOT NULL" for n in numbers)
+    )
+
+
+def _rule_scores() -> str:
+    return """, guess AS (
+  SELECT Labels AS label, CASE WHEN DEP_DELAY < -10 THEN 'Early' WHEN DEP_DELAY > 10 THEN 'Delay'
+                               ELSE 'OnTime' END AS prediction
+  FROM labelled),
+classes AS (
+  SELECT label, COUNT(*) AS actual, COUNT(*) FILTER (WHERE label = prediction) AS hits,
+         (SELECT COUNT(*) FROM guess g WHERE g.prediction = guess.label) AS guessed
+  FROM guess GROUP BY label),
+rates AS (
+  SELECT actual, hits, CASE WHEN guessed > 0 THEN hits / guessed ELSE 0 END AS precision, hits / actual AS recall
+  FROM classes)
+SELECT ROUND(SUM(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END
+                 * actual) / SUM(actual), 12) AS f1,
+       ROUND(SUM(hits) / SUM(actual), 12) AS accuracy
+FROM rates"""
+
+
 def oracle_sql() -> dict[str, str]:
     flight_cols = ", ".join(FLIGHT_COLUMNS)
     all_cols = FLIGHT_COLUMNS + EXTRA_COLUMNS
@@ -178,6 +241,48 @@ def oracle_sql() -> dict[str, str]:
             " FROM flights"
         ),
         "drop_trailing_columns": _with(f"SELECT {flight_cols} FROM flights"),
+        "null_percentages_per_year": _with(
+            "SELECT CAST(year(FL_DATE) AS INTEGER) AS Year, "
+            + ", ".join(_null_share(c) for c in all_cols) + " FROM flights GROUP BY 1"
+        ),
+        "drop_named_columns": _with(
+            "SELECT " + ", ".join(c for c in all_cols if c not in ("EXTRA_1", "DISTANCE")) + " FROM flights"
+        ),
+        "flights_in_year": _with(f"SELECT * EXCLUDE (FL_DATE) FROM enriched WHERE Year = {ONE_YEAR}"),
+        "registered_carrier_counts": _with(
+            "SELECT OP_CARRIER, COUNT(*) AS Number FROM enriched GROUP BY OP_CARRIER"
+        ),
+        "flights_per_month_in_year": _with(
+            f"SELECT Month, COUNT(*) AS Number FROM enriched WHERE Year = {ONE_YEAR} GROUP BY Month"
+        ),
+        "flights_per_carrier_in_year": _with(
+            f"SELECT OP_CARRIER, COUNT(*) AS Number FROM enriched WHERE Year = {ONE_YEAR} GROUP BY OP_CARRIER"
+        ),
+        "flights_per_weekday_in_year": _with(
+            f"SELECT Day_Name, COUNT(*) AS Number FROM enriched WHERE Year = {ONE_YEAR} GROUP BY Day_Name"
+        ),
+        "top_destination_states_in_year": _with(
+            f"SELECT DestinationState, COUNT(DEP_TIME) AS Number FROM enriched WHERE Year = {ONE_YEAR}"
+            " GROUP BY DestinationState ORDER BY Number DESC, DestinationState ASC NULLS FIRST LIMIT 10"
+        ),
+        "top_destination_states_per_year": _with(
+            """
+SELECT Year, DestinationState, Number FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY Year ORDER BY Number DESC, DestinationState ASC NULLS FIRST) AS place
+  FROM (SELECT Year, DestinationState, COUNT(DEP_TIME) AS Number FROM enriched GROUP BY Year, DestinationState) a) r
+WHERE place <= 10"""
+        ),
+        "single_pass_carrier_delays": _with(
+            "SELECT OP_CARRIER, COUNT(DEP_TIME) AS NumberOfFlightsFlown,"
+            " AVG(DEP_DELAY) AS AverageDepartureDelay, AVG(ARR_DELAY) AS AverageArrivalDelay"
+            " FROM enriched GROUP BY OP_CARRIER"
+            " ORDER BY NumberOfFlightsFlown DESC, OP_CARRIER ASC NULLS FIRST LIMIT 5"
+        ),
+        "stratified_split_counts": _with(
+            f", {_parts('0.8')} SELECT Year, part, COUNT(*) AS Number FROM parts GROUP BY Year, part"
+        ),
+        "feature_vectors": _with(_feature_vectors()),
+        "classification_scores": _with(_rule_scores()),
         "union_by_name_years": _with(f"SELECT {flight_cols} FROM flights"),
         "top_origins": _with(
             "SELECT ORIGIN, COUNT(ORIGIN) AS Number FROM enriched GROUP BY ORIGIN"

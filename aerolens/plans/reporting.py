@@ -30,7 +30,7 @@ from aerolens.operators.enrich import enrich
 from aerolens.plans.modeling import model_comparison
 from aerolens.plans.tables import labelled_flights, model_input, read_enriched, store_enriched
 from aerolens.session import build_session
-from aerolens.sources.files import read_airports, read_flights
+from aerolens.sources.files import load_profile, read_airports, read_flights
 from aerolens.sources.schemas import FLIGHTS_CSV_SCHEMA
 from aerolens.sources.sinks import write_report
 
@@ -70,6 +70,8 @@ def run_reports(
     out_dir = out_dir.rstrip("/")
     raw = read_flights(spark, flights_paths, flights_schema)
     written = {"null_percentages": write_report(quality.null_percentages(raw), out_dir, "null_percentages")}
+    profile = load_profile(spark, flights_paths, flights_schema)
+    written["load_profile"] = write_report(profile, out_dir, "load_profile")
     table = store_enriched(enrich(raw, read_airports(spark, airports_path)), f"{out_dir}/enriched")
     enriched = read_enriched(spark, table)
     for name, frame in report_frames(enriched, state_a, state_b, years).items():

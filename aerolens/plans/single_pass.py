@@ -161,9 +161,10 @@ def reports_from_aggregates(
         "top_origin_pairs_by_daypart": R.finish_origin_pairs(pairs, k),
         "top_destination_pairs_by_daypart": R.finish_destination_pairs(pairs, k),
     }
-    for year in years:
-        one_year = year_state.filter(F.col("Year") == F.lit(int(year))).drop("Year")
-        out[f"top_destination_states_{year}"] = R.finish_top_destination_states(one_year)
+    per_year = R.finish_top_destination_states_per_year(year_state)
+    out["top_destination_states_per_year"] = (
+        per_year.filter(F.col("Year").isin([int(y) for y in years])) if years else per_year
+    )
     return out
 
 

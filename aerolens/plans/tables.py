@@ -35,6 +35,11 @@ def model_input(enriched: DataFrame) -> DataFrame:
     return select_model_columns(labelled_flights(enriched), keep_year=True)
 
 
+def model_rows(enriched: DataFrame) -> DataFrame:
+    """``model_input`` with the columns that place a row in the split."""
+    return select_model_columns(labelled_flights(enriched), keep_year=True, keep_key=True)
+
+
 def store_enriched(enriched: DataFrame, path: str) -> str:
     """Write the enriched table once, partitioned by Year."""
     return write_table(enriched, path, partition_by=["Year"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolens.sources.schemas import AIRPORTS_SCHEMA, FLIGHTS_CSV_SCHEMA
@@ -20,21 +21,39 @@ def read_csv(
     paths: str | Sequence[str],
     schema: T.StructType | str,
     header: bool = True,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Header CSV with a declared schema.
 
-    Columns are bound by position (the header line is skipped, not parsed
-    for types), so ``schema`` must follow the file's column order.
-    ``paths`` may be a single path, a glob or a list: one read, one plan (S3).
+    Every file's header is checked against the schema: names must agree, in
+    order, or reading fails; no column is bound to another's values.
+    ``malformed`` names a string column that holds the text of lines with a
+    value that doesn't fit its type (null for good lines); without it such
+    values are null. ``paths`` may be a single path, a glob or a list: one
+    read, one plan (S3).
     """
     if isinstance(paths, str):
         paths = [paths]
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .csv(list(paths))
-    )
+    reader = spark.read.option("header", header).option("enforceSchema", not header).option("mode", "PERMISSIVE")
+    if malformed:
+        declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        schema = T.StructType([*declared.fields, T.StructField(malformed, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    return reader.schema(schema).csv(list(paths))
+
+
+def load_profile(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str
+) -> DataFrame:
+    """One row: ``lines`` read, ``malformed`` lines (with a value that doesn't
+    fit its type), and ``missing_<column>``, the null values of each column."""
+    frame = read_csv(spark, paths, schema, malformed="_malformed")
+    missing = [
+        F.count(F.when(F.col(f"`{c}`").isNull(), F.lit(1))).alias(f"missing_{c}")
+        for c in frame.columns
+        if c != "_malformed"
+    ]
+    return frame.agg(F.count(F.lit(1)).alias("lines"), F.count("_malformed").alias("malformed"), *missing)
 
 
 def read_flights(

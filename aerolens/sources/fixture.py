@@ -24,7 +24,10 @@ from aerolens.sources.schemas import (
 
 
 def _code(prefix: str, value: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
+    """``prefix`` and the number, padded to ``width``; longer numbers stay whole."""
+    digits = value.cast("string")
+    padded = F.when(F.length(digits) > width, digits).otherwise(F.lpad(digits, width, "0"))
+    return F.concat(F.lit(prefix), padded)
 
 
 def flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -82,29 +85,33 @@ def flights_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-# Fixed value: customers below this key stand in for airports.
-AIRPORT_KEY_LIMIT = 120
+# Customers fall into this many airports, by key; the sum of an
+# airport's nation keys picks its nation.
+AIRPORTS = 120
+NATIONS = 25
 
 
 def airports_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Airport lookup (Airport, City, State, IATA) from customer and nation.
+    """Airport lookup (Airport, City, State, IATA) from all customers and nation.
 
-    The key filter reaches the parquet scan. ``nation`` is a plain file scan,
-    so Spark's size statistics for it are exact file sizes and the planner's
-    own broadcast threshold decides; no hint is needed.
+    A partial aggregate over the whole table leaves one row for each airport.
+    That makes the result ``AIRPORTS`` rows at most whatever the input, so it
+    is marked for broadcast here, where the bound is known. ``nation`` is a
+    plain file scan, for which the planner's byte statistics decide.
     """
-    key = F.col("c_custkey")
-    picked = customer.filter(key < AIRPORT_KEY_LIMIT).select("c_custkey", "c_nationkey")
-    return picked.join(
-        nation.select("n_nationkey", "n_name"),
-        picked.c_nationkey == F.col("n_nationkey"),
-        "inner",
+    grouped = customer.groupBy((F.col("c_custkey") % AIRPORTS).alias("key")).agg(
+        (F.sum("c_nationkey") % NATIONS).cast("int").alias("nation_key")
+    )
+    key = F.col("key")
+    lookup = grouped.join(
+        nation.select("n_nationkey", "n_name"), grouped.nation_key == F.col("n_nationkey"), "inner"
     ).select(
         _code("Airport ", key, 3).alias("Airport"),
         F.concat(F.lit("City "), (key % 80).cast("string")).alias("City"),
         F.col("n_name").alias("State"),
         _code("A", key, 3).alias("IATA"),
     )
+    return F.broadcast(lookup)
 
 
 def load_flights(spark, sf_dir: str) -> DataFrame:

@@ -1,132 +1,84 @@
-"""Reference-shape timings for bench.py.
-
-Each function computes the same result as one of the library's queries, but
-with the execution pattern of a straightforward single script: one count job
-per profiled column, a report re-executed for every list pulled to the
-driver, two aggregates joined, whole delay columns collected for numpy, and
-models fitted on uncached data. These are our own renderings for comparison,
-not part of the library.
+"""Execution patterns to compare the library's plans with (bench.py).
+
+A script that draws charts tends to run one job for each profiled column, to
+run a report again for each list that it pulls to the driver, and to collect
+whole columns. Each function below puts such a pattern on top of the library's
+own frames; no query is restated here.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.operators import ml
+from aerolens.operators import distribution, filters, quality, reports
 from aerolens.plans.catalog import STATE_A, STATE_B
-from aerolens.plans.tables import enriched_flights, model_input
+from aerolens.plans.tables import enriched_flights
 from aerolens.sources.fixture import load_flights
 
 
+def pull_lists(report: DataFrame) -> list[list]:
+    """Every column of a report as a list, each by a run of its own."""
+    return [[row[0] for row in report.select(column).collect()] for column in report.columns]
+
+
 def null_percentages(spark, sf_dir):
     flights = load_flights(spark, sf_dir)
-    exprs = []
-    for c in flights.columns:
-        rows = flights.count()  # one full count per column
-        exprs.append((F.count(F.when(F.col(c).isNull(), F.lit(1))) / F.lit(rows) * 100).alias(c))
-    return flights.select(*exprs).collect()
+    return [quality.null_percentages(flights.select(c)).collect() for c in flights.columns]
 
 
 def top_origins(spark, sf_dir):
-    enriched_flights(spark, sf_dir).createOrReplaceTempView("ref_origins_in")
-    report = spark.sql(
-        "SELECT ORIGIN, count(ORIGIN) AS Number FROM ref_origins_in "
-        "GROUP BY ORIGIN ORDER BY Number DESC LIMIT 15"
-    )
-    # x and y lists pulled separately: the report runs twice.
-    xs = report.select(F.collect_list("ORIGIN")).first()[0]
-    ys = report.select(F.collect_list("Number")).first()[0]
-    return list(zip(xs, ys))
+    return pull_lists(reports.top_origins(enriched_flights(spark, sf_dir)))
 
 
 def top_states_per_year(spark, sf_dir):
-    enriched_flights(spark, sf_dir).createOrReplaceTempView("ref_states_in")
-    spark.sql(
-        "SELECT Year, DestinationState, count(DEP_TIME) AS Number FROM ref_states_in "
-        "GROUP BY Year, DestinationState ORDER BY Year, Number DESC"
-    ).createOrReplaceTempView("ref_states_agg")
-    return spark.sql(
-        "SELECT Year, DestinationState, Number FROM ("
-        " SELECT *, dense_rank() OVER (PARTITION BY Year ORDER BY Number DESC) AS r"
-        " FROM ref_states_agg) WHERE r <= 5 "
-        "GROUP BY Year, DestinationState, Number ORDER BY Year, Number DESC"
-    ).toPandas()
+    return pull_lists(reports.top_states_per_year(enriched_flights(spark, sf_dir)))
 
 
 def two_state_comparison(spark, sf_dir):
-    enriched_flights(spark, sf_dir).createOrReplaceTempView("ref_two_in")
-    joined = spark.sql(
-        f"SELECT a.Year, a.State1, b.State2 FROM "
-        f"(SELECT Year, count(DEP_TIME) AS State1 FROM ref_two_in "
-        f" WHERE DestinationState = '{STATE_A}' GROUP BY Year) a JOIN "
-        f"(SELECT Year, count(DEP_TIME) AS State2 FROM ref_two_in "
-        f" WHERE DestinationState = '{STATE_B}' GROUP BY Year) b ON a.Year = b.Year ORDER BY a.Year"
-    )
-    years = joined.select(F.collect_list("Year")).first()[0]
-    one = joined.select(F.collect_list("State1")).first()[0]
-    years = joined.select(F.collect_list("Year")).first()[0]
-    two = joined.select(F.collect_list("State2")).first()[0]
-    return list(zip(years, one, two))
+    """One filtered job for each state and year instead of one aggregate."""
+    flights = enriched_flights(spark, sf_dir)
+    years = pull_lists(reports.flights_per_month(flights).select("Year").distinct())[0]
+    return [
+        [filters.for_destination_state(filters.for_year(flights, y), s).agg(F.count("DEP_TIME")).collect() for y in years]
+        for s in (STATE_A, STATE_B)
+    ]
 
 
 def delay_distribution(spark, sf_dir):
-    """Box summary, outliers and histogram with both columns on the driver."""
-    flown = enriched_flights(spark, sf_dir).filter(F.col("CANCELLED") != 1)
+    """Both delay columns on the driver, summarised by numpy."""
+    flown = filters.not_cancelled(enriched_flights(spark, sf_dir))
     out = {}
-    for c in ("ARR_DELAY", "DEP_DELAY"):
+    for c in distribution.DELAY_COLUMNS:
         x = np.asarray(flown.select(F.collect_list(c)).first()[0], dtype=float)
-        q1, med, q3 = np.percentile(x, [25, 50, 75])
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        upper = x[x > hi]
-        out[c] = (q1, med, x.mean(), q3, len(x[x < lo]), np.histogram(upper, bins=10))
+        q1, median, q3 = np.percentile(x, [25, 50, 75])
+        reach = distribution.WHISKER_IQR * (q3 - q1)
+        beyond = x[x > q3 + reach]
+        out[c] = (q1, median, q3, x.mean(), x[x < q1 - reach], beyond, np.histogram(beyond, distribution.HISTOGRAM_BINS))
     return out
 
 
-def model_comparison(spark, sf_dir):
-    rows = model_input(enriched_flights(spark, sf_dir))
-    featured = ml.feature_pipeline().fit(rows).transform(rows)  # fitted on all rows
-    train, test = featured.randomSplit([0.7, 0.3], 42)
-    train.count(), test.count()
-    scores = []
-    for est in ml.default_models().values():
-        pred = est.fit(train).transform(test)
-        ev = MulticlassClassificationEvaluator(labelCol=ml.LABEL, predictionCol=ml.PREDICTION)
-        scores.append(ev.evaluate(pred))
-    return scores
-
-
-# Reference shape -> the library query it is compared with.
 SHAPES = {
     "null_percentages": null_percentages,
     "top_origins": top_origins,
     "top_states_per_year": top_states_per_year,
     "two_state_comparison": two_state_comparison,
     "delay_distribution": delay_distribution,
-    "model_comparison": model_comparison,
 }
 
-# Library queries that together produce what each shape produces.
-LIBRARY_EQUIVALENT = {
-    "null_percentages": ["null_percentages"],
-    "top_origins": ["top_origins"],
-    "top_states_per_year": ["top_states_per_year"],
-    "two_state_comparison": ["two_state_comparison"],
-    "delay_distribution": ["delay_box_summary", "delay_outliers", "outlier_histogram"],
-    "model_comparison": ["model_comparison"],
+# Library queries that together produce what each pattern produces.
+LIBRARY_EQUIVALENT = {name: [name] for name in SHAPES if name != "delay_distribution"} | {
+    "delay_distribution": ["delay_box_summary", "delay_outliers", "outlier_histogram"]
 }
 
 
 def library_delay_reports(spark, sf_dir):
-    """The library computing all three delay outputs at once (one shared,
-    materialised histogram), the like-for-like counterpart of the shape."""
-    from aerolens.operators.distribution import delay_reports
-
-    flown = enriched_flights(spark, sf_dir).filter(F.col("CANCELLED") != 1)
-    for frame in delay_reports(flown).values():
+    """All three delay outputs at once, from one shared histogram."""
+    flown = filters.not_cancelled(enriched_flights(spark, sf_dir))
+    for frame in distribution.delay_reports(flown).values():
         frame.write.format("noop").mode("overwrite").save()
 
 
-# Shapes compared with one combined library call instead of separate queries.
+# Patterns compared with one combined library call instead of separate queries.
 LIBRARY_COMBINED = {"delay_distribution": library_delay_reports}

@@ -1,6 +1,5 @@
 from aerolens.operators.enrich import LOCATION_COLUMNS, enrich, map_state_city
-from aerolens.operators.joins import broadcast_if_bounded, row_count_at_most
-from aerolens.sources.fixture import load_airports, load_flights
+from aerolens.sources.fixture import airports_from_customers, load_airports, load_flights
 from conftest import SF_SMALL, rows
 
 
@@ -36,17 +35,25 @@ def test_trim_state_is_opt_in(spark):
     assert rows(out.filter("id = 4"), "OriginState") == [("Utah",)]
 
 
-def test_lookup_beyond_bound_is_not_broadcast_but_same_result(spark):
-    small = map_state_city(_flights(spark), _airports(spark))
-    big = map_state_city(_flights(spark), _airports(spark), max_broadcast_rows=1)
-    assert sorted(rows(small)) == sorted(rows(big))
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+def test_shuffled_and_broadcast_lookup_give_the_same_rows(spark):
+    from pyspark.sql import functions as F
 
+    hinted = map_state_city(_flights(spark), F.broadcast(_airports(spark)))
+    shuffled = map_state_city(_flights(spark), _airports(spark).hint("merge"))
+    assert sorted(rows(hinted), key=str) == sorted(rows(shuffled), key=str)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
 
-def test_row_count_check(spark):
-    df = spark.range(10)
-    assert row_count_at_most(df, 10) and not row_count_at_most(df, 9)
-    assert broadcast_if_bounded(df, 9) is df
+
+def test_lookup_uses_every_customer(spark):
+    """Codes A000-A119, whatever the number of customers; none is left out."""
+    customer = spark.range(5000).selectExpr("id + 1 AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey")
+    nation = spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('N', id) AS n_name")
+    got = {r["IATA"]: r["State"] for r in airports_from_customers(customer, nation).collect()}
+    want = {}
+    for key in range(1, 5001):
+        want.setdefault(key % 120, []).append((key - 1) % 25)
+    assert got == {f"A{k:03d}": f"N{sum(v) % 25}" for k, v in want.items()}
 
 
 def test_enrich_on_fixture(spark):

@@ -3,13 +3,13 @@ from pyspark.sql import functions as F
 
 from aerolens.operators import ml
 from aerolens.plans.modeling import feature_vectors, prepared_parts, stratified_split_counts
-from aerolens.plans.tables import enriched_flights, model_input
+from aerolens.plans import tables
 from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def model_rows(spark):
-    return model_input(enriched_flights(spark, SF_SMALL)).cache()
+    return tables.model_rows(tables.enriched_flights(spark, SF_SMALL)).cache()
 
 
 def test_tag_split_partitions_rows(spark, model_rows):
@@ -18,8 +18,19 @@ def test_tag_split_partitions_rows(spark, model_rows):
     n = model_rows.count()
     assert train.count() + test.count() == n
     assert 0.75 < train.count() / n < 0.85
-    again = ml.tag_split(model_rows, 0.8, seed=3)
-    assert again.filter("part = 'train'").count() == train.count()
+    first, second, third = ml.split_data(model_rows, (0.5, 0.25, 0.25), seed=3)
+    assert first.count() + second.count() + third.count() == n
+    assert 0.45 < first.count() / n < 0.55 and 0.2 < third.count() / n < 0.3
+
+
+def test_split_does_not_depend_on_the_layout(spark, model_rows):
+    found = []
+    for n in (1, 3, 8):
+        train = ml.tag_split(model_rows.repartition(n), 0.7, seed=42).filter("part = 'train'")
+        found.append(sorted(map(str, train.collect())))
+    assert found[0] == found[1] == found[2]
+    other = ml.tag_split(model_rows, 0.7, seed=43).filter("part = 'train'")
+    assert sorted(map(str, other.collect())) != found[0]
 
 
 def test_stratified_counts_cover_every_year(spark, model_rows):
@@ -34,27 +45,36 @@ def test_feature_pipeline_fitted_on_train(spark, model_rows):
     model, train_f, test_f = ml.prepare(train, test)
     width = ml.feature_width(train_f)
     levels = [train.select(c).distinct().count() for c in ml.CATEGORY_COLUMNS]
-    assert width == sum(levels) - len(levels) + len(ml.NUMERIC_COLUMNS)
-    assert train_f.columns == train.columns + [ml.FEATURES, ml.LABEL]
+    assert width == sum(levels) + len(ml.NUMERIC_COLUMNS)
+    assert train_f.columns == train.columns + [c + "_Index" for c in ml.CATEGORY_COLUMNS] + [ml.FEATURES, ml.LABEL]
     # Indexer: most frequent label gets index 0.
     top_label = train.groupBy("Labels").count().orderBy(F.desc("count")).first()["Labels"]
     assert train_f.filter(F.col("Labels") == top_label).select(ml.LABEL).distinct().collect()[0][0] == 0.0
-    # Rows with null inputs or unseen categories are skipped, never errors.
-    assert 0 < test_f.count() <= test.count()
+    # Only rows with a null number are skipped, and counted.
+    assert test_f.count() == test.count() - ml.unusable(test).first()["skipped"]
+
+
+def test_unseen_categories_are_kept(spark, model_rows):
+    odd = model_rows.limit(3).withColumn("OP_CARRIER", F.lit("unseen")).withColumn("ORIGIN", F.lit(None).cast("string"))
+    odd = odd.union(odd.limit(1).withColumn("TAXI_IN", F.lit(None).cast("double")))
+    model, train_f, odd_f = ml.prepare(model_rows, odd)
+    assert odd_f.count() == 3 and ml.unusable(odd).first()["skipped"] == 1
+    levels = model_rows.select("OP_CARRIER").distinct().count()
+    assert {r[0] for r in odd_f.select("OP_CARRIER_Index").collect()} == {float(levels)}
 
 
 def test_feature_vectors_query(spark, model_rows):
     out = feature_vectors(model_rows)
-    assert set(out.columns) >= {ml.FEATURES, ml.LABEL, "part"}
-    assert out.count() <= model_rows.count()
+    assert set(out.columns) >= {"OP_CARRIER_Index", ml.LABEL, "part"}
+    assert out.count() == model_rows.count()
 
 
 def test_classifiers_beat_majority_class(spark, model_rows):
     train_f, test_f = prepared_parts(model_rows, seed=11)
     majority = test_f.groupBy(ml.LABEL).count().orderBy(F.desc("count")).first()["count"] / test_f.count()
-    models = {"dt": ml.decision_tree(), "lr": ml.logistic_one_vs_rest()}
+    models = ml.default_models()
     table = {r.algorithm: r for r in ml.compare_models(train_f, test_f, models).collect()}
-    assert set(table) == {"dt", "lr"}
+    assert set(table) == set(models) and len(table) == 4
     for r in table.values():
         assert r.accuracy > majority and 0 < r.f1 <= 1 and r.seconds > 0
 

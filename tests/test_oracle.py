@@ -4,17 +4,21 @@ correctness gate), plus the registry contract."""
 import pytest
 
 import __spark_entry__ as entry_module
+from aerolens.plans import catalog
+from aerolens.plans.oracle import oracle_sql
 from conftest import SF_ORACLE, SF_SMALL
 from oracle_compare import compare, duck_connection
 
-ML = {"stratified_split_counts", "feature_vectors", "model_comparison"}
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+FITTED = {"model_comparison", "perceptron_scores"}
+QUERIES = catalog.queries()
+ORACLE = oracle_sql()
 
 
 def test_registry_contract():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == ML
+    assert set(QUERIES) - set(ORACLE) == FITTED
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -32,7 +32,7 @@ def both(spark):
         "parts_of_day_share": R.parts_of_day_share(enriched),
         "top_origin_pairs_by_daypart": R.top_origin_pairs_by_daypart(enriched),
         "top_destination_pairs_by_daypart": R.top_destination_pairs_by_daypart(enriched),
-        "top_destination_states_1998": R.top_destination_states(enriched, year=1998),
+        "top_destination_states_per_year": R.top_destination_states_per_year(enriched).filter("Year = 1998"),
     }
     return shared, standalone
 
@@ -49,7 +49,7 @@ def test_every_report_is_covered(both):
     "carrier_average_delays", "airport_departure_delay", "airport_taxi_out",
     "carrier_distance_per_year", "top_states_per_season", "parts_of_day_share",
     "top_origin_pairs_by_daypart", "top_destination_pairs_by_daypart",
-    "top_destination_states_1998",
+    "top_destination_states_per_year",
 ])
 def test_single_pass_equals_standalone(both, name):
     shared, standalone = both

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from aerolens.operators.enrich import enrich
@@ -12,6 +13,7 @@ from aerolens.sources import (
     read_flights,
     write_report,
 )
+from aerolens.sources.files import load_profile, read_csv
 from aerolens.streaming import enriched_stream, start_ingest
 from conftest import SF_SMALL, rows
 
@@ -74,6 +76,25 @@ def test_airport_lookup_parsing(spark, scratch):
     assert {r[0] for r in airports.selectExpr("length(IATA)").distinct().collect()} == {3, None}
 
 
+def test_csv_header_is_checked(spark, scratch):
+    """A file whose columns stand in another order is not misread: it fails."""
+    path = f"{scratch}/permuted.csv"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("City,Airport,State,IATA\nAlpha,Alpha Intl,Texas,AAA\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_airports(spark, path).collect()
+
+
+def test_malformed_values_are_counted(spark, scratch):
+    path = f"{scratch}/dates.csv"
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("FL_DATE,N\n2018-01-05,1\n2018-99-05,2\n,x\n2018-02-01,3\n")
+    schema = "FL_DATE date, N int"
+    assert rows(load_profile(spark, path, schema)) == [(4, 2, 2, 1)]
+    lines = read_csv(spark, path, schema, malformed="_bad").collect()
+    assert sorted(r["_bad"] for r in lines if r["_bad"]) == [",x", "2018-99-05,2"]
+
+
 def test_report_sink_writes_the_data(spark, scratch):
     df = spark.createDataFrame([(1998, 3), (1999, 4)], "Year int, Number long")
     path = write_report(df, scratch, "per_year", fmt="csv")
@@ -138,7 +159,7 @@ def test_report_run_end_to_end(spark, scratch):
         got = spark.read.parquet(written[name])
         want = registry[name](spark, SF_SMALL)
         assert sorted(rows(got.select(*want.columns)), key=str) == sorted(rows(want), key=str), name
-    assert "top_destination_states_1998" in written
+    assert {r.Year for r in spark.read.parquet(written["top_destination_states_per_year"]).collect()} == {1998}
 
 
 def test_report_cli_on_public_layout_files(spark, scratch, capsys):
