@@ -7,8 +7,8 @@ aggregate inside every scan task, so a value held by a third of all flights
 still leaves each task as one row. Quantiles, whisker caps, outlier counts and
 the outlier bins are all computed from the histogram, whose size is bounded
 by the number of distinct delay values (delays are whole minutes), not by the
-number of flights. Only the outlier rows themselves (D3) read the flights a
-second time, as a map-side filter.
+number of flights. The outlier rows (D3) are the histogram's rows beyond the
+fences, each as often as its value occurs, so the flights are read once.
 
 The statistics follow the usual box-plot rules: quartiles by linear
 interpolation, fences at 1.5 x IQR beyond the quartiles, whisker caps at the
@@ -129,14 +129,18 @@ def _quartiles(
 ) -> DataFrame:
     """Per delay: count, q1, median, q3, mean and the two fences.
 
-    Exact by default: ``percentile`` over the histogram with the frequencies,
-    whose buffer per delay holds one entry per distinct value (bounded for
-    whole-minute delays). With ``buckets`` the quartiles are still exact but
-    computed by ``bucketed_quantiles``, whose tasks hold about 1/buckets of
-    the distinct values each. With ``accuracy`` they come from
-    ``percentile_approx`` over the raw ``values``, a fixed-size sketch.
+    Exact by default: the histogram is sorted by value within each delay
+    column and a running total of the frequencies tells which values hold the
+    order statistics. No buffer holds the distinct values; a sort that is too
+    large spills. With ``buckets`` the quartiles are still exact but computed
+    by ``bucketed_quantiles``, whose tasks see about 1/buckets of the distinct
+    values each. With ``accuracy`` they come from ``percentile_approx`` over
+    the raw ``values``, a fixed-size sketch.
     """
     v, n = F.col("value"), F.col("n")
+    if buckets is None and accuracy is None:
+        q = _ranked_quartiles(hist)
+        return _with_fences(q, whisker)
     side = None
     if buckets is not None:
         side = bucketed_quantiles(hist, columns, QUARTILES, buckets)
@@ -148,12 +152,47 @@ def _quartiles(
         )
     q = hist.groupBy("delay").agg(
         F.sum(n).alias("count"),
-        *([F.percentile(v, list(QUARTILES), n).alias("_q")] if side is None else []),
         (F.sum(v * n) / F.sum(n)).alias("mean"),
     )
-    if side is not None:
-        # One row per delay column on each side: a bounded broadcast.
-        q = q.join(F.broadcast(side), "delay")
+    # One row per delay column on each side: a bounded broadcast.
+    return _with_fences(q.join(F.broadcast(side), "delay"), whisker)
+
+
+def _ranked_quartiles(hist: DataFrame) -> DataFrame:
+    """count, mean and ``_q``, the quartiles, of each delay column."""
+    v, n = F.col("value"), F.col("n")
+    column = Window.partitionBy("delay")
+    upto = column.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = hist.select(
+        "delay", "value", "n", F.sum("n").over(upto).alias("_end"), F.sum("n").over(column).alias("_total")
+    )
+    begin, end, total = F.col("_end") - n, F.col("_end"), F.col("_total")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((begin <= rank) & (rank < end), v))
+
+    pieces = []
+    for k, p in enumerate(QUARTILES):
+        place = F.lit(p) * (total - 1)
+        pieces += [
+            at(F.floor(place)).alias(f"_low{k}"),
+            at(F.ceil(place)).alias(f"_high{k}"),
+            F.max(place).alias(f"_place{k}"),
+        ]
+    found = ranked.groupBy("delay").agg(
+        F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("mean"), *pieces
+    )
+
+    def between(k: int) -> Column:
+        low, high, place = F.col(f"_low{k}"), F.col(f"_high{k}"), F.col(f"_place{k}")
+        share = place - F.floor(place)
+        # Linear interpolation, weighting both neighbours as Spark's percentile does.
+        return F.when(low == high, low).otherwise((F.ceil(place) - place) * low + share * high)
+
+    return found.select("delay", "count", "mean", F.array(*map(between, range(len(QUARTILES)))).alias("_q"))
+
+
+def _with_fences(q: DataFrame, whisker: float) -> DataFrame:
     q1, q3 = F.col("_q")[0], F.col("_q")[2]
     iqr = q3 - q1
     return q.select(
@@ -234,14 +273,19 @@ def delay_outliers(
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
+    hist = _histogram(df, columns, hist, buckets)
     if stats is None:
-        hist = _histogram(df, columns, hist, buckets)
         stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
     v = F.col("value")
-    rows = _fenced(delay_values(df, columns), stats)
+    rows = _fenced(hist, stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
     side = F.when(v < F.col("q1"), F.lit("lower")).otherwise(F.lit("upper"))
-    return rows.select("delay", side.alias("side"), "value")
+    # A value that occurs very often is written out in two steps, so that no
+    # row carries a list longer than ``step``.
+    step = 10_000
+    rows = rows.select("delay", side.alias("side"), "value", "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / step))).alias("_lot"))
+    left = F.least(F.lit(step), F.col("n") - F.col("_lot") * step)
+    return rows.select("delay", "side", "value", F.explode(F.sequence(F.lit(1), left)).alias("_copy")).drop("_copy")
 
 
 def _bin_index(value: Column, first: Column, step: Column, bins: int) -> Column:
@@ -325,7 +369,7 @@ def delay_reports(
 ) -> dict[str, DataFrame]:
     """D1-D4 together: the value histogram and the quartile stats are each
     computed and materialised once (both are small), and the summary and the
-    bins are computed from them; only the outlier rows read ``df`` again."""
+    bins are computed from them, the outlier rows as well; ``df`` is read once."""
     hist = stable(value_histogram(df, columns))
     stats = stable(_quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns))
     return {
