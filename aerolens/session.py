@@ -14,7 +14,6 @@ the executors; it takes effect when this builder starts the JVMs.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -78,16 +77,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so that later reads neither recompute nor re-draw it.
-
-    With a checkpoint folder configured (shared storage on a cluster) this is a
-    reliable ``checkpoint``: lineage is cut and the data survives the loss of
-    any executor. Without one, the frame is persisted to memory and disk; a
-    lost block is then recomputed from lineage. That recomputation gives the
-    same rows because the random draws here are seeded and their inputs are
-    read in a fixed order (file scans, or a repartition that sorts before
-    distributing rows).
+    """``df`` materialised by a reliable ``checkpoint`` in the shared folder:
+    lineage is cut and the data survives the loss of any executor; the files
+    go once the frame is no longer referenced. Without a folder the frame
+    stays as it is, so the rows are the same and later reads compute it anew;
+    nothing is left in executors' memory either way.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
