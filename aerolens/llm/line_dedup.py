@@ -23,21 +23,20 @@ so they keep the same lines. Each row gives a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.llm.common import (
-    BLOCK_BYTES,
     NO_ID,
-    SpanHash,
     checkpoint,
     column,
     documents,
     keyed,
-    mix,
     shuffle_partitions,
     text_array,
 )
@@ -46,7 +45,7 @@ from aerolens.llm.linking import Comparison, linked
 #: What trimming takes off, beside the line feed between lines.
 BLANKS = " \t\r\v\f"
 #: Lines a task gathers before it sends their entries off.
-FLUSH = 100_000
+FLUSH = 50_000
 #: Rows of wanted lines up to which they are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -122,6 +121,7 @@ def _banded(a: str, b: str, most: int) -> int:
 # ---------------------------------------------------------- index and probes
 
 
+@lru_cache(maxsize=100_000)
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
     """Start and size of the parts of a line, the larger ones last."""
     size, longer = divmod(length, parts)
@@ -133,6 +133,7 @@ def segments(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
+@lru_cache(maxsize=100_000)
 def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     """(length probed, segment, start, size) of all substrings of a line of
     that length that can be a segment of a line not longer than it."""
@@ -146,23 +147,26 @@ def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def line_limits(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of each line of a block of code points, trimmed."""
-    feeds = np.flatnonzero(text == 10)
-    # A line ends at a feed and at the end of a row, which may be shared by empty rows.
-    cut = np.concatenate((feeds, ends[1:]))
-    row = np.concatenate((np.searchsorted(ends, feeds, "right") - 1, np.arange(len(ends) - 1)))
-    is_end = np.arange(len(cut)) >= len(feeds)
-    order = np.lexsort((row, cut))
-    row, cut, is_end = row[order], cut[order], is_end[order]
-    start = np.concatenate(([0], np.where(is_end, cut, cut + 1)[:-1]))
-    end = cut.copy()
-    solid = ~np.isin(text, [ord(c) for c in BLANKS])
-    next_solid = np.append(np.minimum.accumulate(np.where(solid, np.arange(len(text)), len(text))[::-1])[::-1], len(text))
-    last_solid = np.concatenate(([-1], np.maximum.accumulate(np.where(solid, np.arange(len(text)), -1))))
-    start = np.minimum(next_solid[start], end)
-    end = np.maximum(last_solid[end] + 1, start)
-    return row, start, end
+def line_id(line: str) -> int:
+    """What tells lines apart; the same as Spark's xxhash64 of the string."""
+    found = xxhash.xxh64_intdigest(line.encode(), 42)
+    return found - (1 << 64) if found >> 63 else found
+
+
+def index_keys(line: str, edits: int) -> tuple[list[int], list[bool]]:
+    """Keys of a line's index entries and probes, and which are entries."""
+    keys, indexed = [], []
+    held = line.encode() if line.isascii() else None
+    own = segments(len(line), edits + 1)
+    for shorter, k, at, size in probes(len(line), edits):
+        part = held[at : at + size] if held is not None else line[at : at + size].encode()
+        keys.append(xxhash.xxh64_intdigest(part, shorter * 64 + k))
+        indexed.append(shorter == len(line) and at == own[k][0])
+    return keys, indexed
+
+
+#: What travels of a line: a key, the line's id and length, and whether the key is an index entry.
+ENTRY = np.dtype([("key", "<u8"), ("item", "<i8"), ("size", "<i4"), ("indexed", "?")])
 
 
 class Sender:
@@ -170,65 +174,44 @@ class Sender:
 
     def __init__(self, edits: int, least_chars: int, buckets: int):
         self.edits, self.least, self.buckets = edits, least_chars, buckets
+        self.clear()
+
+    def clear(self) -> None:
         self.seen: set[int] = set()
-        self.parts: list[tuple] = []
-        self.size = 0
-
-    def add(self, span: SpanHash, item: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        new = [i for i, x in enumerate(item.tolist()) if x not in self.seen and not self.seen.add(x)]
-        if not new:
-            return
-        item, start, size = item[new], start[new], size[new]
-        self.size += len(new)
-        for length in np.unique(size).tolist():
-            own = size == length
-            base, who = start[own], item[own]
-            for shorter, k, at, wide in probes(length, self.edits):
-                index = shorter == length and at == segments(length, self.edits + 1)[k][0]
-                key = mix(span(base + at, base + at + wide) + np.uint64(shorter * 64 + k))
-                self.parts.append((key, who, np.full(len(who), length, np.int32), np.full(len(who), index)))
-
-    def rows(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
-        """(bucket, keys, items, sizes, index flags) as packed arrays."""
-        if self.parts:
-            key, item, size, index = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            place = (key % np.uint64(self.buckets)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            place, key, item, size, index = (x[order] for x in (place, key, item, size, index))
-            cut = np.searchsorted(place, np.arange(self.buckets + 1))
-            for k in np.unique(place).tolist():
-                own = slice(cut[k], cut[k + 1])
-                yield k, *((x[own]).tobytes() for x in (key, item, size, index))
-        self.seen, self.parts, self.size = set(), [], 0
-
-
-def _text_blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, code points and limits of some rows at a time."""
-    first, held, size = 0, [], 0
-    for text in texts.to_pylist():
-        held.append(text)
-        size += len(text)
-        if size >= BLOCK_BYTES:
-            yield first, *_points(held)
-            first, held, size = first + len(held), [], 0
-    if held:
-        yield first, *_points(held)
-
-
-def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    ends = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), ends
-
-
-def _hashed_lines(texts: pa.Array, least_chars: int):
-    """For some rows at a time: first row, row, number in the row, span hash, item, start and size."""
-    for first, points, ends in _text_blocks(texts):
-        row, start, end = line_limits(points, ends)
-        number = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = end - start >= least_chars
-        row, number, start, size = row[keep], number[keep], start[keep], (end - start)[keep]
-        span = SpanHash(mix(points.astype(np.uint64)))
-        yield first, row, number, span, span(start, start + size).view(np.int64), start, size
+        self.keys: list[int] = []
+        self.indexed: list[bool] = []
+        self.items: list[int] = []
+        self.sizes: list[int] = []
+        self.counts: list[int] = []
+
+    def add(self, text: str) -> None:
+        for line in text.split("\n"):
+            line = line.strip(BLANKS)
+            if len(line) < self.least:
+                continue
+            item = line_id(line)
+            if item not in self.seen:
+                self.seen.add(item)
+                keys, indexed = index_keys(line, self.edits)
+                self.keys += keys
+                self.indexed += indexed
+                self.items.append(item)
+                self.sizes.append(len(line))
+                self.counts.append(len(keys))
+
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        """Entries packed by bucket."""
+        entries = np.zeros(len(self.keys), ENTRY)
+        entries["key"], entries["indexed"] = np.array(self.keys, np.uint64), self.indexed
+        entries["item"] = np.repeat(np.array(self.items, np.int64), self.counts)
+        entries["size"] = np.repeat(np.array(self.sizes, np.int32), self.counts)
+        self.clear()
+        place = (entries["key"] % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        cut = np.searchsorted(place[order], np.arange(self.buckets + 1))
+        for k in range(self.buckets):
+            if cut[k] < cut[k + 1]:
+                yield k, entries[order[cut[k] : cut[k + 1]]].tobytes()
 
 
 def _entries(docs: DataFrame, edits: int, least_chars: int, buckets: int) -> DataFrame:
@@ -236,55 +219,47 @@ def _entries(docs: DataFrame, edits: int, least_chars: int, buckets: int) -> Dat
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(edits, least_chars, buckets)
-        names = ["place", "key", "item", "size", "indexed"]
 
         def packed() -> Iterator[pa.RecordBatch]:
             rows = list(sender.rows())
-            for at in range(0, len(rows), 16):
-                columns = zip(*rows[at : at + 16], strict=True)
-                kinds = [pa.int32(), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            for at in range(0, len(rows), 64):
+                place, entries = zip(*rows[at : at + 64], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place, pa.int32()), pa.array(entries, pa.binary())], ["place", "entries"]
+                )
 
         for batch in batches:
-            for _, _, _, span, item, start, size in _hashed_lines(text_array(batch), least_chars):
-                sender.add(span, item, start, size)
-                if sender.size >= FLUSH:
+            for text in text_array(batch):
+                sender.add(text.as_py())
+                if len(sender.items) >= FLUSH:
                     yield from packed()
         yield from packed()
 
     def meet(table: pa.Table) -> pa.Table:
-        kinds = (("key", np.int64), ("item", np.int64), ("size", np.int32), ("indexed", bool))
-        key, item, size, index = (
-            np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()]) for name, kind in kinds
-        )
-        order = np.lexsort((~index, item, key))
-        key, item, size, index = key[order], item[order], size[order], index[order]
-        first = np.ones(len(key), bool)  # of a key and line; indexed ones come first
-        first[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1])
-        key, item, size, index = key[first], item[first], size[first], index[first]
-        cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        many = np.diff(np.concatenate((cut, [len(key)])))
-        keep = np.repeat((many > 1) & (np.add.reduceat(index.astype(np.int64), cut) > 0), many)
-        return pa.table({"key": key[keep], "item": item[keep], "size": size[keep].astype(np.int64)})
-
-    sent = docs.select("text").mapInArrow(send, "place int, key binary, item binary, size binary, indexed binary")
+        e = np.concatenate([np.frombuffer(x, ENTRY) for x in table.column("entries").to_pylist()])
+        order = np.lexsort((~e["indexed"], e["item"], e["key"]))
+        e = e[order]
+        first = np.ones(len(e), bool)  # of a key and line; indexed ones come first
+        first[1:] = (e["key"][1:] != e["key"][:-1]) | (e["item"][1:] != e["item"][:-1])
+        e = e[first]
+        cut = np.flatnonzero(np.concatenate(([True], e["key"][1:] != e["key"][:-1])))
+        many = np.diff(np.concatenate((cut, [len(e)])))
+        e = e[np.repeat((many > 1) & (np.add.reduceat(e["indexed"].astype(np.int64), cut) > 0), many)]
+        return pa.table({
+            "key": pa.array(np.ascontiguousarray(e["key"]).view(np.int64)),
+            "item": pa.array(np.ascontiguousarray(e["item"])),
+            "size": pa.array(e["size"].astype(np.int64)),
+        })
+
+    sent = docs.select("text").mapInArrow(send, "place int, entries binary")
     return sent.groupBy("place").applyInArrow(meet, "key long, item long, size long")
 
 
 def _places(docs: DataFrame, least_chars: int) -> DataFrame:
     """Every line that takes part: item, its document and its number there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index
-            rid, rtext = (batch.column(at(c)).to_numpy(zero_copy_only=False) for c in ("rid", "rtext"))
-            for first, row, number, _, item, _, _ in _hashed_lines(text_array(batch), least_chars):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(item), pa.array(rid[first + row]), pa.array(rtext[first + row]), pa.array(number.astype(np.int32))],
-                    ["item", "rid", "rtext", "line"],
-                )
-
-    return docs.select("rid", "rtext", "text").mapInArrow(run, "item long, rid long, rtext long, line int")
+    lines = docs.select("rid", "rtext", F.posexplode(F.split("text", "\n", -1)).alias("line", "written"))
+    own = F.trim(F.col("written"), F.lit(BLANKS))
+    return lines.where(F.length(own) >= least_chars).select(F.xxhash64(own).alias("item"), "rid", "rtext", "line")
 
 
 def _comparison(docs: DataFrame, firsts: DataFrame, edits: int) -> Comparison:
@@ -296,11 +271,22 @@ def _comparison(docs: DataFrame, firsts: DataFrame, edits: int) -> Comparison:
         wanted = checkpoint(wanted)
         if wanted.count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
-        look = docs.select("rid", "rtext", "text").join(wanted, ["rid", "rtext"])
-        parts = F.split("text", "\n", -1)
-        look = look.select(parts.alias("parts"), F.explode("lines").alias("one"))
-        line = F.trim(F.element_at("parts", F.col("one.line") + 1), F.lit(BLANKS))
-        return look.select("one.item", *(F.col("one")[c].alias(c) for c in keep), F.encode(line, "UTF-8").alias("payload"))
+        look = docs.select("rid", "rtext", "text").join(wanted, ["rid", "rtext"]).select("text", "lines")
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lots = batch.column(1)
+                told = lots.flatten()
+                number = told.field("line").to_pylist()
+                payload, at = [], 0
+                for text, many in zip(batch.column(0), np.diff(lots.offsets.to_numpy()).tolist(), strict=True):
+                    lines = text.as_py().split("\n")
+                    payload += [lines[k].strip(BLANKS).encode() for k in number[at : at + many]]
+                    at += many
+                columns = [told.field(c) for c in ("item", *keep)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(payload, pa.binary())], ["item", *keep, "payload"])
+
+        return look.mapInArrow(cut, f"item long, {schema}, payload binary")
 
     return Comparison(
         fetch=fetch,
@@ -333,6 +319,13 @@ def repeated_lines(docs: DataFrame, edits: int, least_chars: int) -> DataFrame:
     return gone.groupBy("rid", "rtext").agg(F.array_sort(F.array_distinct(F.collect_list("line"))).alias("lines"))
 
 
+def _without(text: str | None, gone: list[int] | None) -> str | None:
+    if text is None or not gone:
+        return text
+    out = set(gone)
+    return "\n".join(line for k, line in enumerate(text.split("\n")) if k not in out)
+
+
 def line_dedup(
     df: DataFrame, edits: int = 2, least_chars: int = 16, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -340,15 +333,17 @@ def line_dedup(
     without them), for every row of ``df``."""
     docs = keyed(documents(df, id_col, text_col))
     found = repeated_lines(docs, edits, least_chars)
-    result = docs.join(found, ["rid", "rtext"], "left").select(
+    whole = docs.join(found, ["rid", "rtext"], "left").select(
         "doc_id", "text", F.coalesce("lines", F.expr("cast(array() as array<int>)")).alias("removed")
     )
-    return result.withColumn("kept", _without("text", "removed"))
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, gone = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            kept = pa.array(list(map(_without, texts, gone)), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, kept], ["doc_id", "text", "removed", "kept"])
 
-def _without(text: str, lines: str) -> Column:
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, k: ~F.array_contains(lines, k)), "\n")
-    return F.when(F.coalesce(F.size(lines), F.lit(0)) <= 0, F.col(text)).otherwise(kept)
+    return whole.mapInArrow(keep, "doc_id long, text string, removed array<int>, kept string")
 
 
 def drop_repeated_lines(
@@ -357,12 +352,19 @@ def drop_repeated_lines(
     """``df`` with repeated lines taken out of its text. Documents of which
     nothing but blanks is left, as all their lines stand elsewhere, go."""
     found = repeated_lines(keyed(documents(df, id_col, text_col)), edits, least_chars)
-    found = found.select(
-        F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"), F.col("lines").alias("_lines")
-    )
+    found = found.select(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"), F.col("lines").alias("_lines"))
     rid = F.coalesce(column(df, id_col).cast("long"), F.lit(NO_ID))
     rtext = F.xxhash64(column(df, text_col).cast("string"))
-    whole = df.join(found, (rid == F.col("_rid")) & (rtext == F.col("_rtext")), "left")
-    changed = whole.withColumn(text_col, _without(text_col, "_lines"))
-    empty = F.col("_lines").isNotNull() & (F.trim(F.col(text_col), F.lit(BLANKS + "\n")) == "")
-    return changed.where(~empty).select(*df.columns)
+    own = df.columns.index(text_col)
+    whole = df.join(found, (rid == F.col("_rid")) & (rtext == F.col("_rtext")), "left").select(*df.columns, "_lines")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gone = batch.column(batch.num_columns - 1).to_pylist()
+            texts = list(map(_without, batch.column(own).to_pylist(), gone))
+            columns = batch.columns[:-1]
+            columns[own] = pa.array(texts, columns[own].type)
+            there = [not g or bool(t.strip(BLANKS + "\n")) for t, g in zip(texts, gone, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(there, pa.bool_()))
+
+    return whole.mapInArrow(keep, df.schema)
