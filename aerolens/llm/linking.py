@@ -23,6 +23,8 @@ from aerolens.llm.common import checkpoint, components, shuffle_partitions
 
 #: Members of one hub that are compared in one place.
 HUB_MEMBERS = 500
+#: Items of a bucket that are compared with each other in one place.
+BLOCK_ITEMS = 1500
 LINKS = "a long, b long"
 
 
@@ -97,16 +99,26 @@ def _unsettled(entries: DataFrame) -> DataFrame:
 
 
 def _across(entries: DataFrame, how: Comparison) -> DataFrame:
-    """Links between different components inside the buckets left."""
-    wanted = entries.groupBy("item").agg(F.collect_list(F.struct("key", "component")).alias("to"))
-    held = how.fetch(wanted, ["to"], "to array<struct<key:long,component:long>>")
+    """Links between different components inside the buckets left. A bucket of
+    more than ``BLOCK_ITEMS`` items is cut into blocks, and every two blocks
+    meet in a place of their own, so no task holds a whole hot bucket."""
+    blocks = entries.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ITEMS).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("item", F.lit(2)), "blocks").cast("int").alias("block")
+    entries = entries.join(blocks, "key").select("key", "item", "component", "blocks", own)
+    wanted = entries.groupBy("item").agg(F.collect_list(F.struct("key", "component", "blocks", "block")).alias("to"))
+    held = how.fetch(wanted, ["to"], "to array<struct<key:long,component:long,blocks:int,block:int>>")
     held = held.select("item", "payload", F.explode("to").alias("to")).select("item", "payload", "to.*")
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "item", "component", "block", "payload",
+        F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
+    )
     parse, alike, apart = how.parse, how.alike, how.apart
 
     def compare(table: pa.Table) -> pa.Table:
-        columns = (table.column(c).to_pylist() for c in ("item", "component", "payload"))
-        one = {item: (component, parse(payload)) for item, component, payload in zip(*columns, strict=True)}
-        parent = {component: component for component, _ in one.values()}
+        columns = (table.column(c).to_pylist() for c in ("item", "component", "block", "payload"))
+        held = {item: (component, parse(payload), block) for item, component, block, payload in zip(*columns, strict=True)}
+        within = table.column("one")[0].as_py() == table.column("two")[0].as_py()
+        parent = {component: component for component, _, _ in held.values()}
 
         def root(x: int) -> int:
             while parent[x] != x:
@@ -115,18 +127,22 @@ def _across(entries: DataFrame, how: Comparison) -> DataFrame:
             return x
 
         found = []
-        by_size = sorted(one, key=lambda i: (len(one[i][1]), i))
+        by_size = sorted(held, key=lambda i: (len(held[i][1]), i))
         for i, a in enumerate(by_size):
+            component, mine, block = held[a]
             for b in by_size[i + 1 :]:
-                if apart(len(one[a][1]), len(one[b][1])):
+                other, theirs, its = held[b]
+                if apart(len(mine), len(theirs)):
                     break  # so are all larger ones
-                ra, rb = root(one[a][0]), root(one[b][0])
-                if ra != rb and alike(one[a][1], one[b][1]):
+                if not within and block == its:
+                    continue
+                ra, rb = root(component), root(other)
+                if ra != rb and alike(mine, theirs):
                     parent[max(ra, rb)] = min(ra, rb)
                     found.append((a, b))
         return _links(found)
 
-    return checkpoint(held.groupBy("key").applyInArrow(compare, LINKS))
+    return checkpoint(held.groupBy("key", "one", "two").applyInArrow(compare, LINKS))
 
 
 def linked(entries: DataFrame, how: Comparison) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from aerolens.llm import embedding_forest, line_dedup, minhash_dedup
+from aerolens.llm import embedding_forest, line_dedup, linking, minhash_dedup
 from aerolens.llm.common import components
 from llm_helpers import LOWER, WORD, Groups
 
@@ -70,7 +70,10 @@ def expected_groups(rows, size, share):
     return {i: (len(sets[i]), groups.root(i), groups.root(i) == i) for i in sets}
 
 
-def test_minhash_equals_brute_force(spark):
+@pytest.mark.parametrize("block", [1500, 7])
+def test_minhash_equals_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(linking, "BLOCK_ITEMS", block)
+    monkeypatch.setattr(linking, "HUB_MEMBERS", 5 * block)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r[0]: tuple(r)[1:] for r in minhash_dedup.near_duplicates(docs).collect()}
@@ -242,7 +245,9 @@ def expected_lines(rows, edits=2, least=16):
     return {i: sorted(gone[i]) for i, _ in rows}
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [1500, 10])
+def test_lines_equal_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(linking, "BLOCK_ITEMS", block)
     rows = lines()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = line_dedup.line_dedup(docs).collect()
