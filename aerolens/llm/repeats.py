@@ -13,13 +13,15 @@ how the remaining passages are compared.
    arrives as a few entries from each task.
 3. *Classes.* Blocks of one anchor and one content hold the same windows and
    are settled as a class. Only an anchor with several contents needs a closer
-   look; for each content one block's text is fetched.
+   look; for each content one block's text is fetched from its document.
 4. *Comparison.* The operator compares those blocks, bucket by bucket. Anchors
    with more than ``HOT_CLASSES`` contents are dealt out by the windows'
    128-bit fingerprints instead, so no bucket holds all of a hot anchor.
 
-Documents are told apart by id and text hash, see ``common.keyed``; rows equal
-in both are compared as separate documents and get the same answer.
+Documents are dealt out once, into parts of about ``PART_BYTES``, and meet what
+is found about them part by part. They are told apart by id and text hash, see
+``common.keyed``; rows equal in both are compared as separate documents and get
+the same answer.
 """
 
 from __future__ import annotations
@@ -33,30 +35,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.llm.common import Block, SpanHash, blocks, keyed, shuffle_partitions, text_array
+from aerolens.llm.common import NO_ID, Block, SpanHash, blocks, keyed, shuffle_partitions, text_array
 
 #: Blocks that a task gathers before it sends them off.
 FLUSH = 1_000_000
-#: Blocks meant for one bucket, on average.
-PER_BUCKET = 1_000_000
+#: Blocks meant for one bucket, and text meant for one part of the documents,
+#: on average: at most, and at least where there are more partitions than that
+#: takes. Buckets and parts tell each other something, so both stay few.
+PER_BUCKET, LEAST_PER_BUCKET = 1_000_000, 100_000
+PART_BYTES, LEAST_PART_BYTES = 8 << 20, 1 << 20
 #: Contents of one anchor beyond which windows travel by fingerprint.
 HOT_CLASSES = 4000
 
 SETTLED, COMPARE, REFERENCE, HOT, HOT_REFERENCE = 1, 2, 3, 4, 5
 
-ENTRY = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("size", "<u2"), ("many", "u1")])
-FOUND = np.dtype([("anchor", "<u4"), ("start", "<u4"), ("size", "<u2"), ("status", "u1")])
+ENTRY = np.dtype([("anchor", "<u4"), ("content", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("size", "u1"), ("many", "u1")])
+FOUND = np.dtype([("place", "<u4"), ("doc", "<u4"), ("start", "<u4"), ("size", "u1"), ("status", "u1")])
 PLACE = np.dtype([("doc", "<u4"), ("start", "<u4"), ("size", "<u4"), ("status", "u1")])
 PRINT = np.dtype([("high", "<u8"), ("low", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("many", "u1")])
+RUN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("end", "<u4")])
 DOC = np.dtype([("rid", "<i8"), ("rtext", "<i8")])
-SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
 
 
 @dataclass(frozen=True)
 class Passages:
     """What the two operators differ in."""
 
-    length: int  # units in a window
+    length: int  # units in a window, at most 100
     gram: int  # units in an anchor
     #: of a text block: a hash for each unit, and the first unit of each row
     units: Callable[[Block], tuple[np.ndarray, np.ndarray]]
@@ -64,8 +69,8 @@ class Passages:
     cutter: Callable[[bytes], Callable[[int, int], bytes]]
     #: whether only windows that a smaller id holds count (else: any other place)
     by_order: bool
-    #: (passages, document ids, REFERENCE or COMPARE) to a mask of window starts for each passage
-    compare: Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]]
+    #: (passages, document ids, REFERENCE or COMPARE) to the hits: passage and window start
+    compare: Callable[[list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 # --------------------------------------------------------------------- anchors
@@ -122,46 +127,60 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(cut, [*cut[1:], len(values)], strict=True)
 
 
-def _spans_row(docs: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple]:
-    """Settled spans by document."""
-    order = np.argsort(doc, kind="stable")
-    for a, b in _runs(doc[order]):
-        own = order[a:b]
-        spans = np.zeros(len(own), SPAN)
-        spans["start"], spans["end"] = start[own], end[own]
-        rid, rtext = docs[int(doc[own[0]])]
-        yield int(rid), int(rtext), merged(spans).tobytes()
-
-
-def merged(spans: np.ndarray) -> np.ndarray:
-    """Spans as the runs that they cover."""
-    if not len(spans):
-        return spans
-    spans = spans[np.argsort(spans["start"], kind="stable")]
-    reach = np.maximum.accumulate(spans["end"])
-    new = np.concatenate(([True], spans["start"][1:] > reach[:-1]))
-    cut = np.flatnonzero(new)
-    out = np.zeros(len(cut), SPAN)
-    out["start"] = spans["start"][cut]
-    out["end"] = reach[np.concatenate((cut[1:], [len(spans)])) - 1]
+def merged(runs: np.ndarray) -> np.ndarray:
+    """Runs of documents put together where they touch, by document and start."""
+    if not len(runs):
+        return runs
+    order = np.lexsort((runs["start"], runs["doc"]))
+    doc, start, end = (runs[c][order].astype(np.int64) for c in ("doc", "start", "end"))
+    wide = int(end.max()) + 1  # one document after the other on one line
+    start, reach = doc * wide + start, np.maximum.accumulate(doc * wide + end)
+    cut = np.flatnonzero(np.concatenate(([True], (start[1:] > reach[:-1]) | (doc[1:] != doc[:-1]))))
+    out = np.zeros(len(cut), RUN)
+    out["doc"] = doc[cut]
+    out["start"] = start[cut] - doc[cut] * wide
+    out["end"] = reach[np.concatenate((cut[1:], [len(doc)])) - 1] - doc[cut] * wide
     return out
 
 
+def runs_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    runs = np.zeros(len(doc), RUN)
+    runs["doc"], runs["start"], runs["end"] = doc, start, end
+    return merged(runs)
+
+
+#: Bytes of a value that travel, where not all do: with the anchor's 32 bits and
+#: its bucket's, 40 bits of the content leave chance matches out of reach.
+CARRIED = {"content": 5}
+
+
 def _with_docs(docs: np.ndarray, entries: np.ndarray) -> bytes:
-    """Entries behind the documents they name, numbered anew."""
+    """Entries behind the documents they name, numbered anew. Values travel
+    byte by byte (all first bytes, all second bytes ...), as that compresses."""
     used, renamed = np.unique(entries["doc"], return_inverse=True)
-    entries = entries.copy()
-    entries["doc"] = renamed
-    return np.int64(len(used)).tobytes() + docs[used].tobytes() + entries.tobytes()
+    parts = [np.int64([len(used), len(entries)]).tobytes(), docs[used].tobytes()]
+    for name in entries.dtype.names:
+        values = renamed.astype(entries.dtype[name]) if name == "doc" else np.ascontiguousarray(entries[name])
+        planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+        parts.append(planes[: CARRIED.get(name, values.itemsize)].tobytes())
+    return b"".join(parts)
 
 
 def _read(payloads: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """Documents and entries of several packed rows, as one table each."""
     docs, entries, base = [], [], 0
     for payload in payloads:
-        n = int(np.frombuffer(payload, np.int64, 1)[0])
-        docs.append(np.frombuffer(payload, DOC, n, 8))
-        own = np.frombuffer(payload, kind, offset=8 + n * DOC.itemsize).copy()
+        n, many = np.frombuffer(payload, np.int64, 2).tolist()
+        docs.append(np.frombuffer(payload, DOC, n, 16))
+        at = 16 + n * DOC.itemsize
+        own = np.zeros(many, kind)
+        for name in kind.names:
+            size = kind[name].itemsize
+            carried = CARRIED.get(name, size)
+            planes = np.zeros((size, many), np.uint8)
+            planes[:carried] = np.frombuffer(payload, np.uint8, carried * many, at).reshape(carried, many)
+            own[name] = np.ascontiguousarray(planes.T).view(kind[name]).reshape(many)
+            at += carried * many
         own["doc"] += base
         base += n
         entries.append(own)
@@ -171,8 +190,8 @@ def _read(payloads: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray
 class Sender:
     """Gathers the blocks of a task, settles copies met there, and packs the rest."""
 
-    def __init__(self, passages: Passages, buckets: int):
-        self.passages, self.buckets = passages, buckets
+    def __init__(self, passages: Passages, buckets: int, parts: int):
+        self.passages, self.buckets, self.parts_n = passages, buckets, parts
         self.clear()
 
     def clear(self) -> None:
@@ -180,55 +199,64 @@ class Sender:
         self.parts: list[tuple] = []
         self.n_docs = self.size = 0
 
-    def add(self, block: Block, rid: np.ndarray, rtext: np.ndarray) -> None:
+    def add(self, block: Block, keys: np.ndarray) -> None:
         values, first = self.passages.units(block)
         row, start, size, anchor, content = anchored(values, first, self.passages.length, self.passages.gram)
         if len(row):
-            docs = np.zeros(block.rows, DOC)
-            docs["rid"], docs["rtext"] = rid, rtext
-            self.docs.append(docs)
+            self.docs.append(keys)
             self.parts.append((row + self.n_docs, start, size, anchor, content))
             self.n_docs += block.rows
             self.size += len(row)
 
     def rows(self) -> Iterator[tuple]:
-        """(bucket, rid, rtext, payload): packed blocks, or (with rid) settled spans."""
+        """(place, part, payload): blocks packed by bucket, settled runs by part."""
         if not self.size:
             return
         docs = np.concatenate(self.docs)
         doc, start, size, anchor, content = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         self.clear()
-        order, cut = _groups(anchor, content)
-        doc, start, size, anchor, content = (x[order] for x in (doc, start, size, anchor, content))
+        order = np.argsort(content)  # equal contents have equal anchors
+        held = content[order]
+        cut = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
         n = np.diff(np.concatenate((cut, [len(doc)])))
+        send = np.zeros(len(doc), bool)
+        many = np.empty(len(doc), np.uint8)
+        many[order] = np.repeat(np.minimum(n, 2), n)
         if self.passages.by_order:
-            least = np.repeat(np.minimum.reduceat(docs["rid"][doc], cut), n)
-            send = docs["rid"][doc] == least
+            rid = docs["rid"][doc[order]]
+            send[order] = rid == np.repeat(np.minimum.reduceat(rid, cut), n)
             known = ~send
         else:
-            send = np.zeros(len(doc), bool)
-            send[cut] = True
-            known = np.repeat(n > 1, n)
-        for rid, rtext, spans in _spans_row(docs, doc[known], start[known], (start + size)[known]):
-            yield (rid ^ rtext) % self.buckets, rid, rtext, spans
-        entries = np.zeros(int(send.sum()), ENTRY)
-        bucket = ((anchor[send] >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
-        for name, values in (("anchor", anchor & np.uint64(0xFFFFFFFF)), ("content", content), ("doc", doc), ("start", start), ("size", size), ("many", np.repeat(np.minimum(n, 2), n))):
-            entries[name] = values[send]
-        order = np.lexsort((entries["start"], entries["doc"], bucket))
-        entries, bucket = entries[order], bucket[order]
-        for a, b in _runs(bucket):
-            yield int(bucket[a]), None, None, _with_docs(docs, entries[a:b])
+            send[order[cut]] = True
+            known = many > 1
+        yield from _to_parts(docs, runs_of(doc[known], start[known], (start + size)[known]), self.parts_n, self.buckets)
+        bucket = ((anchor >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int32)[send]
+        order = np.argsort(bucket.astype(np.uint16) if self.buckets < 1 << 16 else bucket, kind="stable")
+        entries = np.zeros(len(order), ENTRY)
+        for name, values in (("anchor", anchor), ("content", content), ("doc", doc), ("start", start), ("size", size), ("many", many)):
+            entries[name] = values[send][order]  # of the anchor the low half
+        for a, b in _runs(bucket[order]):
+            yield int(bucket[order[a]]), None, _with_docs(docs, entries[a:b])
+
+
+def _to_parts(docs: np.ndarray, entries: np.ndarray, parts: int, places: int, mark: bytes = b"") -> Iterator[tuple]:
+    """Entries about documents, packed by the part that holds these."""
+    if len(entries):
+        part = ((docs["rid"] ^ docs["rtext"]) % parts)[entries["doc"]]
+        order = np.argsort(part, kind="stable")
+        for a, b in _runs(part[order]):
+            own = int(part[order[a]])
+            yield own % places, own, mark + _with_docs(docs, entries[order[a:b]])
 
 
-ROW = "bucket int, rid long, rtext long, payload binary"
+ROW = "place int, part int, payload binary"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+    kinds = (pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "rid", "rtext", "payload"]
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "part", "payload"]
     )
 
 
@@ -236,7 +264,7 @@ def _batches(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordB
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[3]) + 64
+        size += len(row[2]) + 32
         if size > limit:
             yield _batch(held)
             held, size = [], 0
@@ -244,19 +272,24 @@ def _batches(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordB
         yield _batch(held)
 
 
-def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    at = batch.schema.get_field_index
-    return tuple(batch.column(at(c)).to_numpy(zero_copy_only=False) for c in ("rid", "rtext"))
+def _table(rows: Iterator[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch(list(rows))])
 
 
-def _send(docs: DataFrame, passages: Passages, buckets: int) -> DataFrame:
+def _keys(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    docs = np.zeros(batch.num_rows, DOC)
+    for c in ("rid", "rtext"):
+        docs[c] = batch.column(c).to_numpy(zero_copy_only=False) if isinstance(batch, pa.RecordBatch) else batch.column(c).to_numpy()
+    return docs
+
+
+def _send(docs: DataFrame, passages: Passages, buckets: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = Sender(passages, buckets)
+        sender = Sender(passages, buckets, parts)
         for batch in batches:
-            rid, rtext = _keys(batch)
+            keys = _keys(batch)
             for block in blocks(text_array(batch)):
-                rows = slice(block.first, block.first + block.rows)
-                sender.add(block, rid[rows], rtext[rows])
+                sender.add(block, keys[block.first : block.first + block.rows])
                 if sender.size >= FLUSH:
                     yield from _batches(sender.rows())
         yield from _batches(sender.rows())
@@ -266,211 +299,208 @@ def _send(docs: DataFrame, passages: Passages, buckets: int) -> DataFrame:
 
 # --------------------------------------------------------------- second stage
 
+#: Sub-buckets of each bucket, by further bits of the anchor, for comparing text.
+FINER = 16
+
 
-def _classes(passages: Passages, buckets: int):
+def _classes(passages: Passages, parts: int):
     """Settles blocks by class; what needs a closer look is told to its document."""
 
+    def settle(bucket: int, packed: list[bytes]) -> Iterator[tuple]:
+        docs, e = _read(packed, ENTRY)
+        order, cut = _groups(e["anchor"], e["content"])
+        e = e[order]
+        n = np.diff(np.concatenate((cut, [len(e)])))
+        new_anchor = np.concatenate(([True], e["anchor"][cut][1:] != e["anchor"][cut][:-1]))
+        classes = np.diff(np.concatenate((np.flatnonzero(new_anchor), [len(cut)])))
+        classes = np.repeat(np.repeat(classes, classes), n)  # contents of each entry's anchor
+        status = np.zeros(len(e), np.uint8)
+        if passages.by_order:
+            rid = docs["rid"][e["doc"]]
+            status[rid > np.repeat(np.minimum.reduceat(rid, cut), n)] = SETTLED
+            status[(status == 0) & (classes > 1)] = COMPARE
+        else:
+            many = np.repeat(np.add.reduceat(e["many"].astype(np.int64), cut), n) > 1
+            head = np.zeros(len(e), bool)
+            head[cut] = True
+            status[many] = SETTLED
+            status[~many & (classes > 1)] = COMPARE
+            status[many & head & (classes > 1)] = REFERENCE
+        hot = classes > HOT_CLASSES
+        status[hot & (status == COMPARE)] = HOT
+        status[hot & (status == REFERENCE)] = HOT_REFERENCE
+        sure = np.isin(status, (SETTLED, REFERENCE, HOT_REFERENCE))
+        start, size = e["start"][sure].astype(np.int64), e["size"][sure]
+        yield from _to_parts(docs, runs_of(e["doc"][sure], start, start + size), parts, parts, b"S")
+        look = status > SETTLED
+        found = np.zeros(int(look.sum()), FOUND)
+        found["place"] = bucket * FINER + e["anchor"][look] % FINER
+        for name in ("doc", "start", "size"):
+            found[name] = e[name][look]
+        found["status"] = status[look]
+        yield from _to_parts(docs, found, parts, parts, b"F")
+
     def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
-        rows = [x for x in zip(*(table.column(c).to_pylist() for c in ("rid", "rtext", "payload")), strict=True)]
-        out = [(-1, *x) for x in rows if x[0] is not None]
-        packed = [x[2] for x in rows if x[0] is None]
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("place", "part", "payload")), strict=True))
+        out = [(part, part, b"S" + payload) for _, part, payload in rows if part is not None]
+        packed = [payload for _, part, payload in rows if part is None]
         if packed:
-            docs, e = _read(packed, ENTRY)
-            order, cut = _groups(e["anchor"], e["content"])
-            e = e[order]
-            n = np.diff(np.concatenate((cut, [len(e)])))
-            new_anchor = np.concatenate(([True], e["anchor"][cut][1:] != e["anchor"][cut][:-1]))
-            classes = np.diff(np.concatenate((np.flatnonzero(new_anchor), [len(cut)])))
-            classes = np.repeat(np.repeat(classes, classes), n)  # contents of each entry's anchor
-            rid = docs["rid"][e["doc"]]
-            status = np.zeros(len(e), np.uint8)
-            if passages.by_order:
-                status[rid > np.repeat(np.minimum.reduceat(rid, cut), n)] = SETTLED
-                status[(status == 0) & (classes > 1)] = COMPARE
-            else:
-                many = np.repeat(np.add.reduceat(e["many"].astype(np.int64), cut), n) > 1
-                status[many] = SETTLED
-                status[~many & (classes > 1)] = COMPARE
-                head = np.zeros(len(e), bool)
-                head[cut] = True
-                status[many & head & (classes > 1)] = REFERENCE
-            hot = classes > HOT_CLASSES
-            status[hot & (status == COMPARE)] = HOT
-            status[hot & (status == REFERENCE)] = HOT_REFERENCE
-            keep = np.flatnonzero(status)
-            keep = keep[np.lexsort((e["start"][keep], e["doc"][keep]))]
-            e, status = e[keep], status[keep]
-            found = np.zeros(len(e), FOUND)
-            for name in ("anchor", "start", "size"):
-                found[name] = e[name]
-            found["status"] = status
-            for a, b in _runs(e["doc"]):
-                rid, rtext = docs[int(e["doc"][a])]
-                out.append((bucket, int(rid), int(rtext), found[a:b].tobytes()))
-        return pa.Table.from_batches([_batch(out)])
+            out += settle(rows[0][0], packed)
+        return _table(out)
 
     return run
 
 
-#: Sub-buckets of each bucket, by further bits of the anchor, for comparing text.
-FINER = 16
-
+def _marked(table: pa.Table, mark: bytes) -> list[bytes]:
+    return [x[1:] for x in table.column("payload").to_pylist() if x[:1] == mark]
 
-def _cut(passages: Passages, buckets: int):
-    """Fetches the text of blocks to compare; settled spans go on as they are."""
-
-    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        at = batch.schema.get_field_index
-        lists = batch.column(at("found")).to_pylist()
-        texts = text_array(batch)
-        rid, rtext = _keys(batch)
-        for i, lot in enumerate(lists):
-            settled, cut = [], None
-            for x in lot:
-                if x["bucket"] < 0:
-                    settled.append(np.frombuffer(x["payload"], SPAN))
-                    continue
-                found = np.frombuffer(x["payload"], FOUND)
-                sure = found[np.isin(found["status"], (SETTLED, REFERENCE, HOT_REFERENCE))]
-                spans = np.zeros(len(sure), SPAN)
-                spans["start"], spans["end"] = sure["start"], sure["start"] + sure["size"]
-                settled.append(spans)
-                look = found[found["status"] != SETTLED]
-                if not len(look):
-                    continue
-                cut = cut or passages.cutter(texts[i].as_py().encode())
-                docs = np.array([(rid[i], rtext[i])], DOC)
-                finer = look["anchor"] % FINER
-                for k in np.unique(finer).tolist():
-                    own = look[(finer == k) & (look["status"] <= REFERENCE)]
-                    if not len(own):
-                        continue
-                    texts_cut = [cut(int(s), int(s) + int(n)) for s, n in zip(own["start"], own["size"], strict=True)]
-                    places = np.zeros(len(own), PLACE)
-                    places["start"], places["status"] = own["start"], own["status"]
-                    places["size"] = [len(t) for t in texts_cut]
-                    payload = np.int64(len(own)).tobytes() + places.tobytes() + b"".join(texts_cut)
-                    yield x["bucket"] * FINER + k, int(rid[i]), int(rtext[i]), b"T" + payload
-                hot = look[look["status"] >= HOT]
-                if len(hot):
-                    yield from _prints(passages, cut, hot, docs, buckets * FINER)
-            if settled and sum(map(len, settled)):
-                spans = merged(np.concatenate(settled))
-                yield int(rid[i] ^ rtext[i]) % (buckets * FINER), int(rid[i]), int(rtext[i]), b"S" + spans.tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _batches(rows(batch))
+def _cut(passages: Passages, places: int):
+    """Fetches the text of blocks to compare, for a part of the documents;
+    settled runs go on."""
 
-    return run
+    def rows(docs: pa.Table, told: pa.Table) -> Iterator[tuple]:
+        part = told.column("part")[0].as_py() if told.num_rows else 0
+        for payload in _marked(told, b"S"):
+            yield part % places, part, b"S" + payload
+        packed = _marked(told, b"F")
+        if not packed:
+            return
+        keys, found = _read(packed, FOUND)
+        at = {}
+        for i, key in enumerate(_keys(docs).tolist()):
+            at.setdefault(key, []).append(i)
+        found = found[np.lexsort((found["start"], found["doc"]))]
+        texts: list[bytes] = []
+        prints: list[tuple] = []
+        column = docs.column("text")
+        keep = np.zeros(len(found), bool)
+        key_of = keys.tolist()
+        last, cut = None, None
+        for k, (place, doc, start, size, status) in enumerate(found.tolist()):
+            key = key_of[doc]
+            if key != last:
+                cut = passages.cutter((column[at[key][0]].as_py() or "").encode())
+                last = key
+            if status <= REFERENCE:
+                keep[k] = True
+                texts.append(cut(start, start + size))
+            else:
+                for s in range(start, start + size - passages.length + 1):
+                    digest = hashlib.blake2b(cut(s, s + passages.length), digest_size=16).digest()
+                    prints.append((*np.frombuffer(digest, "<u8").tolist(), doc, s, 1 + (status == HOT_REFERENCE)))
+        found = found[keep]
+        order = np.argsort(found["place"], kind="stable")
+        for a, b in _runs(found["place"][order]):
+            own = order[a:b]
+            lot = [texts[k] for k in own.tolist()]
+            entries = np.zeros(len(own), PLACE)
+            for name in ("doc", "start", "status"):
+                entries[name] = found[name][own]
+            entries["size"] = [len(t) for t in lot]
+            head = _with_docs(keys, entries)
+            yield int(found["place"][own[0]]), None, b"T" + np.int64(len(head)).tobytes() + head + b"".join(lot)
+        if prints:
+            entries = np.array(prints, PRINT)
+            place = (entries["high"] % np.uint64(places)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            for a, b in _runs(place[order]):
+                yield int(place[order[a]]), None, b"P" + _with_docs(keys, entries[order[a:b]])
 
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        return _table(rows(docs, told))
 
-def _prints(passages: Passages, cut, hot: np.ndarray, docs: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """Windows of hot anchors by two independent 64-bit hashes of their text."""
-    lots: dict[int, list[tuple]] = {}
-    for x in hot:
-        for start in range(int(x["start"]), int(x["start"]) + int(x["size"]) - passages.length + 1):
-            digest = hashlib.blake2b(cut(start, start + passages.length), digest_size=16).digest()
-            high, low = np.frombuffer(digest, "<u8").tolist()
-            lots.setdefault(high % buckets, []).append((high, low, 0, start, 1 + (x["status"] == HOT_REFERENCE)))
-    for bucket, lot in lots.items():
-        yield bucket, int(docs["rid"][0]), int(docs["rtext"][0]), b"P" + _with_docs(docs, np.array(lot, PRINT))
+    return run
 
 
 # ---------------------------------------------------------------- third stage
 
 
-def _compare(passages: Passages):
-    def run(table: pa.Table) -> pa.Table:
-        rows = list(zip(*(table.column(c).to_pylist() for c in ("rid", "rtext", "payload")), strict=True))
-        out = [(0, a, b, p[1:]) for a, b, p in rows if p[:1] == b"S"]
-        out += _compare_texts(passages, [x for x in rows if x[2][:1] == b"T"])
-        prints = [p[1:] for _, _, p in rows if p[:1] == b"P"]
+def _compare(passages: Passages, parts: int):
+    def rows(table: pa.Table) -> Iterator[tuple]:
+        for part, payload in zip(table.column("part").to_pylist(), table.column("payload").to_pylist(), strict=True):
+            if payload[:1] == b"S":
+                yield part, part, payload[1:]
+        texts, heads = [], []
+        for payload in _marked(table, b"T"):
+            size = int(np.frombuffer(payload, np.int64, 1)[0])
+            heads.append(payload[8 : 8 + size])
+            at = 8 + size
+            for n in _read(heads[-1:], PLACE)[1]["size"].tolist():
+                texts.append(payload[at : at + n])
+                at += n
+        if texts:
+            docs, e = _read(heads, PLACE)
+            passage, window = passages.compare(texts, docs["rid"][e["doc"]], e["status"])
+            start = e["start"][passage].astype(np.int64) + window
+            yield from _to_parts(docs, runs_of(e["doc"][passage], start, start + passages.length), parts, parts)
+        prints = _marked(table, b"P")
         if prints:
             docs, e = _read(prints, PRINT)
             order, cut = _groups(e["high"], e["low"])
             e = e[order]
             n = np.diff(np.concatenate((cut, [len(e)])))
-            rid = docs["rid"][e["doc"]]
             if passages.by_order:
+                rid = docs["rid"][e["doc"]]
                 hit = rid > np.repeat(np.minimum.reduceat(rid, cut), n)
             else:
                 hit = np.repeat(np.add.reduceat(e["many"].astype(np.int64), cut), n) > 1
             e = e[hit]
-            out += [(0, *x) for x in _spans_row(docs, e["doc"], e["start"], e["start"] + passages.length)]
-        return pa.Table.from_batches([_batch(out)])
+            start = e["start"].astype(np.int64)
+            yield from _to_parts(docs, runs_of(e["doc"], start, start + passages.length), parts, parts)
+
+    def run(table: pa.Table) -> pa.Table:
+        return _table(rows(table))
 
     return run
 
 
-def _compare_texts(passages: Passages, rows: list[tuple]) -> Iterator[tuple]:
-    texts, owner, places = [], [], []
-    for k, (_, _, payload) in enumerate(rows):
-        n = int(np.frombuffer(payload, np.int64, 1, 1)[0])
-        own = np.frombuffer(payload, PLACE, n, 9)
-        at = 9 + n * PLACE.itemsize
-        for size in own["size"].tolist():
-            texts.append(payload[at : at + size])
-            at += size
-        places.append(own)
-        owner += [k] * n
-    if not texts:
-        return
-    place, owner = np.concatenate(places), np.array(owner)
-    rid = np.array([r for r, _, _ in rows], np.int64)[owner]
-    masks = passages.compare(texts, rid, place["status"])
-    lots: dict[int, list[np.ndarray]] = {}
-    for k, mask in enumerate(masks):
-        starts = np.flatnonzero(mask)
-        if len(starts):
-            spans = np.zeros(len(starts), SPAN)
-            spans["start"] = starts + int(place["start"][k])
-            spans["end"] = spans["start"] + passages.length
-            lots.setdefault(int(owner[k]), []).append(merged(spans))
-    for k, lot in lots.items():
-        yield 0, rows[k][0], rows[k][1], merged(np.concatenate(lot)).tobytes()
-
-
-# ------------------------------------------------------------------ all stages
-
-
-def repeated_spans(docs: DataFrame, passages: Passages) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text) with rid, rtext and ``lots``: a list of
-    packed spans (units) that are repeated, null if there are none.
+# ----------------------------------------------------------------- all stages
+
+
+def _finished(finish: Callable[[list[str], list[np.ndarray]], dict[str, pa.Array]], names: list[str]):
+    """Hands each document of a part, with its runs, to the operator."""
+
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        runs: dict[tuple, np.ndarray] = {}
+        payloads = told.column("payload").to_pylist()
+        if payloads:
+            keys, e = _read(payloads, RUN)
+            # The same document may be told about by several rows.
+            unique, which = np.unique(keys, return_inverse=True)
+            e["doc"] = which[e["doc"]]
+            e = merged(e)
+            for a, b in _runs(e["doc"]):
+                runs[tuple(unique[e["doc"][a]].tolist())] = e[a:b]
+        none = np.zeros(0, RUN)
+        keys = _keys(docs)
+        own = [runs.get(key, none) for key in keys.tolist()]
+        texts = docs.column("text").to_pylist()
+        columns = finish([t or "" for t in texts], own)
+        ids = pa.array([None if r == NO_ID else r for r in keys["rid"].tolist()], pa.int64())
+        return pa.table({"doc_id": ids, **columns}).select(names)
+
+    return run
+
+
+def without_repeats(docs: DataFrame, passages: Passages, finish, schema: str) -> DataFrame:
+    """``finish`` (texts and their repeated runs, in units, to columns) over all
+    rows of ``docs`` (doc_id, text); ``schema`` begins with ``doc_id long``.
 
     One small job sums the text lengths while the plan is built; everything
-    else is one plan, in which the documents are dealt out by key once."""
-    spark = docs.sparkSession
+    else is one plan, in which the documents are dealt out by part once."""
     docs = keyed(docs)
+    partitions = shuffle_partitions(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     per_unit = 1 if passages.by_order else 6
     expected = size / per_unit * 2 / (passages.length - passages.gram + 2)
-    buckets = int(max(2 * shuffle_partitions(spark), expected / PER_BUCKET))
-    by_key = docs.repartition("rid", "rtext")
-
-    found = (
-        _send(docs, passages, buckets)
-        .groupBy("bucket")
-        .applyInArrow(_classes(passages, buckets), ROW)
-        .groupBy("rid", "rtext")
-        .agg(F.collect_list(F.struct("bucket", "payload")).alias("found"))
-    )
-    spans = _fetch(by_key, found, passages, buckets)
-    spans = spans.groupBy("rid", "rtext").agg(F.collect_list("payload").alias("lots"))
-    return by_key.join(spans, ["rid", "rtext"], "left")
-
-
-def _fetch(by_key: DataFrame, found: DataFrame, passages: Passages, buckets: int) -> DataFrame:
-    look = by_key.select("rid", "rtext", "text").join(found, ["rid", "rtext"])
-    return (
-        look.mapInArrow(_cut(passages, buckets), ROW)
-        .groupBy("bucket")
-        .applyInArrow(_compare(passages), ROW)
-        .select("rid", "rtext", "payload")
-    )
-
-
-def removed(lots: list[bytes] | None) -> np.ndarray:
-    """The runs that packed spans of one document cover."""
-    return merged(np.concatenate([np.frombuffer(x, SPAN) for x in lots])) if lots else np.zeros(0, SPAN)
+    buckets = int(max(1, expected / PER_BUCKET, min(partitions, expected / LEAST_PER_BUCKET)))
+    parts = int(max(1, size / PART_BYTES, min(2 * partitions, size / LEAST_PART_BYTES)))
+
+    part = F.pmod(F.col("rid").bitwiseXOR(F.col("rtext")), F.lit(parts)).cast("int").alias("part")
+    by_part = docs.select(part, "rid", "rtext", "text").groupBy("part")
+    told = _send(docs, passages, buckets, parts).groupBy("place").applyInArrow(_classes(passages, parts), ROW)
+    cut = by_part.cogroup(told.groupBy("part")).applyInArrow(_cut(passages, buckets * FINER), ROW)
+    runs = cut.groupBy("place").applyInArrow(_compare(passages, parts), ROW)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return by_part.cogroup(runs.groupBy("part")).applyInArrow(_finished(finish, names), schema)

@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerolens.llm.common import NOT_BLANK, Block, documents, text_array, words
-from aerolens.llm.repeats import COMPARE, Passages, removed, repeated_spans
+from aerolens.llm.common import NOT_BLANK, Block, documents, words
+from aerolens.llm.repeats import COMPARE, Passages, without_repeats
 
 #: Fixed value: the contract's word.
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -81,19 +80,19 @@ class Reference:
 
 
 def held_elsewhere(length: int):
-    """For passages of words: a mask of the starts of windows that stand elsewhere as well."""
-
-    def compare(texts: list[bytes], _ids: np.ndarray, status: np.ndarray) -> list[np.ndarray]:
-        passages = [t.split(b" ") for t in texts]
-        reference = Reference(passages, length)
-        masks = []
-        for k, own in enumerate(passages):
-            mask = np.zeros(len(own), bool)
-            if status[k] == COMPARE:
-                for start, end in reference.parse(k):
-                    mask[start : end - length + 1] = True
-            masks.append(mask)
-        return masks
+    """For passages of words: the windows that stand elsewhere as well, as
+    (passage, start)."""
+
+    def compare(texts: list[bytes], _ids: np.ndarray, status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        reference = Reference([t.split(b" ") for t in texts], length)
+        hits = [
+            (k, at)
+            for k in np.flatnonzero(status == COMPARE).tolist()
+            for start, end in reference.parse(k)
+            for at in range(start, end - length + 1)
+        ]
+        found = np.array(hits, np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
 
     return compare
 
@@ -108,59 +107,57 @@ def _word_cutter(text: bytes):
     return lambda start, end: b" ".join(own[start:end])
 
 
-def _spans(df: DataFrame, length: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    passages = Passages(length, gram, _word_units, _word_cutter, False, held_elsewhere(length))
-    return repeated_spans(documents(df, id_col, text_col), passages).select("doc_id", "text", "lots")
-
-
 def substring_dedup(
     df: DataFrame, length: int = 35, gram: int = 8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_words, n_removed, spans (removed words, end exclusive), kept
     (the other words joined by single spaces) and kept_sha256 for every row."""
-    return _spans(df, length, gram, id_col, text_col).mapInArrow(
-        _kept(True), "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string, kept_sha256 string"
+    schema = (
+        "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, "
+        "kept string, kept_sha256 string"
     )
+    return _deduped(df, length, gram, id_col, text_col, schema)
 
 
 def substring_dedup_digest(
     df: DataFrame, length: int = 35, gram: int = 8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """As ``substring_dedup`` without spans and texts."""
-    return _spans(df, length, gram, id_col, text_col).mapInArrow(
-        _kept(False), "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    )
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return _deduped(df, length, gram, id_col, text_col, schema)
+
+
+def _deduped(df: DataFrame, length: int, gram: int, id_col: str, text_col: str, schema: str) -> DataFrame:
+    passages = Passages(length, gram, _word_units, _word_cutter, False, held_elsewhere(length))
+    return without_repeats(documents(df, id_col, text_col), passages, _kept("kept string" in schema), schema)
 
 
 def _kept(full: bool):
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            texts = text_array(batch)
-            lots = batch.column(batch.schema.get_field_index("lots")).to_pylist()
-            for i, lot in enumerate(lots):
-                own = WORD.findall(texts[i].as_py().encode())
-                runs = removed(lot)
-                kept, at = [], 0
-                for s, e in runs.tolist():
-                    kept += own[at:s]
-                    at = e
-                kept += own[at:]
-                joined = b" ".join(kept)
-                rows.append((len(own), len(own) - len(kept), runs, joined.decode(), hashlib.sha256(joined).hexdigest()))
-            n, gone, runs, kept, digest = zip(*rows, strict=True) if rows else [()] * 5
-            middle, names = [], []
+    def finish(texts: list[str], runs: list[np.ndarray]) -> dict[str, pa.Array]:
+        n, gone, kept, digest = [], [], [], []
+        for text, found in zip(texts, runs, strict=True):
+            own = WORD.findall(text.encode())
+            left, at = [], 0
+            for _, start, end in found.tolist():
+                left += own[at:start]
+                at = end
+            left += own[at:]
+            joined = b" ".join(left)
+            n.append(len(own))
+            gone.append(len(own) - len(left))
+            digest.append(hashlib.sha256(joined).hexdigest())
             if full:
-                middle = [
-                    pa.array([[{"start": s, "end": e} for s, e in r.tolist()] for r in runs], pa.list_(span)),
-                    pa.array(kept, pa.string()),
-                ]
-                names = ["spans", "kept"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), *middle, pa.array(digest, pa.string())],
-                ["doc_id", "n_words", "n_removed", *names, "kept_sha256"],
-            )
-
-    return run
+                kept.append(joined.decode())
+        out = {
+            "n_words": pa.array(n, pa.int64()),
+            "n_removed": pa.array(gone, pa.int64()),
+            "kept_sha256": pa.array(digest, pa.string()),
+        }
+        if full:
+            out["spans"] = pa.array([[{"start": s, "end": e} for _, s, e in r.tolist()] for r in runs], pa.list_(span))
+            out["kept"] = pa.array(kept, pa.string())
+        return out
+
+    return finish

@@ -15,14 +15,13 @@ other; each row gives a row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aerolens.llm.common import Block, byte_values, documents, text_array
-from aerolens.llm.repeats import Passages, removed, repeated_spans
+from aerolens.llm.common import Block, byte_values, documents
+from aerolens.llm.repeats import Passages, without_repeats
 
 
 def _keys(text: np.ndarray, length: int) -> np.ndarray:
@@ -97,30 +96,29 @@ def suffix_order(text: np.ndarray, length: int, keys: np.ndarray | None = None)
 
 
 def held_by_smaller(length: int):
-    """For passages with document ids: a mask of the starts of those strings
-    of ``length`` bytes that a passage of a smaller id holds as well."""
+    """For passages with document ids: those strings of ``length`` bytes that
+    a passage of a smaller id holds as well, as (passage, start)."""
 
-    def compare(texts: list[bytes], ids: np.ndarray, _status: np.ndarray) -> list[np.ndarray]:
+    def compare(texts: list[bytes], ids: np.ndarray, _status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(t) for t in texts])
         text = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
         first = np.concatenate(([0], np.cumsum(sizes + 1)))
         keys = _keys(text, length)
         order = suffix_order(text, length, keys)
         owner = np.repeat(np.arange(len(texts)), sizes + 1)
-        whole = order + length <= first[owner[order] + 1] - 1
-        order = order[whole]
-        hit = np.zeros(len(text), bool)
-        if len(order):
-            # Adjacent common prefixes: whether they reach ``length``.
-            alike = np.ones(len(order) - 1, bool)
-            for k in keys:
-                held = k[order]
-                alike &= held[1:] == held[:-1]
-            cut = np.flatnonzero(np.concatenate(([True], ~alike)))
-            held = ids[owner[order]]
-            least = np.repeat(np.minimum.reduceat(held, cut), np.diff(np.concatenate((cut, [len(order)]))))
-            hit[order[held > least]] = True
-        return [hit[a : b - 1] for a, b in zip(first[:-1], first[1:], strict=True)]
+        order = order[order + length <= first[owner[order] + 1] - 1]  # whole strings
+        if not len(order):
+            return order, order
+        # Adjacent common prefixes: whether they reach ``length``.
+        alike = np.ones(len(order) - 1, bool)
+        for k in keys:
+            held = k[order]
+            alike &= held[1:] == held[:-1]
+        cut = np.flatnonzero(np.concatenate(([True], ~alike)))
+        held = ids[owner[order]]
+        least = np.repeat(np.minimum.reduceat(held, cut), np.diff(np.concatenate((cut, [len(order)]))))
+        hit = order[held > least]
+        return owner[hit], hit - first[owner[hit]]
 
     return compare
 
@@ -138,53 +136,51 @@ def suffix_dedup(
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed bytes, end exclusive), kept
     (the remaining bytes) and kept_sha256, for every row of ``df``."""
-    passages = Passages(length, gram, _byte_units, _byte_cutter, True, held_by_smaller(length))
-    spans = repeated_spans(documents(df, id_col, text_col), passages)
-    return spans.select("doc_id", "text", "lots").mapInArrow(
-        _kept(True), "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, kept_sha256 string"
+    schema = (
+        "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, "
+        "kept binary, kept_sha256 string"
     )
+    return _deduped(df, length, gram, id_col, text_col, schema)
 
 
 def suffix_dedup_digest(
     df: DataFrame, length: int = 50, gram: int = 18, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """As ``suffix_dedup``, with the number of spans in place of spans and bytes."""
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return _deduped(df, length, gram, id_col, text_col, schema)
+
+
+def _deduped(df: DataFrame, length: int, gram: int, id_col: str, text_col: str, schema: str) -> DataFrame:
     passages = Passages(length, gram, _byte_units, _byte_cutter, True, held_by_smaller(length))
-    spans = repeated_spans(documents(df, id_col, text_col), passages)
-    return spans.select("doc_id", "text", "lots").mapInArrow(
-        _kept(False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
+    return without_repeats(documents(df, id_col, text_col), passages, _kept("kept binary" in schema), schema)
 
 
 def _kept(full: bool):
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            texts = text_array(batch)
-            lots = batch.column(batch.schema.get_field_index("lots")).to_pylist()
-            for i, lot in enumerate(lots):
-                text = texts[i].as_py().encode()
-                runs = removed(lot)
-                kept, at = [], 0
-                for s, e in runs.tolist():
-                    kept.append(text[at:s])
-                    at = e
-                kept = b"".join([*kept, text[at:]])
-                rows.append((len(text), len(text) - len(kept), runs, kept, hashlib.sha256(kept).hexdigest()))
-            n, gone, runs, kept, digest = zip(*rows, strict=True) if rows else [()] * 5
+    def finish(texts: list[str], runs: list[np.ndarray]) -> dict[str, pa.Array]:
+        n, gone, kept, digest = [], [], [], []
+        for whole, own in zip(texts, runs, strict=True):
+            text, parts, at = whole.encode(), [], 0
+            for _, start, end in own.tolist():
+                parts.append(text[at:start])
+                at = end
+            left = b"".join([*parts, text[at:]])
+            n.append(len(text))
+            gone.append(len(text) - len(left))
+            digest.append(hashlib.sha256(left).hexdigest())
             if full:
-                middle = [
-                    pa.array([[{"start": s, "end": e} for s, e in r.tolist()] for r in runs], pa.list_(span)),
-                    pa.array(kept, pa.binary()),
-                ]
-                names = ["spans", "kept"]
-            else:
-                middle, names = [pa.array([len(r) for r in runs], pa.int64())], ["n_spans"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), *middle, pa.array(digest, pa.string())],
-                ["doc_id", "n_bytes", "n_removed", *names, "kept_sha256"],
-            )
-
-    return run
+                kept.append(left)
+        out = {
+            "n_bytes": pa.array(n, pa.int64()),
+            "n_removed": pa.array(gone, pa.int64()),
+            "n_spans": pa.array([len(r) for r in runs], pa.int64()),
+            "kept_sha256": pa.array(digest, pa.string()),
+        }
+        if full:
+            out["spans"] = pa.array([[{"start": s, "end": e} for _, s, e in r.tolist()] for r in runs], pa.list_(span))
+            out["kept"] = pa.array(kept, pa.binary())
+        return out
+
+    return finish
