@@ -23,10 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from aerolens.llm.common import column, documents, text_array
+from aerolens.llm.common import column, documents, give_back, text_array
 
 #: Pieces a worker remembers before it starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 80_000
 
 #: Characters that Unicode calls white space, spelled out because Python's own
 #: class holds four control characters more.
@@ -102,7 +102,7 @@ class Codec:
         out, at = [], 0
         while at < len(texts):  # some texts at a time, so that their pieces stay few
             pieces, size = [], 0
-            while at + len(pieces) < len(texts) and size < 4_000_000:
+            while at + len(pieces) < len(texts) and size < 500_000:
                 text = texts[at + len(pieces)]
                 pieces.append(self.split.findall(text))
                 size += len(text)
@@ -161,6 +161,8 @@ def byte_bpe(
                     ],
                     ["doc_id", "ids", "starts", "ends", "decoded"],
                 )
+        code.known.clear()
+        give_back()
 
     schema = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded binary"
     return documents(df, id_col, text_col).mapInArrow(encode, schema)
@@ -170,8 +172,8 @@ def _digests(ranks_file: str, pattern: str, keep: int, with_ids: bool):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(ranks_file, pattern)
         for batch in batches:
-            for rows in range(0, batch.num_rows, 1000):
-                part = batch.slice(rows, 1000)
+            for rows in range(0, batch.num_rows, 500):
+                part = batch.slice(rows, 500)
                 packed = code.encode(text_array(part).to_pylist())
                 decoded = [code.decode(np.frombuffer(x, "<u4")) for x in packed]
                 columns = {part.schema.names[k]: part.column(k) for k in range(keep)}
@@ -184,6 +186,8 @@ def _digests(ranks_file: str, pattern: str, keep: int, with_ids: bool):
                 columns["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string())
                 columns["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
+        code.known.clear()  # the worker may go on with something else
+        give_back()
 
     return digest
 

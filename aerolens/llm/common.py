@@ -3,6 +3,7 @@ n-gram hashes, lineage cutting and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,10 +78,19 @@ class Block:
         return self.data[self.ends[row] : self.ends[row + 1]].tobytes()
 
 
+def give_back() -> None:
+    """Returns memory that allocators keep for later to the system: a worker
+    goes on with other tasks, and all workers of an executor share its limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_array(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The text column with nulls as empty strings."""
-    found = pc.fill_null(batch.column(batch.schema.get_field_index(name)), "")
-    return found.cast(pa.large_string())
+    found = batch.column(batch.schema.get_field_index(name))
+    return pc.fill_null(found, "") if found.null_count else found
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
@@ -88,7 +98,8 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     if not len(texts):
         return
     _, where, data = texts.buffers()
-    ends = np.frombuffer(where, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(where, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):

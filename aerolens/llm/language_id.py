@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.llm.common import Block, blocks, column, documents, text_array
+from aerolens.llm.common import Block, blocks, column, documents, give_back, text_array
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -234,5 +234,6 @@ def _predictor(model: Model, keep: list[str], text_col: str = "text", only_accep
                 + [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 [*keep, "lang_pred", "score", "rejected"],
             )
+        give_back()
 
     return run

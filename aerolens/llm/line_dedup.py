@@ -36,6 +36,7 @@ from aerolens.llm.common import (
     checkpoint,
     column,
     documents,
+    give_back,
     keyed,
     shuffle_partitions,
     text_array,
@@ -121,7 +122,7 @@ def _banded(a: str, b: str, most: int) -> int:
 # ---------------------------------------------------------- index and probes
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=4096)
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
     """Start and size of the parts of a line, the larger ones last."""
     size, longer = divmod(length, parts)
@@ -133,7 +134,7 @@ def segments(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=4096)
 def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     """(length probed, segment, start, size) of all substrings of a line of
     that length that can be a segment of a line not longer than it."""
@@ -234,6 +235,7 @@ def _entries(docs: DataFrame, edits: int, least_chars: int, buckets: int) -> Dat
                 if len(sender.items) >= FLUSH:
                     yield from packed()
         yield from packed()
+        give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         e = np.concatenate([np.frombuffer(x, ENTRY) for x in table.column("entries").to_pylist()])

@@ -31,7 +31,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+#: Rows of an Arrow batch: documents are long, so Spark's 10,000 would be tens of
+#: megabytes, several times over in each worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

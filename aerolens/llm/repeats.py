@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.llm.common import NO_ID, Block, SpanHash, blocks, keyed, shuffle_partitions, text_array
+from aerolens.llm.common import NO_ID, Block, SpanHash, blocks, give_back, keyed, shuffle_partitions, text_array
 
 #: Blocks that a task gathers before it sends them off.
 FLUSH = 1_000_000
@@ -293,6 +293,7 @@ def _send(docs: DataFrame, passages: Passages, buckets: int, parts: int) -> Data
                 if sender.size >= FLUSH:
                     yield from _batches(sender.rows())
         yield from _batches(sender.rows())
+        give_back()
 
     return docs.select("rid", "rtext", "text").mapInArrow(run, ROW)
 
