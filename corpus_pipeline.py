@@ -13,32 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolens.llm import byte_bpe, decontaminate, language_id, line_dedup, minhash_dedup
-from aerolens.llm.queries import RANKS, held_out
+from aerolens.llm.queries import RANKS, held_out, small_batches
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model rejects go (operator 2)."""
+    small_batches(spark)
     return language_id.accepted(docs, language_id.train(docs, ~held_out()))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, up to two edits, go (operator 8)."""
+    small_batches(spark)
     return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (operator 1):
     shingles of five words, similarity 0.8."""
+    small_batches(spark)
     return minhash_dedup.one_of_each(docs)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go (operator 10)."""
+    small_batches(spark)
     return decontaminate.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and digests of the round trip (operator 6)."""
+    small_batches(spark)
     return byte_bpe.tokenized(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
