@@ -35,15 +35,17 @@ from aerolens.llm.common import (
     checkpoint,
     column,
     documents,
+    give_back,
     keyed,
     mix,
-    shuffle_partitions,
     text_array,
     words,
 )
 from aerolens.llm.linking import Comparison, linked
 
 BANDS, BAND_VALUES = 40, 4
+#: Shingles counted in one place, on average, when classes are thinned out.
+PER_PLACE = 250_000
 #: Rows (of four longs) up to which a list of wanted documents is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -111,6 +113,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 + [pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
                 ["rid", "rtext", "doc_id", "n", "cid", "bands"],
             )
+        give_back()
 
     return docs.mapInArrow(run, "rid long, rtext long, doc_id long, n long, cid long, bands array<long>")
 
@@ -166,7 +169,9 @@ def _comparison(sets: _Sets, low: int, high: int) -> Comparison:
         return high * both >= low * (len(a) + len(b) - both)
 
     def thin_out(left: DataFrame) -> DataFrame:
-        shared = _shared(sets.of(left.select("item").distinct(), [], ""), shuffle_partitions(left.sparkSession))
+        items = left.select("item", "size").distinct()
+        total = items.agg(F.sum("size")).first()[0] or 0
+        shared = _shared(sets.of(items.select("item"), [], ""), int(total // PER_PLACE + 1))
         return left.join(shared, "item").where(F.col("shared") * high >= F.col("size") * low)
 
     return Comparison(
