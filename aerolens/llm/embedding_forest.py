@@ -3,7 +3,7 @@
 Vectors are compared within a label. Every tree splits them again and again at
 the median of their projections on a random direction; vectors near a split go
 to both sides (spill), and vectors of one leaf are compared with each other.
-Many trees find a pair that one tree parts. Links are pairs with a cosine, in
+Many trees find a pair that one tree parts; their number follows the depth. Links are pairs with a cosine, in
 double precision, of at least ``least``.
 
 The upper splits are fitted on a bounded sample of vectors (``sample_rows``)
@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 
 from aerolens.llm.common import NO_ID, checkpoint, column, components
 
-TREES = 8
 #: Spill, in standard deviations (see _margin).
-SPILL = 1.0
+SPILL = 0.5
+#: Share of the pairs at the threshold that all trees together may part.
+PARTED = 1e-4
 #: Vectors of a part that one task takes on, on average.
 PART_ROWS = 20_000
 
@@ -51,10 +52,24 @@ def _margin(size: int, least: float) -> float:
     return SPILL * math.sqrt(2 - 2 * least) / math.sqrt(size)
 
 
-def fit(sample: np.ndarray, depth: int, least: float) -> list[dict[int, float]]:
+def trees_for(rows: int, leaf_rows: int, least: float) -> int:
+    """How many trees it takes for vectors spread evenly: with more rows a tree
+    has more levels, each of which may part a pair, and more trees make up for
+    it, so that recall is the same at every size."""
+    apart = math.sqrt(2 - 2 * least)  # spread of a pair's projections against that of all
+    beyond = 2 * SPILL
+    tail = 0.5 * math.erfc(beyond / math.sqrt(2))
+    density = math.exp(-beyond * beyond / 2) / math.sqrt(2 * math.pi)
+    parted = min(0.9, apart * 2 * (density - beyond * tail) / math.sqrt(2 * math.pi))
+    held = min(0.9, 0.5 + SPILL * apart / math.sqrt(2 * math.pi))  # share of a node's rows on each side
+    levels = max(1.0, math.log(max(1, rows / leaf_rows)) / -math.log(held))
+    return math.ceil(math.log(PARTED) / math.log(1 - (1 - parted) ** levels))
+
+
+def fit(sample: np.ndarray, depth: int, count: int) -> list[dict[int, float]]:
     """For each tree the split value of each upper node (numbered as a heap)."""
     trees = []
-    for tree in range(TREES):
+    for tree in range(count):
         splits: dict[int, float] = {}
         rows = {1: np.arange(len(sample))}
         for node in range(1, 1 << depth):
@@ -115,7 +130,9 @@ def tree_pairs(unit: np.ndarray, tree: int, least: float, leaf_rows: int) -> np.
                 break
         else:  # too close together to be split
             found.append(_close(unit, rows, least))
-    return np.unique(np.concatenate(found), axis=0)
+    pairs = np.concatenate(found)
+    once = np.unique(pairs[:, 0] * len(unit) + pairs[:, 1])
+    return np.stack([once // len(unit), once % len(unit)], axis=1)
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -190,7 +207,9 @@ def close_vectors(
 
 def _links(nodes: DataFrame, least: float, leaf_rows: int, sample_rows: int) -> DataFrame:
     """Distinct links (a, b) between nodes."""
-    total = nodes.count()
+    by_part = nodes.groupBy("part", "width").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    total, largest = by_part[0] or 0, by_part[1] or 0
+    count = trees_for(largest, leaf_rows, least)
     depth = max(0, math.ceil(math.log2(max(1, total / PART_ROWS))))
     depth = min(depth, int(math.log2(max(1, sample_rows / 64))))
     trees: dict[int, list[dict[int, float]]] = {}
@@ -198,7 +217,7 @@ def _links(nodes: DataFrame, least: float, leaf_rows: int, sample_rows: int) ->
         sample = nodes.orderBy(F.xxhash64("node", F.lit(1))).limit(sample_rows).select("width", "vector").collect()
         for width in sorted({r["width"] for r in sample}):
             own = np.array([r["vector"] for r in sample if r["width"] == width])
-            trees[width] = fit(_unit(own), depth, least)
+            trees[width] = fit(_unit(own), depth, count)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +226,7 @@ def _links(nodes: DataFrame, least: float, leaf_rows: int, sample_rows: int) ->
             for w in np.unique(width):
                 own = batch.take(pa.array(np.flatnonzero(width == w)))
                 unit = _unit(_matrix(own.column(at("vector"))))
-                fitted = trees.get(int(w), [{}] * TREES)
+                fitted = trees.get(int(w), [{}] * count)
                 for tree, splits in enumerate(fitted):
                     for leaf, rows in parts_of(unit, tree, splits, _margin(int(w), least)):
                         part = own.take(pa.array(rows))
