@@ -141,6 +141,39 @@ def test_forest_recall(spark, part_rows, monkeypatch):
     assert sum(got[i][1:] == want[i][1:] for i in want) >= 0.99 * len(want)
 
 
+def near_vectors(rows, size=64, mean=0.95):
+    """Distinct noisy copies of one vector, with that mean cosine."""
+    rng = np.random.default_rng(11)
+    unit = rng.standard_normal((1, size)) / np.sqrt(size)
+    noise = rng.standard_normal((rows, size)) * np.sqrt((1 / mean - 1) / size)
+    found = unit / np.linalg.norm(unit) + noise
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+def test_dense_vectors_are_not_split_into_ever_more_leaves():
+    placed = [len(rows) for rows in embedding_forest.leaves(near_vectors(4000), 0, 0.93, 256)]
+    assert sum(placed) <= 2 * 4000 and sum(n * n for n in placed) <= 4000 * 4000
+
+
+@pytest.mark.parametrize("part_rows, block_rows", [(20_000, 4000), (20_000, 300), (200, 300)])
+def test_dense_group_without_its_pairs(spark, part_rows, block_rows, monkeypatch):
+    monkeypatch.setattr(embedding_forest, "PART_ROWS", part_rows)
+    monkeypatch.setattr(embedding_forest, "BLOCK_ROWS", block_rows, raising=False)
+    monkeypatch.setattr(embedding_forest, "TILE", 128, raising=False)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(near_vectors(1500))]
+    rows += [(5000 + i, rows[i][1], 0) for i in range(20)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    sent, keep = [], embedding_forest.checkpoint
+    monkeypatch.setattr(embedding_forest, "checkpoint", lambda f: (sent.append(keep(f)), sent[-1])[1])
+    got = {r[0]: tuple(r)[1:] for r in embedding_forest.close_vectors(frame).collect()}
+    assert max(f.count() for f in sent) < 100_000
+    want = expected_links(rows)
+    there = sum(x[0] for x in want.values())
+    assert there > 1_500_000 and all(got[i][0] <= want[i][0] for i in want)
+    assert sum(x[0] for x in got.values()) >= 0.999 * there
+    assert {i: x[1:] for i, x in got.items()} == {i: x[1:] for i, x in want.items()}
+
+
 def test_forest_edges(spark):
     nan = float("nan")
     rows = [
