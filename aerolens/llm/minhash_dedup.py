@@ -219,8 +219,8 @@ def _shared(sets: DataFrame, partitions: int) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
-    """rid, rtext, doc_id and n of all rows, and ``least``: the smallest rid
-    of their component, null for empty sets."""
+    """rid, rtext, doc_id and n of all rows, and ``least`` and ``least_text``:
+    rid and rtext of the smallest in their component, null for empty sets."""
     signed = checkpoint(_signed(docs, shingle))
     classes = (
         signed.where("n > 0")
@@ -234,10 +234,12 @@ def _grouped(docs: DataFrame, shingle: int, least: Fraction) -> DataFrame:
     joined = linked(entries, _comparison(sets, least.numerator, least.denominator))
 
     # The smallest document of each component.
-    rep = classes.select("cid", "rid").join(joined.select(F.col("id").alias("cid"), "component"), "cid", "left")
-    rep = rep.select("cid", "rid", F.coalesce("component", "cid").alias("component"))
-    least_rid = rep.groupBy("component").agg(F.min("rid").alias("least"))
-    of_class = rep.join(least_rid, "component").select("cid", "least")
+    rep = classes.select("cid", "rid", "rtext").join(joined.select(F.col("id").alias("cid"), "component"), "cid", "left")
+    rep = rep.select("cid", "rid", "rtext", F.coalesce("component", "cid").alias("component"))
+    smallest = rep.groupBy("component").agg(F.min(F.struct("rid", "rtext")).alias("one"))
+    of_class = rep.join(smallest, "component").select(
+        "cid", F.col("one.rid").alias("least"), F.col("one.rtext").alias("least_text")
+    )
     return signed.select("rid", "rtext", "doc_id", "n", "cid").join(of_class, "cid", "left").drop("cid")
 
 
@@ -258,10 +260,26 @@ def near_duplicates(
 def one_of_each(
     df: DataFrame, shingle: int = 5, similarity: str = "0.8", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``df`` that stay: of each group the smallest id. Rows equal
-    in id and text stay together."""
+    """The rows of ``df`` that stay: one of each group, that of the smallest id
+    and then of the smallest text hash. Of rows equal in both, the one that is
+    smallest as JSON stays. Rows without words are in no group and all stay."""
     result = _grouped(keyed(documents(df, id_col, text_col)), shingle, Fraction(similarity))
-    gone = result.where("least < rid").select(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"))
+    marked = (
+        result.where("n > 0")
+        .groupBy(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"))
+        .agg(F.count("*").alias("_many"), F.first("least").alias("least"), F.first("least_text").alias("least_text"))
+        .select("_rid", "_rtext", "_many", ((F.col("_rid") == F.col("least")) & (F.col("_rtext") == F.col("least_text"))).alias("_stays"))
+        .where("not _stays or _many > 1")
+    )
+    marked = checkpoint(marked)
     rid = F.coalesce(column(df, id_col).cast("long"), F.lit(NO_ID))
     rtext = F.xxhash64(column(df, text_col).cast("string"))
-    return df.join(gone, (rid == F.col("_rid")) & (rtext == F.col("_rtext")), "left_anti")
+    same = (rid == F.col("_rid")) & (rtext == F.col("_rtext"))
+    single = df.join(marked, same, "left_anti")
+    repeated = marked.where("_stays").select("_rid", "_rtext")
+    if repeated.isEmpty():
+        return single
+    row = F.struct(*(column(df, c) for c in df.columns))
+    rows = df.join(repeated, same).select("_rid", "_rtext", row.alias("_row"))
+    one = rows.groupBy("_rid", "_rtext").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return single.union(one.select("_row.*"))

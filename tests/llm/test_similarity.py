@@ -85,6 +85,27 @@ def test_minhash_equals_brute_force(spark, block, monkeypatch):
     assert kept == {i for i, x in expected_groups(rows, 5, 80).items() if x[2]}
 
 
+def test_one_of_each_group_stays(spark):
+    def text(name, changed=""):
+        return " ".join([f"{name}{k}" for k in range(60)] + [changed])
+
+    rows = [
+        (1, text("a"), "q"), (1, text("a"), "p"), (1, text("a"), "p"),  # rows repeated
+        (2, text("b"), "p"), (2, text("b", "x"), "p"), (2, text("b", "y"), "p"),  # near copies under one id
+        (None, text("c"), "p"), (None, text("c"), "p"), (None, text("c", "x"), "p"),  # no id in the group
+        (None, text("d"), "p"), (9, text("d", "x"), "p"), (9, text("d", "x"), "p"), (4, text("e"), "p"),
+        (5, None, "p"), (5, None, "p"), (6, "", "p"), (6, "", "p"),  # no words: in no group
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string").repartition(3)
+    out = minhash_dedup.one_of_each(docs)
+    assert out.columns == docs.columns
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert set(got) <= set(rows)
+    groups = collections.Counter((r[1] or "")[:1] for r in got)
+    assert groups == {"a": 1, "b": 1, "c": 1, "d": 1, "e": 1, "": 4}
+    assert rows[1] in got and rows[10] in got
+
+
 def test_minhash_on_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r[0]: tuple(r)[1:] for r in minhash_dedup.near_duplicates(docs).collect()}
