@@ -23,12 +23,15 @@ from aerolens.llm import (
     secret_scan,
     substring_rlz,
     suffix_dedup,
+    token_alignment,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The vocabulary file; only its name is fixed here.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Likewise the two sides of the alignment.
+SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 #: Rows of an Arrow batch: documents are long, so Spark's 10,000 would be tens of
@@ -130,6 +133,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignments(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path(SIDE_A),
+        public_tokenizers.path(SIDE_B),
+        groups=False,
+    ).drop("groups")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -142,4 +154,5 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_decontamination": op10_decontamination,
+        "op11_token_alignment": op11_token_alignment,
     }
