@@ -103,6 +103,42 @@ SELECT w.doc_id, len(w) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_item
 FROM worded w LEFT JOIN covered c ON w.doc_id = c.doc_id LEFT JOIN found f ON w.doc_id = f.doc_id"""
 
 
+def _moved(before: str, n: int) -> str:
+    """A Lloyd round: the nearest entry of each part, then the floored means."""
+    return f"""
+far{n} AS (
+  SELECT r, p, e, SUM((x - c) * (x - c)) AS d FROM comp JOIN {before} USING (p, k) GROUP BY r, p, e),
+near{n} AS (SELECT r, p, arg_min(e, d * 64 + e) AS e, MIN(d) AS d FROM far{n} GROUP BY r, p),
+mean{n} AS (
+  SELECT p, e, k, CAST(floor(SUM(x) / COUNT(*)) AS BIGINT) AS c
+  FROM near{n} JOIN comp USING (r, p) GROUP BY p, e, k),
+book{n} AS (
+  SELECT b.p, b.e, b.k, COALESCE(m.c, b.c) AS c
+  FROM {before} b LEFT JOIN mean{n} m ON b.p = m.p AND b.e = m.e AND b.k = m.k)"""
+
+
+_CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+comp AS (
+  SELECT r, CAST(floor(i / (len(v) / 16)) AS INTEGER) AS p, i % (len(v) // 16) AS k, v[i + 1] AS x
+  FROM (SELECT r, v, UNNEST(range(0, len(v))) AS i FROM kept)),
+book0 AS (SELECT p, r - 1 AS e, k, x AS c FROM comp WHERE r <= 64),
+{_moved("book0", 1)},
+{_moved("book1", 2)},
+{_moved("book2", 3)},
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(SUM(d) AS BIGINT) AS error
+  FROM near3 GROUP BY r),
+digest AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, k)) AS s FROM book2)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       s AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_dedup": _MINHASH,
@@ -110,4 +146,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_suffix_dedup": _SUFFIX,
         "op7_embedding_dedup": _EMBEDDING,
         "op10_decontamination": _DECONTAMINATION,
+        "op12_vector_codes": _CODES,
     }

@@ -24,6 +24,8 @@ from aerolens.llm import (
     substring_rlz,
     suffix_dedup,
     token_alignment,
+    url_templates,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +144,25 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("groups")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return found.codes.withColumn("codebooks_sha256", F.lit(found.digest()))
+
+
+# The rules that pages are judged by.
+URL_RULES = [
+    url_templates.Rule("allow", "com", "/"),
+    url_templates.Rule("block", "example.com", "/en/"),
+    url_templates.Rule("allow", "www.example.com", "/en/"),
+    url_templates.Rule("block", "net", "/es/"),
+    url_templates.Rule("block", "net", "/fr/"),
+]
+
+
+def op13_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
@@ -155,4 +176,6 @@ def queries() -> dict[str, Query]:
         "op9_license_scan": op9_license_scan,
         "op10_decontamination": op10_decontamination,
         "op11_token_alignment": op11_token_alignment,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_url_templates": op13_url_templates,
     }
