@@ -40,9 +40,10 @@ def model_rows(enriched: DataFrame) -> DataFrame:
     return select_model_columns(labelled_flights(enriched), keep_year=True, keep_key=True)
 
 
-def store_enriched(enriched: DataFrame, path: str) -> str:
-    """Write the enriched table once, partitioned by Year."""
-    return write_table(enriched, path, partition_by=["Year"])
+def store_enriched(enriched: DataFrame, path: str, replace: str = "table") -> str:
+    """Write the enriched table, partitioned by Year: all of it, or with
+    ``replace="partitions"`` only the years that ``enriched`` holds."""
+    return write_table(enriched, path, partition_by=["Year"], replace=replace)
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:

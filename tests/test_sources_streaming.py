@@ -13,7 +13,7 @@ from aerolens.sources import (
     read_flights,
     write_report,
 )
-from aerolens.sources.files import load_profile, read_csv
+from aerolens.sources.files import file_headers, line_profile, load_profile, parse_lines, read_csv
 from aerolens.streaming import enriched_stream, start_ingest
 from conftest import SF_SMALL, rows
 
@@ -76,13 +76,89 @@ def test_airport_lookup_parsing(spark, scratch):
     assert {r[0] for r in airports.selectExpr("length(IATA)").distinct().collect()} == {3, None}
 
 
-def test_csv_header_is_checked(spark, scratch):
-    """A file whose columns stand in another order is not misread: it fails."""
-    path = f"{scratch}/permuted.csv"
+def _write(path, text):
     with open(path, "w", encoding="utf-8") as fh:
-        fh.write("City,Airport,State,IATA\nAlpha,Alpha Intl,Texas,AAA\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_airports(spark, path).collect()
+        fh.write(text)
+
+
+def test_columns_are_bound_by_the_header(spark, scratch):
+    """Three layouts: as declared, in another order with a column more, and with
+    one missing; two files share the first."""
+    _write(f"{scratch}/a.csv", "Airport,City,State,IATA\nAlpha Intl,Alpha,Texas,AAA\n")
+    _write(f"{scratch}/b [1].csv", "Airport,City,State,IATA\nBeta Intl,\"Beta, B\",Ohio,BBB\n")
+    _write(f"{scratch}/c.csv", "IATA,Elevation,City,State,Airport\nCCC,12,Gamma,Utah,Gamma Field\nCC2,x,,Utah,\n")
+    _write(f"{scratch}/d.csv", "City,IATA,Airport\nDelta,DDD,Delta Field\n")
+    _write(f"{scratch}/empty.csv", "")
+    got = read_airports(spark, f"{scratch}/*.csv")
+    assert got.columns == ["Airport", "City", "State", "IATA"]
+    assert sorted(rows(got), key=lambda r: r[3]) == [
+        ("Alpha Intl", "Alpha", "Texas", "AAA"), ("Beta Intl", "Beta, B", "Ohio", "BBB"),
+        (None, None, "Utah", "CC2"), ("Gamma Field", "Gamma", "Utah", "CCC"), ("Delta Field", "Delta", None, "DDD"),
+    ]
+    headers = file_headers(spark, f"{scratch}/*.csv").collect()
+    assert sorted(len(r["files"]) for r in headers) == [1, 1, 2]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3  # one for each layout
+
+
+def test_yearly_files_of_several_layouts_are_read_right(spark, scratch):
+    flights = load_flights(spark, SF_SMALL)
+    by_year = {y: for_year(flights, y) for y in (1995, 1996, 1997)}
+    names = flights.columns
+    _write_csv(by_year[1995], f"{scratch}/y1995")
+    _write_csv(by_year[1996].select(names[::-1]), f"{scratch}/y1996")
+    _write_csv(by_year[1997].drop("EXTRA_6", "TAXI_IN").withColumn("New", F.lit(1)), f"{scratch}/y1997")
+    back = read_flights(spark, f"{scratch}/y*", FIXTURE_FLIGHTS_SCHEMA)
+    assert back.schema == FIXTURE_FLIGHTS_SCHEMA
+    want = by_year[1995].union(by_year[1996]).union(by_year[1997].withColumn("TAXI_IN", F.lit(None).cast("double")))
+    assert sorted(rows(back), key=str) == sorted(rows(want), key=str)
+
+
+def test_wrong_headers_fail(spark, scratch):
+    _write(f"{scratch}/other.csv", "a,b\n1,2\n")
+    with pytest.raises(ValueError, match="none of the declared"):
+        read_airports(spark, f"{scratch}/other.csv")
+    _write(f"{scratch}/twice.csv", "IATA,City,IATA\nA,B,C\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_airports(spark, f"{scratch}/twice.csv")
+    _write(f"{scratch}/empty.csv", "")
+    assert read_airports(spark, f"{scratch}/empty.csv").collect() == []
+
+
+def test_lines_parse_like_files(spark, scratch):
+    text = ["2018-01-05,1,a", "2018-99-05,2,b", ",x,", "2018-02-01,3,\"c, d\"", "2018-02-01,3,e,more", "2018-02-01"]
+    schema = "FL_DATE date, N int, S string"
+    _write(f"{scratch}/lines.csv", "\n".join(["FL_DATE,N,S", *text]) + "\n")
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(text)], "k int, line string")
+    from_lines = parse_lines(frame, "line", schema, keep=["k"])
+    assert sorted(rows(from_lines.drop("k")), key=str) == sorted(
+        rows(read_csv(spark, f"{scratch}/lines.csv", schema, malformed="_malformed")), key=str
+    )
+    assert rows(line_profile(from_lines)) == [(6, 4, 0, 2, 2, 2)]
+
+
+def test_rewriting_one_year_leaves_the_others(spark, scratch):
+    import os
+
+    def files(year):
+        folder = f"{table}/Year={year}"
+        return {f: os.stat(f"{folder}/{f}").st_mtime_ns for f in os.listdir(folder) if f.endswith(".parquet")}
+
+    enriched = enrich(load_flights(spark, SF_SMALL), load_airports(spark, SF_SMALL)).repartition(7)
+    table = store_enriched(enriched, f"{scratch}/enriched")
+    years = sorted(r[0] for r in enriched.select("Year").distinct().collect())
+    before = {y: files(y) for y in years}
+    assert all(len(f) == 1 for f in before.values())  # far less than a target size each
+    n = enriched.count()
+    fewer = for_year(enriched, 1998).limit(10)
+    store_enriched(fewer, table, replace="partitions")
+    after = {y: files(y) for y in years}
+    assert {y for y in years if after[y] != before[y]} == {1998}
+    stored = read_enriched(spark, table)
+    assert for_year(stored, 1998).count() == 10
+    assert stored.count() == n - for_year(enriched, 1998).count() + 10
+    store_enriched(fewer, table)
+    assert read_enriched(spark, table).count() == 10
 
 
 def test_malformed_values_are_counted(spark, scratch):
