@@ -29,14 +29,15 @@ own. Other columns of the table are not read, whatever their names.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 import zstandard
 from pyspark import TaskContext
@@ -54,7 +55,7 @@ RADIX = 16
 #: Runs merged at a time.
 FAN = 64
 #: Units a worker remembers in each of two generations, and the longest that it does.
-KEPT_UNITS, KEPT_CHARS = 80_000, 40
+KEPT_UNITS, KEPT_CHARS = 160_000, 40
 #: Characters of new units that are encoded together, and of texts looked at together.
 LOT_CHARS, CHUNK_CHARS = 40_000, 500_000
 
@@ -93,12 +94,12 @@ class Aligner:
         self.a_size, self.b_size = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = ([str(k) for k in range(len(x))] for x in (self.a_bytes, self.b_bytes))
         # White space that a piece holds after something else doesn't part units.
-        inside = regex.compile(f"(?<=[^{SPACE}▁])[{SPACE}▁]")
+        inside = re.compile(f"(?<=[^{SPACE}▁])[{SPACE}▁]")
         crossing = {c for p in pieces for c in inside.findall(p)}
         self.parted = " " not in crossing and "▁" not in crossing
         more = "".join(f"\\u{ord(c):04x}" for c in sorted(crossing))
         tail = f"(?:[{more}][{SPACE}]*[^{SPACE}]*)*" if more else ""
-        self.units = regex.compile(f"[{SPACE}]*[^{SPACE}]+{tail}|[{SPACE}]+").findall
+        self.cut = re.compile(f"[{SPACE}]*[^{SPACE}]+{tail}|[{SPACE}]+").findall
         self.known: dict[str, Unit] = {}
         self.older: dict[str, Unit] = {}
         self.broken: set[str] = set()
@@ -146,7 +147,7 @@ class Aligner:
         found = self.together([" ", unit])
         return found[1] if found else NOTHING
 
-    def learn(self, wanted: set[str]) -> None:
+    def learn(self, wanted: list[str]) -> None:
         """Looks up or encodes all of ``wanted``."""
         new = []
         for unit in wanted:
@@ -186,18 +187,24 @@ class Aligner:
             self.known = {}
             self.broken.clear()
 
-    def parts(self, texts: list[str]) -> list[list[str]]:
-        """For each text its units, all of them in ``known``: the text as one unit
-        if it can't be parted, none if its bytes don't come back."""
-        cuts = [(self.units(" " + t) if self.parted else [" " + t]) if t else [] for t in texts]
-        self.learn(set().union(*cuts))
-        if not self.broken:
-            return cuts
-        for k, text in enumerate(texts):
-            if not self.broken.isdisjoint(cuts[k]):
-                whole = self.alone(" " + text)
-                self.known[" " + text] = whole
-                cuts[k] = [" " + text] if whole.whole else []
+    def parts(self, texts: list[str], number: dict[str, int], units: list[Unit]) -> list[list[str]]:
+        """For each text its units (the text as one unit if it can't be parted,
+        none if its bytes don't come back). All of them are numbered: ``number``
+        and ``units`` hold those met before and take in the new ones."""
+        cuts = [(self.cut(" " + t) if self.parted else [" " + t]) if t else [] for t in texts]
+        new = [u for u in set().union(*cuts) if u not in number]
+        self.learn(new)
+        if self.broken:
+            for k, text in enumerate(texts):
+                if not self.broken.isdisjoint(cuts[k]):
+                    whole = self.alone(" " + text)
+                    self.known[" " + text] = whole
+                    cuts[k] = [" " + text] if whole.whole else []
+                    new += cuts[k]
+        for unit in new:
+            if unit not in number and self.known[unit].whole:  # others are looked at each time
+                number[unit] = len(units)
+                units.append(self.known[unit])
         return cuts
 
 
@@ -236,13 +243,8 @@ class BlockRuns:
         self.seen: list[np.ndarray] = []
         self.text = 0
 
-    def add(self, cut: list[str], known: dict[str, Unit], size: int) -> None:
-        number = self.number
-        for name in set(cut):
-            if name not in number:
-                number[name] = len(self.units)
-                self.units.append(known[name])
-        self.seen.append(np.array([number[name] for name in cut], np.int32))
+    def add(self, cut: list[str], size: int) -> None:
+        self.seen.append(np.fromiter(map(self.number.__getitem__, cut), np.int32, len(cut)))
         self.text += size
 
     def lines(self, groups: bool) -> dict[str, list]:
@@ -355,6 +357,7 @@ def _encoded(docs: DataFrame, a_file: str, b_file: str, groups: bool) -> DataFra
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = aligner(a_file, b_file)
+        gc.disable()  # units make no cycles, and there are very many
         task = TaskContext.get().partitionId()
         number, held, ids = 0, BlockRuns(), []
 
@@ -376,16 +379,17 @@ def _encoded(docs: DataFrame, a_file: str, b_file: str, groups: bool) -> DataFra
                 while at + len(chunk) < len(told) and size < CHUNK_CHARS:
                     chunk.append(texts[at + len(chunk)].as_py())
                     size += len(chunk[-1])
-                for k, (text, cut) in enumerate(zip(chunk, code.parts(chunk), strict=True)):
-                    ids.append(told[at + k])
-                    held.add(cut, code.known, len(text))
-                    if held.text >= BLOCK_TEXT:
-                        yield from flush()
+                for text, cut in zip(chunk, code.parts(chunk, held.number, held.units), strict=True):
+                    held.add(cut, len(text))
+                ids += told[at : at + len(chunk)]
+                if held.text >= BLOCK_TEXT:
+                    yield from flush()
                 at += len(chunk)
                 code.forget()
         yield from flush()
         code.older, code.known = {}, {}
         code.broken.clear()
+        gc.enable()
         give_back()
 
     return docs.mapInArrow(encode, ENCODED)
