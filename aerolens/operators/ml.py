@@ -9,6 +9,9 @@ Differences from a naive script, on purpose:
   any cluster and needs no materialised copy;
 - encoders are fitted on the training part only, so the test part cannot
   leak categories into the encoding;
+- all indexers come from one aggregate instead of a job for each column;
+- models are fitted on a layout of their own, a given number of partitions with
+  rows dealt and sorted by their values, whatever the input's partitions;
 - vectors and labels are materialised once before the models are timed;
 - f1 and accuracy are reported under their own names, both from one
   confusion-matrix aggregate per model.
@@ -32,7 +35,9 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,24 +109,51 @@ def parts(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def labels_by_frequency(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The distinct values of each column, most frequent first, equally frequent
+    ones by name, without null: what a string indexer fits, for all columns
+    from one GROUPING SETS aggregate and so from one scan. The driver gets
+    the categories, as an indexer's fit does."""
+    columns = list(columns)
+    text = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
+    counts = text.groupingSets([[c] for c in columns], *columns).agg(
+        F.grouping_id(*columns).alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+    own = {(1 << len(columns)) - 1 - (1 << (len(columns) - 1 - k)): c for k, c in enumerate(columns)}
+    out: dict[str, list] = {c: [] for c in columns}
+    for row in counts.collect():
+        column = own[row["_set"]]
+        if row[column] is not None:
+            out[column].append((-row["_n"], row[column]))
+    return {c: [value for _, value in sorted(found)] for c, found in out.items()}
+
+
 def feature_pipeline(
+    train: DataFrame,
     categories: Sequence[str] = CATEGORY_COLUMNS,
     numerics: Sequence[str] = NUMERIC_COLUMNS,
-) -> Pipeline:
-    """M3-M6: index categories (most frequent = 0; null or unseen values get an
+) -> PipelineModel:
+    """M3-M7: index categories (most frequent = 0; null or unseen values get an
     index of their own, so no row is lost to them), index the label, one-hot
     encode (that last index is the dropped level), assemble with the numeric
     columns (a row with a null number has no vector and is skipped; see
-    ``unusable``)."""
+    ``unusable``). All indexers come from one pass over ``train``; the encoder
+    takes its widths from their metadata and reads no rows."""
     # The suffixes of the encoded columns.
     index_out = [c + "_Index" for c in categories]
     onehot_out = [c + "_OneHot" for c in categories]
+    labels = labels_by_frequency(train, [*categories, LABEL_SOURCE])
+    # One model a column: the array form fills shorter label lists up with nulls.
+    indexers = [
+        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=out, handleInvalid="keep")
+        for c, out in zip(categories, index_out, strict=True)
+    ]
     return Pipeline(stages=[
-        StringIndexer(inputCols=list(categories), outputCols=index_out, handleInvalid="keep"),
-        StringIndexer(inputCol=LABEL_SOURCE, outputCol=LABEL),
+        *indexers,
+        StringIndexerModel.from_labels(labels[LABEL_SOURCE], inputCol=LABEL_SOURCE, outputCol=LABEL),
         OneHotEncoder(inputCols=index_out, outputCols=onehot_out, handleInvalid="error"),
         VectorAssembler(inputCols=onehot_out + list(numerics), outputCol=FEATURES, handleInvalid="skip"),
-    ])
+    ]).fit(train.limit(0))  # nothing left to learn but the columns
 
 
 def unusable(df: DataFrame, numerics: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -130,12 +162,59 @@ def unusable(df: DataFrame, numerics: Sequence[str] = NUMERIC_COLUMNS) -> DataFr
     return df.select(F.count(F.when(lost, F.lit(1))).alias("skipped"))
 
 
+def prepare_tagged(tagged: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """M7 over a ``tag_split`` result: fit the feature pipeline on its train part
+    and transform all rows at once. Keeps the original columns with ``part``, the
+    category indices, ``features`` and ``label_index``."""
+    model = feature_pipeline(tagged.filter(F.col("part") == "train").drop("part"))
+    return model, _transformed(model, tagged)
+
+
 def prepare(train: DataFrame, test: DataFrame) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """M7: fit the feature pipeline on ``train``, transform both parts and keep
-    the original columns, the category indices, ``features`` and ``label_index``."""
-    model = feature_pipeline().fit(train)
-    keep = train.columns + [c + "_Index" for c in CATEGORY_COLUMNS] + [FEATURES, LABEL]
-    return model, model.transform(train).select(keep), model.transform(test).select(keep)
+    """M7: fit the feature pipeline on ``train`` and transform both frames."""
+    model = feature_pipeline(train)
+    return model, _transformed(model, train), _transformed(model, test)
+
+
+def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
+    return model.transform(df).select(df.columns + [c + "_Index" for c in CATEGORY_COLUMNS] + [FEATURES, LABEL])
+
+
+def feature_names(df: DataFrame, col: str = FEATURES) -> list[str]:
+    """The name of each place of the assembled vectors, from the column metadata."""
+    kinds = df.schema[col].metadata["ml_attr"]["attrs"].values()
+    return [a["name"] for a in sorted((a for kind in kinds for a in kind), key=lambda a: a["idx"])]
+
+
+def vector_summary(df: DataFrame, by: Sequence[str] = (), col: str = FEATURES) -> DataFrame:
+    """M5, M6: for each place of the vectors its name, sum and number of values
+    other than zero, and the number of vectors; for each group of ``by``.
+    One distributed aggregate over the (sparse) vectors."""
+    names = feature_names(df, col)
+    summed = df.groupBy(*by).agg(Summarizer.metrics("count", "sum", "numNonZeros").summary(F.col(col)).alias("_s"))
+    places = F.arrays_zip(
+        F.lit(names).alias("feature"),
+        vector_to_array("_s.sum").alias("total"),
+        vector_to_array("_s.numNonZeros").alias("nonzero"),
+    )
+    rows = summed.select(*by, F.col("_s.count").alias("vectors"), F.explode(places).alias("_p"))
+    return rows.select(
+        *by, F.col("_p.feature").alias("feature"), "vectors",
+        F.col("_p.total").alias("total"), F.col("_p.nonzero").cast("long").alias("nonzero"),
+    )
+
+
+#: Partitions that models are fitted on: a few times the cores of a cluster. The
+#: number is part of a fit, so it is given and not taken from the input's layout.
+FIT_PARTITIONS = 8
+
+
+def laid_out(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The rows dealt to ``partitions`` by a hash of all their values and sorted
+    within: the same layout from any input, so that fits are the same on any
+    cluster and use all its cores."""
+    text = [c for c, kind in df.dtypes if kind != "vector"]
+    return df.repartition(partitions, F.xxhash64(*text)).sortWithinPartitions(*text)
 
 
 def feature_width(df: DataFrame, col: str = FEATURES) -> int:
@@ -246,7 +325,8 @@ def compare_models(
     models: Mapping[str, Estimator] | None = None,
 ) -> DataFrame:
     """Fit each model on ``train``, score it on ``test``; one row per model
-    (algorithm, f1, accuracy, seconds for fit and score)."""
+    (algorithm, f1, accuracy, seconds for fit and score). Fits read the frames'
+    partitions as they are; see ``laid_out``."""
     models = default_models() if models is None else models
     # Only what fitting and scoring read, and there before the clock starts.
     train, test = (f.select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK) for f in (train, test))

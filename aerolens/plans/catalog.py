@@ -22,6 +22,7 @@ from aerolens.plans.modeling import (
     perceptron_scores,
     rule_scores,
     stratified_split_counts,
+    vector_summary,
 )
 from aerolens.plans.tables import enriched_flights, labelled_flights, model_input, model_rows
 from aerolens.sources.files import register
@@ -145,6 +146,7 @@ def queries() -> dict[str, Query]:
         # they are scored has
         "stratified_split_counts": lambda s, d: stratified_split_counts(model_rows(_enriched(s, d))),
         "feature_vectors": lambda s, d: feature_vectors(model_rows(_enriched(s, d))),
+        "vector_summary": lambda s, d: vector_summary(model_rows(_enriched(s, d))),
         "classification_scores": lambda s, d: rule_scores(labelled_flights(_enriched(s, d))),
         "model_comparison": lambda s, d: model_comparison(model_rows(_enriched(s, d))),
         "perceptron_scores": lambda s, d: perceptron_scores(model_rows(_enriched(s, d))),

@@ -18,20 +18,30 @@ def stratified_split_counts(model_rows: DataFrame, train_fraction: float = 0.8,
     return tagged.groupBy("Year", "part").agg(F.count(F.lit(1)).alias("Number"))
 
 
-def prepared_parts(model_rows: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %."""
-    train, test = ml.parts(ml.tag_split(model_rows, 0.7, seed))
-    _, train_f, test_f = ml.prepare(train, test)
-    return train_f, test_f
+def prepared_parts(
+    model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS
+) -> tuple[DataFrame, DataFrame]:
+    """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %,
+    rows laid out for fitting."""
+    tagged = ml.tag_split(ml.laid_out(model_rows, partitions), 0.7, seed)
+    return ml.parts(ml.prepare_tagged(tagged)[1])
+
+
+def _prepared(model_rows: DataFrame, seed: int) -> DataFrame:
+    return ml.prepare_tagged(ml.tag_split(model_rows, 0.7, seed))[1]
 
 
 def feature_vectors(model_rows: DataFrame, seed: int = 42) -> DataFrame:
     """M3-M7: every row that survives encoding, with what its (sparse) vector
-    is made of, category indices and numbers, its label index and its part."""
-    train_f, test_f = prepared_parts(model_rows, seed)
+    is made of, category indices and numbers, its label index and its part.
+    One scan fits the encoders, one transforms all rows."""
     columns = [c + "_Index" for c in ml.CATEGORY_COLUMNS] + [*ml.NUMERIC_COLUMNS, ml.LABEL]
-    tag = lambda df, name: df.select(*columns, F.lit(name).alias("part"))
-    return tag(train_f, "train").unionByName(tag(test_f, "test"))
+    return _prepared(model_rows, seed).select(*columns, "part")
+
+
+def vector_summary(model_rows: DataFrame, seed: int = 42) -> DataFrame:
+    """M5, M6: what the vectors of each part add up to, place by place."""
+    return ml.vector_summary(_prepared(model_rows, seed), ["part"])
 
 
 def rule_scores(labelled: DataFrame) -> DataFrame:
@@ -44,14 +54,18 @@ def rule_scores(labelled: DataFrame) -> DataFrame:
     return ml.scores(labelled.select(number(F.col("Labels")).alias(ml.LABEL), number(guess).alias(ml.PREDICTION)))
 
 
-def perceptron_scores(model_rows: DataFrame, seed: int = 42) -> DataFrame:
-    """M11 with one small hidden layer: its scores on the test part."""
-    train_f, test_f = prepared_parts(model_rows, seed)
-    estimator = ml.perceptron(ml.feature_width(train_f), hidden=(8,), max_iter=10)
+#: Hidden layers of the registered perceptron; the library's default is two of 800.
+HIDDEN = (64, 32)
+
+
+def perceptron_scores(model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS) -> DataFrame:
+    """M11 with two hidden layers: its scores on the test part."""
+    train_f, test_f = prepared_parts(model_rows, seed, partitions)
+    estimator = ml.perceptron(ml.feature_width(train_f), hidden=HIDDEN, max_iter=10)
     return ml.compare_models(train_f, test_f, {"Multilayer Perceptron": estimator}).drop("seconds")
 
 
-def model_comparison(model_rows: DataFrame, seed: int = 42) -> DataFrame:
+def model_comparison(model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS) -> DataFrame:
     """One row per classifier with f1, accuracy and seconds."""
-    train_f, test_f = prepared_parts(model_rows, seed)
+    train_f, test_f = prepared_parts(model_rows, seed, partitions)
     return ml.compare_models(train_f, test_f)

@@ -205,6 +205,28 @@ def _feature_vectors() -> str:
     )
 
 
+def _vector_summary() -> str:
+    """One row for each category of the train part and each number, by part."""
+    numbers = ["TAXI_OUT", "WHEELS_OFF", "WHEELS_ON", "TAXI_IN", "DEP_TIME", "DEP_DELAY"]
+    usable = " AND ".join(f"{n} IS NOT NULL" for n in numbers)
+    each = [
+        f"""SELECT m.part, CONCAT('{c}_OneHot_', v.value) AS feature, m.vectors,
+       CAST(COUNT(u.part) AS DOUBLE) AS total, COUNT(u.part) AS nonzero
+FROM many m CROSS JOIN (SELECT DISTINCT {c} AS value FROM parts WHERE part = 'train' AND {c} IS NOT NULL) v
+LEFT JOIN usable u ON u.part = m.part AND u.{c} = v.value GROUP BY ALL"""
+        for c in ("OP_CARRIER", "ORIGIN", "DEST")
+    ] + [
+        f"""SELECT part, '{n}' AS feature, COUNT(*) AS vectors, SUM({n}) AS total,
+       COUNT(*) FILTER (WHERE {n} <> 0) AS nonzero FROM usable GROUP BY part"""
+        for n in numbers
+    ]
+    return (
+        f", {_parts('0.7')}, usable AS (SELECT * FROM parts WHERE {usable}),"
+        " many AS (SELECT part, COUNT(*) AS vectors FROM usable GROUP BY part) "
+        + " UNION ALL ".join(each)
+    )
+
+
 def _rule_scores() -> str:
     return """, guess AS (
   SELECT Labels AS label, CASE WHEN DEP_DELAY < -10 THEN 'Early' WHEN DEP_DELAY > 10 THEN 'Delay'
@@ -282,6 +304,7 @@ WHERE place <= 10"""
             f", {_parts('0.8')} SELECT Year, part, COUNT(*) AS Number FROM parts GROUP BY Year, part"
         ),
         "feature_vectors": _with(_feature_vectors()),
+        "vector_summary": _with(_vector_summary()),
         "classification_scores": _with(_rule_scores()),
         "union_by_name_years": _with(f"SELECT {flight_cols} FROM flights"),
         "top_origins": _with(

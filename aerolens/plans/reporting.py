@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from aerolens.operators import distribution, filters, quality
 from aerolens.plans import single_pass
 from aerolens.operators.enrich import enrich
+from aerolens.operators.ml import FIT_PARTITIONS
 from aerolens.plans.modeling import model_comparison
-from aerolens.plans.tables import labelled_flights, model_input, read_enriched, store_enriched
+from aerolens.plans.tables import labelled_flights, model_rows, read_enriched, store_enriched
 from aerolens.session import build_session
 from aerolens.sources.files import load_profile, read_airports, read_flights
 from aerolens.sources.schemas import FLIGHTS_CSV_SCHEMA
@@ -65,8 +66,10 @@ def run_reports(
     years: Sequence[int] = (),
     with_models: bool = False,
     flights_schema=FLIGHTS_CSV_SCHEMA,
+    fit_partitions: int = FIT_PARTITIONS,
 ) -> dict[str, str]:
-    """Run everything and return report name -> written path."""
+    """Run everything and return report name -> written path. Models are fitted
+    on ``fit_partitions`` partitions, a few times the cores of the cluster."""
     out_dir = out_dir.rstrip("/")
     raw = read_flights(spark, flights_paths, flights_schema)
     written = {"null_percentages": write_report(quality.null_percentages(raw), out_dir, "null_percentages")}
@@ -78,7 +81,7 @@ def run_reports(
         written[name] = write_report(frame, out_dir, name)
     if with_models:
         written["model_comparison"] = write_report(
-            model_comparison(model_input(enriched)), out_dir, "model_comparison"
+            model_comparison(model_rows(enriched), partitions=fit_partitions), out_dir, "model_comparison"
         )
     return written
 
@@ -92,6 +95,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--state-b", required=True)
     parser.add_argument("--years", nargs="*", type=int, default=[])
     parser.add_argument("--models", action="store_true", help="also train and compare the classifiers")
+    parser.add_argument("--fit-partitions", type=int, default=FIT_PARTITIONS, help="partitions the classifiers are fitted on")
     parser.add_argument("--shuffle-partitions", type=int, help="initial shuffle partitions (AQE shrinks)")
     parser.add_argument("--max-partition-bytes", help="input split size, e.g. 256m")
     parser.add_argument("--advisory-partition-bytes", help="post-shuffle partition size, e.g. 128m")
@@ -104,7 +108,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     for name, path in run_reports(
         spark, args.flights, args.airports, args.out, args.state_a, args.state_b,
-        args.years, args.models,
+        args.years, args.models, fit_partitions=args.fit_partitions,
     ).items():
         print(f"{name}\t{path}")
 

@@ -63,6 +63,53 @@ def test_unseen_categories_are_kept(spark, model_rows):
     assert {r[0] for r in odd_f.select("OP_CARRIER_Index").collect()} == {float(levels)}
 
 
+def test_indexers_from_one_aggregate_equal_fitted_ones(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame(
+        [("b", "x", "1"), ("a", "x", "2"), ("a", None, "10"), ("b", "y", "2"), (None, "z", "é"), ("c", "", "1")],
+        "p string, q string, r string",
+    )
+    fitted = StringIndexer(inputCols=["p", "q", "r"], outputCols=["i", "j", "k"], handleInvalid="keep").fit(df)
+    mine = ml.labels_by_frequency(df, ["p", "q", "r"])
+    assert [mine[c] for c in "pqr"] == [list(x) for x in fitted.labelsArray]
+
+
+def test_encoders_are_fitted_in_one_scan(spark, model_rows):
+    """Fitting runs the aggregate and nothing else over the training rows."""
+    tracker, group = spark.sparkContext.statusTracker(), "fit-encoders"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        ml.feature_pipeline(model_rows)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(group)) <= 2  # the aggregate, in one or two adaptive steps
+
+
+def test_vector_summary_adds_up(spark, model_rows):
+    train_f, _ = prepared_parts(model_rows)
+    rows = {r["feature"]: r for r in ml.vector_summary(train_f).collect()}
+    assert len(rows) == ml.feature_width(train_f)
+    vectors = [r[0] for r in train_f.select(ml.FEATURES).collect()]
+    names = ml.feature_names(train_f)
+    for place in (0, 1, len(names) // 2, len(names) - 1):
+        values = [float(v[place]) for v in vectors]
+        got = rows[names[place]]
+        assert (got["vectors"], got["total"], got["nonzero"]) == (len(values), sum(values), sum(x != 0 for x in values))
+    carriers = [r for n, r in rows.items() if n.startswith("OP_CARRIER_OneHot_")]
+    assert sum(r["nonzero"] for r in carriers) == len(vectors)
+
+
+def test_fits_are_the_same_from_any_layout(spark, model_rows):
+    found = []
+    for n in (1, 3, 8):
+        train_f, test_f = prepared_parts(model_rows.repartition(n), seed=11, partitions=4)
+        assert train_f.rdd.getNumPartitions() == 4
+        models = dict(ml.default_models(), perceptron=ml.perceptron(ml.feature_width(train_f), (8, 4), max_iter=4))
+        found.append([(r["algorithm"], r["f1"], r["accuracy"]) for r in ml.compare_models(train_f, test_f, models).collect()])
+    assert found[0] == found[1] == found[2] and len(found[0]) == 5
+
+
 def test_feature_vectors_query(spark, model_rows):
     out = feature_vectors(model_rows)
     assert set(out.columns) >= {"OP_CARRIER_Index", ml.LABEL, "part"}
