@@ -21,9 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, or_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,73 +49,18 @@ def value_histogram(df: DataFrame, columns: Sequence[str] = DELAY_COLUMNS) -> Da
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def bucketed_quantiles(
-    hist: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float] = QUARTILES,
-    buckets: int = 1024,
-) -> DataFrame:
-    """Exact quantiles (linear interpolation) without one task holding every
-    distinct value: (delay, _q array<double>).
-
-    For each column: split points from an approximate-quantile sketch over
-    the distinct values cut them into about ``buckets`` ranges of similar
-    size, and ``Bucketizer`` assigns each histogram row by binary search.
-    Bucket totals (one row per bucket) give every bucket's first rank, which
-    tells which buckets hold the order statistics needed. A running sum over
-    those few buckets only (each about 1/buckets of the distinct values)
-    finds the exact values. The driver receives the split points, the bucket
-    totals and the handful of order statistics, all bounded by ``buckets``.
-    """
-    spark = hist.sparkSession
-    v, n = F.col("value"), F.col("n")
-    out = []
-    for column in columns:
-        h = hist.filter(F.col("delay") == F.lit(column)).select("value", "n")
-        cuts = h.approxQuantile("value", [i / buckets for i in range(1, buckets)], 0.1 / buckets)
-        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-        binned = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(h)
-        totals = sorted(
-            (int(r["bucket"]), int(r["cnt"]))
-            for r in binned.groupBy("bucket").agg(F.sum(n).alias("cnt")).collect()
-        )
-        total = sum(c for _, c in totals)
-        if total == 0:
-            out.append((column, None))
-            continue
-        starts, first = {}, 0
-        for b, c in totals:
-            starts[b] = first
-            first += c
-        positions = [p * (total - 1) for p in probabilities]
-        ranks = sorted({r for pos in positions for r in (int(pos // 1), int(-(-pos // 1)))})
-        owner = {r: max(b for b, s in starts.items() if s <= r) for r in ranks}
-        targets = sorted(set(owner.values()))
-        offset = F.create_map(*[x for b in targets for x in (F.lit(float(b)), F.lit(starts[b]))])
-        w = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (
-            binned.filter(F.col("bucket").isin([float(b) for b in targets]))
-            .withColumn("_end", F.sum(n).over(w) + offset[F.col("bucket")])
-            .withColumn("_begin", F.col("_end") - n)
-        )
-        wanted = F.lit(False)
-        for r in ranks:
-            wanted = wanted | ((F.col("_begin") <= r) & (F.lit(r) < F.col("_end")))
-        found = [(int(row["_begin"]), int(row["_end"]), float(row["value"]))
-                 for row in ranked.filter(wanted).collect()]
-
-        def at(rank: int) -> float:
-            return next(val for begin, end, val in found if begin <= rank < end)
-
-        values = []
-        for pos in positions:
-            lower, higher = int(pos // 1), int(-(-pos // 1))
-            lo_val, hi_val = at(lower), at(higher)
-            # Same interpolation as Spark's exact percentile.
-            values.append(lo_val if lower == higher or lo_val == hi_val
-                          else (higher - pos) * lo_val + (pos - lower) * hi_val)
-        out.append((column, values))
-    return spark.createDataFrame(out, "delay string, _q array<double>")
+#: Ranges that an e-fold of a delay's size is cut into, each about 0.1 % wide.
+RANGES_PER_E = 1024
+
+
+def value_range(value: Column) -> Column:
+    """The number of the fixed range that a value lies in. Of two values the
+    larger one never lies in the lower range (Java's log1p and floor keep the
+    order), so ranges partition the values whatever they are. There are some
+    1.5 million ranges in all, and whole minutes up to about a thousand have a
+    range each."""
+    size = F.floor(F.log1p(F.abs(value)) * F.lit(RANGES_PER_E))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value < 0, -size).otherwise(size)
 
 
 def _quartiles(
@@ -124,32 +68,20 @@ def _quartiles(
     whisker: float,
     values: DataFrame | None = None,
     accuracy: int | None = None,
-    buckets: int | None = None,
-    columns: Sequence[str] = DELAY_COLUMNS,
 ) -> DataFrame:
     """Per delay: count, q1, median, q3, mean and the two fences.
 
-    Exact by default: the histogram is sorted by value within each delay
-    column and a running total of the frequencies tells which values hold the
-    order statistics. No buffer holds the distinct values; a sort that is too
-    large spills. With ``buckets`` the quartiles are still exact but computed
-    by ``bucketed_quantiles``, whose tasks see about 1/buckets of the distinct
-    values each. With ``accuracy`` they come from ``percentile_approx`` over
-    the raw ``values``, a fixed-size sketch.
+    Exact by default (``_ranked_quartiles``). With ``accuracy`` the quartiles
+    come from ``percentile_approx`` over the raw ``values``, a fixed-size sketch.
     """
     v, n = F.col("value"), F.col("n")
-    if buckets is None and accuracy is None:
-        q = _ranked_quartiles(hist)
-        return _with_fences(q, whisker)
-    side = None
-    if buckets is not None:
-        side = bucketed_quantiles(hist, columns, QUARTILES, buckets)
-    elif accuracy is not None:
-        if values is None:
-            raise ValueError("approximate quartiles need the raw values")
-        side = values.groupBy("delay").agg(
-            F.percentile_approx(v, list(QUARTILES), accuracy).cast("array<double>").alias("_q")
-        )
+    if accuracy is None:
+        return _with_fences(_ranked_quartiles(hist), whisker)
+    if values is None:
+        raise ValueError("approximate quartiles need the raw values")
+    side = values.groupBy("delay").agg(
+        F.percentile_approx(v, list(QUARTILES), accuracy).cast("array<double>").alias("_q")
+    )
     q = hist.groupBy("delay").agg(
         F.sum(n).alias("count"),
         (F.sum(v * n) / F.sum(n)).alias("mean"),
@@ -159,32 +91,51 @@ def _quartiles(
 
 
 def _ranked_quartiles(hist: DataFrame) -> DataFrame:
-    """count, mean and ``_q``, the quartiles, of each delay column."""
+    """count, mean and ``_q``, the quartiles, of each delay column.
+
+    The histogram is cut into fixed ranges by value. A running total over the
+    ranges' totals (never more rows than there are ranges) gives the first rank
+    of each and so the ranges that own the ranks wanted, at most two for each
+    quartile. Only these are sorted by value, each in a place of its own. One
+    plan, no step on the driver, and no task sees all values of a column."""
     v, n = F.col("value"), F.col("n")
-    column = Window.partitionBy("delay")
-    upto = column.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = hist.select(
-        "delay", "value", "n", F.sum("n").over(upto).alias("_end"), F.sum("n").over(column).alias("_total")
+    ranged = hist.withColumn("_range", value_range(v))
+    ranges = ranged.groupBy("delay", "_range").agg(F.sum("n").alias("_held"), F.sum(v * n).alias("_sum"))
+    totals = ranges.groupBy("delay").agg(
+        F.sum("_held").alias("count"), (F.sum("_sum") / F.sum("_held")).alias("mean")
+    )
+    upto = Window.partitionBy("delay").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("_held").over(upto), F.lit(0))
+    # One row per delay column: a bounded broadcast.
+    placed = ranges.withColumn("_first", first).join(F.broadcast(totals), "delay")
+    places = [F.lit(p) * (F.col("count") - 1) for p in QUARTILES]
+
+    def holds(begin: Column, many: Column, rank: Column) -> Column:
+        return (begin <= rank) & (rank < begin + many)
+
+    owns = reduce(
+        or_, [holds(F.col("_first"), F.col("_held"), edge(place)) for place in places for edge in (F.floor, F.ceil)]
     )
-    begin, end, total = F.col("_end") - n, F.col("_end"), F.col("_total")
+    owners = placed.filter(owns).select("delay", F.col("_range").alias("_own"), "_first", "count", "mean")
+    # At most two ranges for each quartile of each delay column: a bounded broadcast.
+    # Null-safe, so that no filter on the range goes below the histogram, whose
+    # shuffle all branches share.
+    searched = ranged.join(
+        F.broadcast(owners), (ranged["delay"] == owners["delay"]) & F.col("_range").eqNullSafe(F.col("_own"))
+    ).drop(owners["delay"])
+    before = Window.partitionBy("delay", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    searched = searched.withColumn("_begin", F.col("_first") + F.coalesce(F.sum("n").over(before), F.lit(0)))
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((begin <= rank) & (rank < end), v))
+        return F.max(F.when(holds(F.col("_begin"), n, rank), v))
 
     pieces = []
-    for k, p in enumerate(QUARTILES):
-        place = F.lit(p) * (total - 1)
-        pieces += [
-            at(F.floor(place)).alias(f"_low{k}"),
-            at(F.ceil(place)).alias(f"_high{k}"),
-            F.max(place).alias(f"_place{k}"),
-        ]
-    found = ranked.groupBy("delay").agg(
-        F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("mean"), *pieces
-    )
+    for k, place in enumerate(places):
+        pieces += [at(F.floor(place)).alias(f"_low{k}"), at(F.ceil(place)).alias(f"_high{k}")]
+    found = searched.groupBy("delay", "count", "mean").agg(*pieces)
 
     def between(k: int) -> Column:
-        low, high, place = F.col(f"_low{k}"), F.col(f"_high{k}"), F.col(f"_place{k}")
+        low, high, place = F.col(f"_low{k}"), F.col(f"_high{k}"), places[k]
         share = place - F.floor(place)
         # Linear interpolation, weighting both neighbours as Spark's percentile does.
         return F.when(low == high, low).otherwise((F.ceil(place) - place) * low + share * high)
@@ -203,18 +154,6 @@ def _with_fences(q: DataFrame, whisker: float) -> DataFrame:
     )
 
 
-def _histogram(
-    df: DataFrame, columns: Sequence[str], hist: DataFrame | None, buckets: int | None
-) -> DataFrame:
-    """The given histogram, or a new one. The bucketed quartiles read it in
-    several jobs, so for them a new histogram is materialised once instead of
-    being recomputed from the flights by each job."""
-    if hist is not None:
-        return hist
-    hist = value_histogram(df, columns)
-    return stable(hist) if buckets is not None else hist
-
-
 def _fenced(frame: DataFrame, stats: DataFrame) -> DataFrame:
     # ``stats`` is grouped by ``delay``, whose values are the caller's column
     # names: at most len(columns) rows, so the broadcast is bounded.
@@ -227,7 +166,6 @@ def box_summary(
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
-    buckets: int | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """One row per delay column with count, minimum and maximum
@@ -237,12 +175,11 @@ def box_summary(
     carried through the second aggregate as grouping columns (they are
     functions of ``delay``), so the plan has one quartile aggregate and no
     join after it. ``hist`` is a precomputed ``value_histogram`` to reuse;
-    ``buckets`` and ``accuracy`` choose how the quartiles are computed (see
-    ``_quartiles``).
+    ``accuracy`` chooses how the quartiles are computed (see ``_quartiles``).
     """
-    hist = _histogram(df, columns, hist, buckets)
+    hist = value_histogram(df, columns) if hist is None else hist
     if stats is None:
-        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
     v, n = F.col("value"), F.col("n")
     lo, hi = F.col("lower_fence"), F.col("upper_fence")
     out = _fenced(hist, stats).groupBy(*stats.columns).agg(
@@ -268,14 +205,13 @@ def delay_outliers(
     whisker: float = WHISKER_IQR,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
-    buckets: int | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """D3: one row per outlier value (delay, side, value); a value below q1 is
     'lower', any other 'upper'."""
-    hist = _histogram(df, columns, hist, buckets)
+    hist = value_histogram(df, columns) if hist is None else hist
     if stats is None:
-        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
     v = F.col("value")
     rows = _fenced(hist, stats)
     rows = rows.filter((v < F.col("lower_fence")) | (v > F.col("upper_fence")))
@@ -305,7 +241,6 @@ def outlier_histogram(
     bins: int = HISTOGRAM_BINS,
     hist: DataFrame | None = None,
     accuracy: int | None = None,
-    buckets: int | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width bins over the upper outliers of each delay column.
@@ -315,9 +250,9 @@ def outlier_histogram(
     each side; with no upper outlier it is [0, 1] and every count is 0.
     """
     v = F.col("value")
-    hist = _histogram(df, columns, hist, buckets)
+    hist = value_histogram(df, columns) if hist is None else hist
     if stats is None:
-        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns)
+        stats = _quartiles(hist, whisker, delay_values(df, columns), accuracy)
     fenced = _fenced(hist, stats)
     is_upper = v > F.col("upper_fence")
     upper = fenced.filter(is_upper).select("delay", "value", "n")
@@ -365,13 +300,12 @@ def delay_reports(
     whisker: float = WHISKER_IQR,
     bins: int = HISTOGRAM_BINS,
     accuracy: int | None = None,
-    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """D1-D4 together: the value histogram and the quartile stats are each
     computed and materialised once (both are small), and the summary and the
     bins are computed from them, the outlier rows as well; ``df`` is read once."""
     hist = stable(value_histogram(df, columns))
-    stats = stable(_quartiles(hist, whisker, delay_values(df, columns), accuracy, buckets, columns))
+    stats = stable(_quartiles(hist, whisker, delay_values(df, columns), accuracy))
     return {
         "delay_box_summary": box_summary(df, columns, whisker, hist, stats=stats),
         "delay_outliers": delay_outliers(df, columns, whisker, hist, stats=stats),

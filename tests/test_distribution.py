@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from aerolens.operators import distribution as D
 from conftest import rows
 
@@ -116,24 +118,46 @@ def test_approximate_quartiles_for_continuous_values(spark):
     assert abs(out - sum(len(brute_box(c)["lower"]) + len(brute_box(c)["upper"]) for c in (arr, dep))) <= 10
 
 
-def test_bucketed_quartiles_equal_exact_path_on_fixture(spark):
+def test_quartiles_are_the_same_on_any_number_of_partitions(spark):
     from aerolens.plans.catalog import queries
 
-    flown = queries()["flown_flights"](spark, "/root/testdata/sf0.01")
-    exact = sorted(rows(D.box_summary(flown)))
-    assert sorted(rows(D.box_summary(flown, buckets=64))) == exact
-    assert sorted(rows(D.box_summary(flown, buckets=3))) == exact
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            flown = queries()["flown_flights"](spark, "/root/testdata/sf0.001").repartition(n)
+            found.append([sorted(rows(f(flown))) for f in (D.box_summary, D.delay_outliers, D.outlier_histogram)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
 
 
-def test_bucketed_quartiles_continuous_and_hot_values(spark):
+def test_quartiles_of_continuous_hot_and_extreme_values(spark):
     rng = np.random.default_rng(9)
     arr = (rng.normal(0, 30, 4000) + (rng.random(4000) < 0.03) * 400).tolist()
-    dep = [0.0] * 2000 + rng.exponential(20, 2000).tolist()  # a hot value: half the rows
-    df = make(spark, arr, dep)
-    for buckets in (2, 7, 256):
-        got = {r["delay"]: r for r in D.box_summary(df, buckets=buckets).collect()}
-        for name, col in (("ARR_DELAY", arr), ("DEP_DELAY", dep)):
-            want = brute_box(col)
-            for key in ("q1", "median", "q3", "minimum", "maximum"):
-                assert got[name][key] == pytest.approx(want[key], rel=1e-12, abs=1e-12), (buckets, name, key)
-            assert got[name]["upper_outliers"] == len(want["upper"])
+    arr += [1e300, -1e300, 1e-300, -0.0, 0.0]
+    dep = [0.0] * 2000 + rng.exponential(20, 2005).tolist()  # a hot value: half the rows
+    check_box(spark, arr, dep)
+    check_box(spark, [1.0 + k * 1e-12 for k in range(500)], [2.0**k for k in range(-250, 250)])  # one range; many
+    check_box(spark, [-5.0], [7.0])
+    check_box(spark, [-5.0, 3.5], [7.0, 7.0])
+
+
+def check_box(spark, arr, dep):
+    got = {r["delay"]: r for r in D.box_summary(make(spark, arr, dep)).collect()}
+    for name, col in (("ARR_DELAY", arr), ("DEP_DELAY", dep)):
+        want = brute_box(col)
+        for key in ("count", "q1", "median", "q3", "minimum", "maximum"):
+            assert got[name][key] == pytest.approx(want[key], rel=1e-12, abs=1e-12), (name, key)
+        assert got[name]["upper_outliers"] == len(want["upper"])
+
+
+def test_ranges_keep_the_order_of_values(spark):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(0, 1e3, 2000), rng.normal(0, 1e-6, 500), np.arange(-1500, 1500), [1e308, -1e308, float("inf"), -float("inf")]])
+    values = np.sort(np.concatenate([values, np.nextafter(values, np.inf)])).tolist()
+    df = spark.createDataFrame([(float(v),) for v in values] + [(float("nan"),)], "value double")
+    found = [r[1] for r in sorted(df.select("value", D.value_range(F.col("value"))).collect(), key=lambda r: (r[0] != r[0], r[0]))]
+    assert found == sorted(found)
+    whole = [r[0] for r in spark.range(-900, 900).select(D.value_range(F.col("id").cast("double"))).collect()]
+    assert len(set(whole)) == 1800
