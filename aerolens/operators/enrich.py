@@ -8,7 +8,9 @@ state).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.functions.calendar import with_calendar, with_part_of_day, with_season
@@ -52,6 +54,68 @@ def map_state_city(
     return out.select(*flights.columns, *LOCATION_COLUMNS)
 
 
+#: Share of the flights from which a code counts as hot, so there are at most
+#: 1 / HOT_SHARE hot codes; and places that rows of a hot or null code go to.
+HOT_SHARE = 0.005
+SALTS = 256
+
+
+def unique_lookup(airports: DataFrame) -> DataFrame:
+    """One row for each code; rows without a code, which match nothing, go. A code
+    that stands twice with the same city and state is one, with others it makes
+    the query fail: it would multiply flights."""
+    named = F.struct("City", "State")
+    one = airports.filter(F.col("IATA").isNotNull()).groupBy("IATA").agg(
+        F.min(named).alias("_one"), F.max(named).alias("_other")
+    )
+    twice = F.raise_error(F.concat(F.lit("airport code with several places: "), F.col("IATA")))
+    checked = F.when(F.col("_one").eqNullSafe(F.col("_other")), F.col("_one")).otherwise(twice)
+    return one.select("IATA", checked.alias("_place")).select("IATA", "_place.City", "_place.State")
+
+
+def hot_codes(flights: DataFrame, code: str, share: float = HOT_SHARE) -> DataFrame:
+    """Codes of more than ``share`` of the flights: fewer than 1 / share rows."""
+    counts = flights.groupBy(code).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col(code).isNotNull() & (F.col("_n") > F.lit(share) * total)).select(F.col(code).alias("_hot"))
+
+
+def salted_lookup(
+    flights: DataFrame, code: str, lookup: DataFrame, adds: Sequence[str], hot: DataFrame, row_hash: Column, salts: int
+) -> DataFrame:
+    """``flights`` with the columns ``adds`` of ``lookup`` (unique by IATA), joined
+    by a shuffle that no code makes uneven.
+
+    Flights of ``hot`` codes (counted, see ``hot_codes``) go to ``salts`` places by
+    a hash of the row, and so do flights without a code, which match nothing; the
+    lookup's rows of hot codes, and of no others, are repeated for each place."""
+    hot = F.broadcast(hot)  # fewer than 1 / share rows
+    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
+    dealt = flights.join(hot, F.col(code) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull() | F.col(code).isNull(), spread).otherwise(F.lit(0))
+    )
+    each = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    side = lookup.join(hot, F.col("IATA") == F.col("_hot"), "left").select(
+        F.col("IATA").alias("_code"), *adds, F.explode(each).alias("_place")
+    )
+    found = dealt.join(side, (F.col(code) == F.col("_code")) & (F.col("_salt") == F.col("_place")), "left")
+    return found.select(*flights.columns, *adds)
+
+
+def map_state_city_by_shuffle(
+    flights: DataFrame, airports: DataFrame, share: float = HOT_SHARE, salts: int = SALTS
+) -> DataFrame:
+    """J1 for lookups without a size bound: the columns of ``map_state_city`` from
+    two salted shuffle joins, with a guard against repeated codes."""
+    lookup = unique_lookup(airports)
+    row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in flights.columns))
+    out = flights
+    for code, city, state in (("ORIGIN", "OriginCity", "OriginState"), ("DEST", "DestinationCity", "DestinationState")):
+        side = lookup.select("IATA", F.col("City").alias(city), F.col("State").alias(state))
+        out = salted_lookup(out, code, side, [city, state], hot_codes(flights, code, share), row_hash, salts)
+    return out
+
+
 def enrich(
     flights: DataFrame,
     airports: DataFrame,

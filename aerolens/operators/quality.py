@@ -50,9 +50,10 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows (S6); which rows is up to the scan order."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows (S6): of ``order`` (nulls first), of which every task
+    keeps n rows, or else whichever the scan brings first."""
+    return (df.orderBy(*(F.col(c).asc_nulls_first() for c in order)) if order else df).limit(n)
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -245,6 +245,26 @@ SELECT ROUND(SUM(CASE WHEN precision + recall > 0 THEN 2 * precision * recall /
 FROM rates"""
 
 
+def _split_counts() -> str:
+    """Three lots by the first eight hex digits of a hash of seed and key."""
+    low, high = (format(round(x * 16**8), "08x") for x in (0.5, 0.8))
+    key = ", ".join(f"CAST({c} AS VARCHAR)" for c in ("FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME"))
+    return f""", drawn AS (
+  SELECT Year, substring(md5(concat_ws('|', '7', {key})), 1, 8) AS draw FROM labelled)
+SELECT Year, COUNT(*) AS Number, CAST(CASE WHEN draw < '{low}' THEN 0 WHEN draw < '{high}' THEN 1 ELSE 2 END AS INTEGER) AS lot
+FROM drawn GROUP BY ALL"""
+
+
+def _parsed_lines() -> str:
+    return """, spoilt AS (
+  SELECT *, DISTANCE % 97 = 0 AS no_distance, day(FL_DATE) = 31 AS no_date FROM flights)
+SELECT OP_CARRIER, COUNT(*) AS lines, COUNT(*) FILTER (WHERE no_distance OR no_date) AS malformed,
+       COUNT(FL_DATE) FILTER (WHERE NOT no_date) AS dates, COUNT(ARR_DELAY) AS arrivals,
+       SUM(DISTANCE) FILTER (WHERE NOT no_distance) AS distance, SUM(DEP_DELAY) AS delay,
+       MAX(FL_DATE) FILTER (WHERE NOT no_date) AS latest
+FROM spoilt GROUP BY OP_CARRIER"""
+
+
 def oracle_sql() -> dict[str, str]:
     flight_cols = ", ".join(FLIGHT_COLUMNS)
     all_cols = FLIGHT_COLUMNS + EXTRA_COLUMNS
@@ -304,6 +324,27 @@ WHERE place <= 10"""
             f", {_parts('0.8')} SELECT Year, part, COUNT(*) AS Number FROM parts GROUP BY Year, part"
         ),
         "feature_vectors": _with(_feature_vectors()),
+        "parsed_lines": _with(_parsed_lines()),
+        "flights_from_files": _with(f"SELECT {flight_cols} FROM flights"),
+        "stored_table": _with(
+            "SELECT Year, COUNT(*) AS Number, SUM(DISTANCE) AS distance, COUNT(OriginState) AS origins"
+            f" FROM enriched WHERE Year <> {ONE_YEAR} OR DISTANCE >= 1000 GROUP BY Year"
+        ),
+        "flights_preview": _with(
+            f"SELECT {flight_cols} FROM flights ORDER BY "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in FLIGHT_COLUMNS)
+            + " LIMIT 20"
+        ),
+        "flights_in_order": _with(
+            f"SELECT {flight_cols}, ROW_NUMBER() OVER (ORDER BY "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in FLIGHT_COLUMNS)
+            + ") AS position FROM flights"
+        ),
+        "located_by_shuffle": _with(
+            "SELECT ORIGIN, DEST, OriginCity, OriginState, DestinationCity, DestinationState,"
+            " COUNT(*) AS Number, SUM(DISTANCE) AS distance FROM enriched GROUP BY ALL"
+        ),
+        "split_counts": _with(_split_counts()),
         "vector_summary": _with(_vector_summary()),
         "classification_scores": _with(_rule_scores()),
         "union_by_name_years": _with(f"SELECT {flight_cols} FROM flights"),

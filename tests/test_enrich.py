@@ -1,4 +1,13 @@
-from aerolens.operators.enrich import LOCATION_COLUMNS, enrich, map_state_city
+import pytest
+from pyspark.sql import functions as F
+
+from aerolens.operators.enrich import (
+    LOCATION_COLUMNS,
+    enrich,
+    map_state_city,
+    map_state_city_by_shuffle,
+    unique_lookup,
+)
 from aerolens.sources.fixture import airports_from_customers, load_airports, load_flights
 from conftest import SF_SMALL, rows
 
@@ -68,3 +77,47 @@ def test_enrich_on_fixture(spark):
     assert plan.count("BroadcastHashJoin") >= 2
     # The flights side is read once, pruned to the five source columns.
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_shipdate" in plan
+
+
+def test_salted_lookup_gives_the_rows_of_the_plain_join(spark):
+    flights = load_flights(spark, SF_SMALL).select("FL_DATE", "ORIGIN", "DEST", "DISTANCE")
+    flights = flights.union(flights.limit(50).withColumn("ORIGIN", F.lit(None).cast("string")))
+    airports = load_airports(spark, SF_SMALL)
+    for share in (0.0, 0.01, 1.0):
+        got = map_state_city_by_shuffle(flights, airports, share=share, salts=7)
+        assert got.columns == flights.columns + LOCATION_COLUMNS
+        assert sorted(rows(got), key=str) == sorted(rows(map_state_city(flights, airports)), key=str)
+    empty = flights.limit(0)
+    assert map_state_city_by_shuffle(empty, airports).collect() == []
+    assert map_state_city_by_shuffle(flights, airports.limit(0)).count() == flights.count()
+
+
+def test_salted_lookup_survives_a_hot_code_and_nulls(spark):
+    """A third of the flights on one code and a third without: no task of the join
+    has more than twice the median's rows, and the flights shuffle once a code."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(k, v)
+    try:
+        code = F.when(F.col("id") % 3 == 0, "AAA").when(F.col("id") % 3 == 1, None).otherwise(F.concat(F.lit("C"), F.col("id") % 500))
+        flights = spark.range(30_000).select("id", code.alias("ORIGIN"), code.alias("DEST"))
+        codes = spark.range(500).select(F.concat(F.lit("C"), "id").alias("IATA"), F.lit("city").alias("City"), F.lit("state").alias("State"))
+        airports = codes.union(spark.createDataFrame([("AAA", "hot", "texas")], "IATA string, City string, State string"))
+        got = map_state_city_by_shuffle(flights, airports)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+        sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        assert got.count() == 30_000 and got.filter("OriginCity = 'hot' AND DestinationState = 'texas'").count() == 10_000
+        assert got.filter("OriginCity IS NULL").count() == 10_000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_repeated_codes_are_guarded(spark):
+    same = _airports(spark).union(_airports(spark))
+    assert unique_lookup(same).count() == 2
+    other = _airports(spark).union(spark.createDataFrame([("X", "Elsewhere", "Ohio", "AAA")], _airports(spark).schema))
+    with pytest.raises(Exception, match="several places: AAA"):
+        map_state_city_by_shuffle(_flights(spark), other).collect()

@@ -133,3 +133,17 @@ def test_per_group_reports_shapes(spark):
     assert reports.top_carriers_per_weekday(df).columns == ["Day_Name", "OP_CARRIER", "Day_OfWeek", "Number"]
     assert reports.top_states_per_season(df).columns == ["Seasons", "DestinationState", "NumberOfFlightsFlown"]
     assert rows(reports.top_cities_in_state_per_year(df, "S")) == [(1999, "c", 2), (2000, "c", 2)]
+
+
+def test_positions_are_those_of_the_global_order(spark):
+    from aerolens.operators.topk import with_position
+
+    df = spark.range(5000).selectExpr("id", "CAST(pmod(id * 7919, 613) AS INT) AS k", "IF(id % 11 = 0, NULL, 'x') AS s").repartition(13)
+    got = with_position(df, [F.col("k").desc(), F.col("s").asc_nulls_first(), "id"]).collect()
+    want = sorted(got, key=lambda r: (-r["k"], r["s"] is not None, r["s"] or "", r["id"]))
+    assert [r["position"] for r in want] == list(range(1, 5001))
+    assert with_position(df.limit(0), ["id"]).collect() == []
+    # Ties get places next to each other, one each.
+    tied = with_position(df.select("k"), ["k"], "place").collect()
+    assert sorted(r["place"] for r in tied) == list(range(1, 5001))
+    assert [r["k"] for r in sorted(tied, key=lambda r: r["place"])] == sorted(r["k"] for r in tied)
