@@ -55,7 +55,7 @@ def rule_scores(labelled: DataFrame) -> DataFrame:
 
 
 #: Hidden layers of the registered perceptron; the library's default is two of 800.
-HIDDEN = (64, 32)
+HIDDEN = (32, 16)
 
 
 def perceptron_scores(model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS) -> DataFrame:

@@ -1,6 +1,8 @@
 """Every relational query against its DuckDB oracle at sf0.01 (the driver's
 correctness gate), plus the registry contract."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -51,3 +53,24 @@ def test_fixture_facts_at_sf001(spark):
     assert tuple(facts) == (60000, 18, 1114, 58886, 58214, 630)
     labels = dict(QUERIES["label_counts"](spark, SF_ORACLE).collect())
     assert labels == {"Early": 12313, "OnTime": 19706, "Delay": 25632}
+
+
+@pytest.mark.parametrize("absent", ["aerolens.llm", "corpus_pipeline", "xxhash", "tokenizers", "public_tokenizers"])
+def test_entry_survives_without_the_text_operators(absent):
+    """The relational queries stay when a module of the text operators is missing."""
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name == {absent!r} or name.startswith({absent + "."!r}):
+            raise ModuleNotFoundError("No module named " + name, name=name)
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as entry
+print(len(entry.queries()), len(entry.oracle_sql()), any(q.startswith("op") for q in entry.queries()))
+"""
+    root = os.path.dirname(entry_module.__file__)
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=100)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLE)), "False"], done.stderr

@@ -227,8 +227,10 @@ def test_report_run_end_to_end(spark, scratch):
     _write_csv(airports, f"{scratch}/airports")
     written = run_reports(
         spark, [f"{scratch}/flights"], f"{scratch}/airports", f"{scratch}/out",
-        "NATION_5", "NATION_7", years=[1998], flights_schema=FIXTURE_FLIGHTS_SCHEMA,
+        "NATION_5", "NATION_7", years=[1998], flights_schema=FIXTURE_FLIGHTS_SCHEMA, with_models=True, fit_partitions=2,
     )
+    models = spark.read.parquet(written["model_comparison"]).collect()
+    assert len(models) == 4 and all(0 < r["accuracy"] <= 1 and 0 < r["f1"] <= 1 for r in models)
     registry = queries()
     for name in ("top_states_per_year", "two_state_comparison", "delay_box_summary",
                  "top_origin_pairs_by_daypart", "label_counts", "null_percentages"):
