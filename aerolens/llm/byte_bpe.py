@@ -7,7 +7,11 @@ tokens' limits are then put together for every text. Decoding reverses the
 byte table: ids become bytes, and a character split between tokens is only
 whole again once its bytes are joined.
 
-Null texts count as empty: no tokens. Every row gives a row, whatever its id.
+Null texts count as empty: no tokens. Every row gives a row, whatever its id,
+repeated rows included. An empty table gives no rows. A very long text is split
+and encoded whole. Columns other than id, text and (``tokenized``) source are
+not read, whatever their names. Ties don't occur: of equal merges the leftmost
+comes first, as in the library.
 """
 
 from __future__ import annotations
@@ -15,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from aerolens.llm.common import column, documents, give_back, text_array
+from aerolens.llm.common import column, documents, give_back, held, text_array
 
 #: Pieces a worker remembers before it starts anew.
 KEPT_PIECES = 80_000
@@ -133,9 +136,8 @@ class Codec:
         return character[starts], character[ends - 1] + 1
 
 
-@lru_cache(maxsize=2)
 def codec(ranks_file: str, pattern: str) -> Codec:
-    return Codec(ranks_file, pattern)
+    return held(("codec", ranks_file, pattern), lambda: Codec(ranks_file, pattern))
 
 
 def byte_bpe(
@@ -162,7 +164,7 @@ def byte_bpe(
                     ["doc_id", "ids", "starts", "ends", "decoded"],
                 )
         code.known.clear()
-        give_back()
+        give_back(keep=True)
 
     schema = "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded binary"
     return documents(df, id_col, text_col).mapInArrow(encode, schema)
@@ -187,7 +189,7 @@ def _digests(ranks_file: str, pattern: str, keep: int, with_ids: bool):
                 columns["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
         code.known.clear()  # the worker may go on with something else
-        give_back()
+        give_back(keep=True)
 
     return digest
 

@@ -4,14 +4,15 @@ n-gram hashes, lineage cutting and connected components."""
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that the numpy helpers look at together (one longer text is taken alone).
 BLOCK_BYTES = 1 << 17
@@ -31,11 +32,47 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted(df: DataFrame, *sums: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``checkpoint(df)`` with its number of rows ``n`` and the named ``sums``, all
+    taken while it is written."""
+    seen = Observation()
+    out = checkpoint(df.observe(seen, F.count(F.lit(1)).alias("n"), *sums))
+    found = seen.get
+    if "n" not in found:  # the plan was known to be empty before it ran
+        found = out.agg(F.count(F.lit(1)).alias("n"), *sums).first().asDict()
+    return out, {k: int(v or 0) for k, v in found.items()}
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def column(df: DataFrame, name: str) -> Column:
     """A column by its exact name, dots included."""
     return df["`" + name.replace("`", "``") + "`"]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_rows(df: DataFrame, run: Callable[[Batches], Batches], width: int | None = None) -> DataFrame:
+    """``df.mapInArrow`` to the first ``width`` of its own columns (all of them by
+    default), whatever their names: inside, columns go by ``place``."""
+    plain = df.toDF(*(place(k) for k in range(len(df.columns))))
+    return plain.mapInArrow(run, StructType(plain.schema.fields[:width])).toDF(*df.columns[:width])
+
+
+def place(k: int) -> str:
+    return f"c{k}"
+
+
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` (long) and ``text`` only, whatever else the frame holds."""
     return df.select(
@@ -78,9 +115,24 @@ class Block:
         return self.data[self.ends[row] : self.ends[row + 1]].tobytes()
 
 
-def give_back() -> None:
-    """Returns memory that allocators keep for later to the system: a worker
-    goes on with other tasks, and all workers of an executor share its limit."""
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """One large object that a worker keeps between tasks of one kind; it goes
+    when another one is asked for, or at the end of a task that has no use for it."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def give_back(keep: bool = False) -> None:
+    """Returns memory that allocators keep for later to the system, and unless
+    ``keep`` the object held: a worker goes on with other tasks, and all workers
+    of an executor share its limit."""
+    if not keep:
+        _held.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -214,47 +266,72 @@ def words(block: Block, inside: np.ndarray, lower: bool = False) -> Words:
 # ----------------------------------------------------------------- components
 
 
+#: Links whose components one task finds.
+TASK_LINKS = 500_000
+
+
+def _forest(edges: DataFrame, roots: bool) -> DataFrame:
+    """For each partition of links the id and the smallest id that its links lead
+    to, as (id, root): a star for each component inside the partition. The
+    roots themselves are listed if ``roots``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ra, rb = root(parent.setdefault(a, a)), root(parent.setdefault(b, b))
+                if ra != rb:
+                    parent[max(ra, rb)] = min(ra, rb)
+        ids = np.fromiter(parent, np.int64, len(parent))
+        ends = np.fromiter(map(root, parent), np.int64, len(parent))
+        keep = np.ones(len(ids), bool) if roots else ids != ends
+        ids, ends = ids[keep], ends[keep]
+        for at in range(0, len(ids), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 10_000]), pa.array(ends[at : at + 10_000])], ["id", "root"])
+
+    return edges.select("a", "b").mapInArrow(run, "id long, root long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): (id, component), where the
     component is the smallest id reachable. Ids without an edge are not listed.
 
-    Each round hooks every root to its smallest neighbouring root, follows the
-    hooks to their ends, and keeps only links between different roots. Local
-    minima alone stay roots, so their number at least halves each round; every
-    step is a partial aggregate and equi-joins over (id, parent) rows."""
-    edges = checkpoint(edges.select("a", "b").where("a <> b").distinct())
-    ids = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    parents = checkpoint(ids.select("id", F.col("id").alias("parent")))
-    live = edges
-    while not live.isEmpty():
-        both = live.union(live.select("b", "a"))
-        hooks = checkpoint(
-            both.groupBy("a").agg(F.min("b").alias("to")).where("to < a").withColumnRenamed("a", "root")
-        )
-        while True:
-            far = hooks.select(F.col("root").alias("mid"), F.col("to").alias("end"))
-            hooks_now = checkpoint(
-                hooks.join(far, hooks["to"] == far["mid"], "left").select(
-                    "root", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved")
-                )
-            )
-            hooks = hooks_now.select("root", "to")
-            if hooks_now.where("moved").isEmpty():
-                break
-        parents = checkpoint(
-            parents.join(hooks, parents["parent"] == hooks["root"], "left").select(
-                "id", F.coalesce("to", "parent").alias("parent")
-            )
+    The links are dealt to parts of at most ``TASK_LINKS``, and each part leaves
+    a star for each component it knows. With more than one part, every id is then
+    sent to the smallest id that any star gives it, and on to that one's own;
+    links between what ids were sent to go round again. Ids that are no local
+    minimum vanish each time, so a few rounds leave one part, which ends it. Each
+    id has at most one link for each part, so no id is hot as a key."""
+    live, size = counted(edges.select("a", "b").where("a <> b"))
+    sent, ids = [], None
+    while True:
+        parts = max(1, -(-size["n"] // TASK_LINKS))
+        stars = _forest(live.coalesce(parts), roots=parts == 1)
+        if parts == 1:
+            break
+        stars = checkpoint(stars)
+        if ids is None:
+            ids = stars.select("id").union(stars.select("root")).distinct()
+        to = stars.groupBy("id").agg(F.min("root").alias("to"))
+        further = to.select(F.col("id").alias("to"), F.col("to").alias("end"))
+        to = checkpoint(to.join(further, "to", "left").select("id", F.coalesce("end", "to").alias("to")))
+        sent.append(to)
+        a = to.select("id", F.col("to").alias("a"))
+        b = to.select(F.col("id").alias("root"), F.col("to").alias("b"))
+        live, size = counted(
+            stars.join(a, "id").join(b, "root", "left").select("a", F.coalesce("b", "root").alias("b")).where("a <> b")
         )
-        left = hooks.select(F.col("root").alias("ra"), F.col("to").alias("ta"))
-        right = hooks.select(F.col("root").alias("rb"), F.col("to").alias("tb"))
-        live = checkpoint(
-            live.join(left, live["a"] == left["ra"], "left")
-            .join(right, live["b"] == right["rb"], "left")
-            .select(F.coalesce("ta", "a").alias("a"), F.coalesce("tb", "b").alias("b"))
-            .where("a <> b")
-            .distinct()
-        )
-    return parents.select("id", F.col("parent").alias("component"))
-
-
+    if ids is None:
+        return checkpoint(stars.select("id", F.col("root").alias("component")))
+    found = ids.withColumn("component", F.col("id"))
+    for to in [*sent, stars.select("id", F.col("root").alias("to"))]:
+        step = to.select(F.col("id").alias("component"), "to")
+        found = found.join(step, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return checkpoint(found)

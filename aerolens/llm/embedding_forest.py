@@ -22,7 +22,9 @@ least accepted.
 Vectors that are null, empty, zero or hold a null or non-finite component, and
 those whose label is null, link with nothing. Vectors of different lengths
 aren't compared. Null ids count as larger than any other. Rows sharing an id
-are separate vectors; each row gives a row.
+are separate vectors; each row gives a row. An empty table gives no rows, and
+other columns are not read. Vectors at one end of a split by ties go to the same
+side; pairs at the threshold exactly are linked.
 """
 
 from __future__ import annotations

@@ -17,38 +17,45 @@ binary row for each task and bucket; equal lines of a task travel once.
 
 Null texts have no lines and stay null. Short lines always stay. Null ids
 count as larger than any other. Rows equal in id and text count as one place,
-so they keep the same lines. Each row gives a row.
+so they keep the same lines. Each row gives a row. Ties for the first place go
+to the smaller text hash, then the earlier line. An empty table gives no rows,
+a very long text or line is compared whole. Other columns are not read;
+``drop_repeated_lines`` passes all of them on, whatever their names.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.llm.common import (
     NO_ID,
     checkpoint,
     column,
+    counted,
     documents,
     give_back,
     keyed,
+    map_rows,
     shuffle_partitions,
     text_array,
+    unused,
 )
 from aerolens.llm.linking import Comparison, linked
 
 #: What trimming takes off, beside the line feed between lines.
 BLANKS = " \t\r\v\f"
-#: Lines a task gathers before it sends their entries off.
-FLUSH = 50_000
-#: Rows of wanted lines up to which they are broadcast.
-BROADCAST_ROWS = 100_000
+#: Entries a task gathers before it sends them off (21 bytes each).
+FLUSH = 400_000
+#: Bytes, as counted, up to which a list of wanted lines is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 # --------------------------------------------------------------- edit distance
@@ -122,7 +129,7 @@ def _banded(a: str, b: str, most: int) -> int:
 # ---------------------------------------------------------- index and probes
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=512)
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
     """Start and size of the parts of a line, the larger ones last."""
     size, longer = divmod(length, parts)
@@ -134,7 +141,7 @@ def segments(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=512)
 def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     """(length probed, segment, start, size) of all substrings of a line of
     that length that can be a segment of a line not longer than it."""
@@ -179,11 +186,8 @@ class Sender:
 
     def clear(self) -> None:
         self.seen: set[int] = set()
-        self.keys: list[int] = []
-        self.indexed: list[bool] = []
-        self.items: list[int] = []
-        self.sizes: list[int] = []
-        self.counts: list[int] = []
+        self.keys, self.indexed = array("Q"), array("B")
+        self.items, self.sizes, self.counts = array("q"), array("i"), array("i")
 
     def add(self, text: str) -> None:
         for line in text.split("\n"):
@@ -194,8 +198,8 @@ class Sender:
             if item not in self.seen:
                 self.seen.add(item)
                 keys, indexed = index_keys(line, self.edits)
-                self.keys += keys
-                self.indexed += indexed
+                self.keys.extend(keys)
+                self.indexed.extend(indexed)
                 self.items.append(item)
                 self.sizes.append(len(line))
                 self.counts.append(len(keys))
@@ -203,9 +207,9 @@ class Sender:
     def rows(self) -> Iterator[tuple[int, bytes]]:
         """Entries packed by bucket."""
         entries = np.zeros(len(self.keys), ENTRY)
-        entries["key"], entries["indexed"] = np.array(self.keys, np.uint64), self.indexed
-        entries["item"] = np.repeat(np.array(self.items, np.int64), self.counts)
-        entries["size"] = np.repeat(np.array(self.sizes, np.int32), self.counts)
+        entries["key"], entries["indexed"] = self.keys, self.indexed
+        counts = np.array(self.counts)
+        entries["item"], entries["size"] = np.repeat(np.array(self.items), counts), np.repeat(np.array(self.sizes), counts)
         self.clear()
         place = (entries["key"] % np.uint64(self.buckets)).astype(np.int64)
         order = np.argsort(place, kind="stable")
@@ -232,7 +236,7 @@ def _entries(docs: DataFrame, edits: int, least_chars: int, buckets: int) -> Dat
         for batch in batches:
             for text in text_array(batch):
                 sender.add(text.as_py())
-                if len(sender.items) >= FLUSH:
+                if len(sender.keys) >= FLUSH:
                     yield from packed()
         yield from packed()
         give_back()
@@ -247,11 +251,14 @@ def _entries(docs: DataFrame, edits: int, least_chars: int, buckets: int) -> Dat
         cut = np.flatnonzero(np.concatenate(([True], e["key"][1:] != e["key"][:-1])))
         many = np.diff(np.concatenate((cut, [len(e)])))
         e = e[np.repeat((many > 1) & (np.add.reduceat(e["indexed"].astype(np.int64), cut) > 0), many)]
-        return pa.table({
+        met = pa.table({
             "key": pa.array(np.ascontiguousarray(e["key"]).view(np.int64)),
             "item": pa.array(np.ascontiguousarray(e["item"])),
             "size": pa.array(e["size"].astype(np.int64)),
         })
+        del e, order, first, cut, many
+        give_back()
+        return met
 
     sent = docs.select("text").mapInArrow(send, "place int, entries binary")
     return sent.groupBy("place").applyInArrow(meet, "key long, item long, size long")
@@ -270,8 +277,12 @@ def _comparison(docs: DataFrame, firsts: DataFrame, edits: int) -> Comparison:
         wanted = wanted.join(firsts, "item").groupBy("first.rid", "first.rtext").agg(
             F.collect_list(F.struct(F.col("first.line").alias("line"), "item", *keep)).alias("lines")
         )
-        wanted = checkpoint(wanted)
-        if wanted.count() <= BROADCAST_ROWS:
+        def listed(name: str) -> Column:
+            return F.aggregate("lines", F.lit(0), lambda n, x: n + F.size(x[name]) * 48)
+
+        lists = sum(map(listed, keep), F.size("lines") * 48 + 64)  # bytes of a row, rather more than less
+        wanted, told = counted(wanted, F.sum(lists).alias("bytes"))
+        if told["bytes"] <= BROADCAST_BYTES:
             wanted = F.broadcast(wanted)
         look = docs.select("rid", "rtext", "text").join(wanted, ["rid", "rtext"]).select("text", "lines")
 
@@ -318,7 +329,7 @@ def repeated_lines(docs: DataFrame, edits: int, least_chars: int) -> DataFrame:
     gone = places.join(of_item.join(kept, "component").select("item", "kept"), "item").where(
         "struct(rid, rtext, line) <> kept"
     )
-    return gone.groupBy("rid", "rtext").agg(F.array_sort(F.array_distinct(F.collect_list("line"))).alias("lines"))
+    return gone.groupBy("rid", "rtext").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
 def _without(text: str | None, gone: list[int] | None) -> str | None:
@@ -354,11 +365,13 @@ def drop_repeated_lines(
     """``df`` with repeated lines taken out of its text. Documents of which
     nothing but blanks is left, as all their lines stand elsewhere, go."""
     found = repeated_lines(keyed(documents(df, id_col, text_col)), edits, least_chars)
-    found = found.select(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"), F.col("lines").alias("_lines"))
+    names = unused(df, "own_rid", "own_rtext", "own_lines")
+    found = found.toDF(*names)
     rid = F.coalesce(column(df, id_col).cast("long"), F.lit(NO_ID))
     rtext = F.xxhash64(column(df, text_col).cast("string"))
     own = df.columns.index(text_col)
-    whole = df.join(found, (rid == F.col("_rid")) & (rtext == F.col("_rtext")), "left").select(*df.columns, "_lines")
+    same = (rid == found[names[0]]) & (rtext == found[names[1]])
+    whole = df.join(found, same, "left").select(*(column(df, c) for c in df.columns), found[names[2]])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,4 +382,4 @@ def drop_repeated_lines(
             there = [not g or bool(t.strip(BLANKS + "\n")) for t, g in zip(texts, gone, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1]).filter(pa.array(there, pa.bool_()))
 
-    return whole.mapInArrow(keep, df.schema)
+    return map_rows(whole, keep, len(df.columns))

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.llm.common import checkpoint, components, shuffle_partitions
+from aerolens.llm.common import checkpoint, components, counted, give_back, shuffle_partitions
 
-#: Members of one hub that are compared in one place.
-HUB_MEMBERS = 500
+#: Meetings of one hub (its buckets' items, added up) that are compared in one place.
+HUB_MEETINGS = 4000
 #: Items of a bucket that are compared with each other in one place.
 BLOCK_ITEMS = 1500
 LINKS = "a long, b long"
@@ -47,16 +47,13 @@ def _links(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _with_hubs(pairs: DataFrame, how: Comparison) -> DataFrame:
-    """Those pairs (hub, item) that are alike. A hub's members are dealt out
-    by salt, the hub going to each part."""
-    groups = max(4 * shuffle_partitions(pairs.sparkSession), pairs.count() // 2000)
-    salts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_MEMBERS).cast("int").alias("salts"))
-    members = pairs.join(salts, "hub").select(
-        "item", F.struct("hub", F.pmod(F.xxhash64("item"), "salts").cast("int").alias("salt")).alias("to")
-    )
-    each = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: F.struct(F.col("hub"), s.alias("salt")))
-    hubs = salts.select(F.col("hub").alias("item"), F.explode(each).alias("to"))
+def _with_hubs(pairs: DataFrame, many: int, how: Comparison) -> DataFrame:
+    """Those of ``many`` pairs (hub, salts, item) that are alike. A hub's members
+    are dealt out by salt, the hub going to each part that has one."""
+    groups = max(4 * shuffle_partitions(pairs.sparkSession), many // 2000)
+    to = F.struct("hub", F.pmod(F.xxhash64("item"), "salts").cast("int").alias("salt")).alias("to")
+    members = pairs.select("item", to)
+    hubs = members.select("to").distinct().select(F.col("to.hub").alias("item"), "to")
     wanted = members.union(hubs).groupBy("item").agg(F.collect_list("to").alias("to"))
     held = how.fetch(wanted, ["to"], "to array<struct<hub:long,salt:int>>")
     held = held.select("item", "payload", F.explode("to").alias("to"))
@@ -73,6 +70,8 @@ def _with_hubs(pairs: DataFrame, how: Comparison) -> DataFrame:
             if hub in lot:
                 centre = parse(lot[hub])
                 found += [(hub, i) for i, p in lot.items() if i != hub and alike(centre, parse(p))]
+        lots.clear()
+        give_back()
         return _links(found)
 
     return checkpoint(held.groupBy("place").applyInArrow(compare, LINKS))
@@ -140,6 +139,8 @@ def _across(entries: DataFrame, how: Comparison) -> DataFrame:
                 if ra != rb and alike(mine, theirs):
                     parent[max(ra, rb)] = min(ra, rb)
                     found.append((a, b))
+        held.clear()
+        give_back()
         return _links(found)
 
     return checkpoint(held.groupBy("key", "one", "two").applyInArrow(compare, LINKS))
@@ -154,20 +155,24 @@ def linked(entries: DataFrame, how: Comparison) -> DataFrame:
         entries.join(popular, "item")
         .groupBy("key")
         .agg(F.max(F.struct("meets", "item", "size")).alias("hub"))
-        .select("key", F.col("hub.item").alias("hub"), F.col("hub.size").alias("hub_size"))
+        .select(
+            "key", F.col("hub.item").alias("hub"), F.col("hub.size").alias("hub_size"),
+            F.ceil(F.col("hub.meets") / HUB_MEETINGS).cast("int").alias("salts"),
+        )
     )
     # What a bucket holds apart from its hub, and the pairs with the hub.
     entries = checkpoint(entries.join(hubs, "key").where("item <> hub"))
     possible = ~how.apart_column(F.least("size", "hub_size"), F.greatest("size", "hub_size"))
-    links = _with_hubs(checkpoint(entries.where(possible).select("hub", "item").distinct()), how)
+    pairs, size = counted(entries.where(possible).select("hub", "salts", "item").distinct())
+    links = _with_hubs(pairs, size["n"], how)
     joined = components(links)
 
     left = entries.join(joined.select(F.col("id").alias("item"), "component"), "item", "left").select(
         "key", "item", "size", F.coalesce("component", "item").alias("component")
     )
-    left = checkpoint(_unsettled(left))
-    if how.thin_out and not left.isEmpty():
-        left = checkpoint(_unsettled(how.thin_out(left)))
-    if not left.isEmpty():
-        joined = components(checkpoint(links.union(_across(left, how))))
+    left, size = counted(_unsettled(left))
+    if how.thin_out and size["n"]:
+        left, size = counted(_unsettled(how.thin_out(left)))
+    if size["n"]:
+        joined = components(links.union(_across(left, how)))
     return joined

@@ -15,7 +15,10 @@ reach the threshold if too few of its shingles occur in another class left.
 Null texts and texts without words have empty sets and are linked with
 nothing. A null id counts as larger than any other and comes back as null
 where nothing smaller is reachable. Rows sharing an id are separate documents;
-each row gives a row.
+each row gives a row. Ties for the smallest go to the smaller text hash. An
+empty table gives no rows. A very long text is hashed whole, 512 shingles at a
+time. Other columns are not read; ``one_of_each`` passes all of them on,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.llm.common import (
@@ -34,11 +37,13 @@ from aerolens.llm.common import (
     blocks,
     checkpoint,
     column,
+    counted,
     documents,
     give_back,
     keyed,
     mix,
     text_array,
+    unused,
     words,
 )
 from aerolens.llm.linking import Comparison, linked
@@ -46,8 +51,8 @@ from aerolens.llm.linking import Comparison, linked
 BANDS, BAND_VALUES = 40, 4
 #: Shingles counted in one place, on average, when classes are thinned out.
 PER_PLACE = 250_000
-#: Rows (of four longs) up to which a list of wanted documents is broadcast.
-BROADCAST_ROWS = 100_000
+#: Bytes, as counted, up to which a list of wanted documents is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 _draw = np.random.default_rng(80)
 _FACTORS = _draw.integers(1, 1 << 63, 2 * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -128,12 +133,14 @@ class _Sets:
         """``wanted`` (item and the columns ``keep``, one row a class) with the
         column ``payload``: the packed set."""
         size = self.size
-        wanted = checkpoint(
+        listed = sum((F.size(c) * 48 for c in keep), F.lit(64))  # bytes of a row, rather more than less
+        wanted, told = counted(
             wanted.join(self.classes.select(F.col("cid").alias("item"), "rid", "rtext"), "item").select(
                 "rid", "rtext", "item", *keep
-            )
+            ),
+            F.sum(listed).alias("bytes"),
         )
-        if wanted.count() <= BROADCAST_ROWS:
+        if told["bytes"] <= BROADCAST_BYTES:
             wanted = F.broadcast(wanted)
         # A class stands for rows of one id and text: one of them is enough.
         look = self.docs.select("rid", "rtext", "text").join(wanted, ["rid", "rtext"])
@@ -212,6 +219,8 @@ def _shared(sets: DataFrame, partitions: int) -> DataFrame:
         owner = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("owner").to_pylist()])
         _, where, n = np.unique(value, return_inverse=True, return_counts=True)
         item, many = np.unique(owner[n[where] > 1], return_counts=True)
+        del value, owner, where, n
+        give_back()
         return pa.table({"item": pa.array(item), "shared": pa.array(many.astype(np.int64))})
 
     dealt = sets.select("item", "payload").mapInArrow(deal, "place int, value binary, owner binary")
@@ -264,22 +273,28 @@ def one_of_each(
     and then of the smallest text hash. Of rows equal in both, the one that is
     smallest as JSON stays. Rows without words are in no group and all stay."""
     result = _grouped(keyed(documents(df, id_col, text_col)), shingle, Fraction(similarity))
+    own, text, row = unused(df, "own_rid", "own_rtext", "own_row")
     marked = (
         result.where("n > 0")
-        .groupBy(F.col("rid").alias("_rid"), F.col("rtext").alias("_rtext"))
-        .agg(F.count("*").alias("_many"), F.first("least").alias("least"), F.first("least_text").alias("least_text"))
-        .select("_rid", "_rtext", "_many", ((F.col("_rid") == F.col("least")) & (F.col("_rtext") == F.col("least_text"))).alias("_stays"))
-        .where("not _stays or _many > 1")
+        .groupBy(F.col("rid").alias(own), F.col("rtext").alias(text))
+        .agg(F.count("*").alias("many"), F.first("least").alias("least"), F.first("least_text").alias("least_text"))
+        .select(own, text, "many", ((F.col(own) == F.col("least")) & (F.col(text) == F.col("least_text"))).alias("stays"))
+        .where("not stays or many > 1")
     )
-    marked = checkpoint(marked)
+    marked, size = counted(marked, F.sum((F.col("stays")).cast("long")).alias("repeated"))
     rid = F.coalesce(column(df, id_col).cast("long"), F.lit(NO_ID))
     rtext = F.xxhash64(column(df, text_col).cast("string"))
-    same = (rid == F.col("_rid")) & (rtext == F.col("_rtext"))
-    single = df.join(marked, same, "left_anti")
-    repeated = marked.where("_stays").select("_rid", "_rtext")
-    if repeated.isEmpty():
+
+    def same(other: DataFrame) -> Column:
+        return (rid == column(other, own)) & (rtext == column(other, text))
+
+    gone = marked.select(own, text)
+    single = df.join(gone, same(gone), "left_anti")
+    if not size["repeated"]:
         return single
-    row = F.struct(*(column(df, c) for c in df.columns))
-    rows = df.join(repeated, same).select("_rid", "_rtext", row.alias("_row"))
-    one = rows.groupBy("_rid", "_rtext").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
-    return single.union(one.select("_row.*"))
+    repeated = marked.where("stays").select(own, text)
+    whole = F.struct(*(column(df, c).alias(c) for c in df.columns)).alias(row)
+    rows = df.join(repeated, same(repeated)).select(own, text, whole)
+    one = rows.groupBy(own, text).agg(F.min_by(row, F.to_json(row)).alias(row))
+    fields = [F.col(row).getField(c).alias(c) for c in df.columns]
+    return single.union(one.select(*fields))

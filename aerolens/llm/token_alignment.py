@@ -34,7 +34,6 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +45,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aerolens.llm.byte_bpe import SPACE, byte_alphabet
-from aerolens.llm.common import checkpoint, documents, give_back, text_array
+from aerolens.llm.common import checkpoint, documents, give_back, held, text_array
 
 #: Bytes of text whose pair-document records make up a block's runs.
 BLOCK_TEXT = 4 << 20
@@ -208,9 +207,8 @@ class Aligner:
         return cuts
 
 
-@lru_cache(maxsize=1)
 def aligner(a_file: str, b_file: str) -> Aligner:
-    return Aligner(a_file, b_file)
+    return held(("aligner", a_file, b_file), lambda: Aligner(a_file, b_file))
 
 
 # ------------------------------------------------------------------------ runs
@@ -359,17 +357,17 @@ def _encoded(docs: DataFrame, a_file: str, b_file: str, groups: bool) -> DataFra
         code = aligner(a_file, b_file)
         gc.disable()  # units make no cycles, and there are very many
         task = TaskContext.get().partitionId()
-        number, held, ids = 0, BlockRuns(), []
+        number, block_runs, ids = 0, BlockRuns(), []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal number, held, ids
+            nonlocal number, block_runs, ids
             block = task << 32 | number
             if ids:
-                columns = {"block": [block] * len(ids), "row": list(range(len(ids))), "doc_id": ids} | held.lines(groups)
+                columns = {"block": [block] * len(ids), "row": list(range(len(ids))), "doc_id": ids} | block_runs.lines(groups)
                 yield _rows(columns, len(ids))
-            for radix, pairs, records in held.runs():
+            for radix, pairs, records in block_runs.runs():
                 yield _rows({"block": [block], "radix": [radix], "pairs": [pairs], "records": [records]}, 1)
-            number, held, ids = number + 1, BlockRuns(), []
+            number, block_runs, ids = number + 1, BlockRuns(), []
 
         for batch in batches:
             told, texts = batch.column(0).to_pylist(), text_array(batch)
@@ -379,10 +377,10 @@ def _encoded(docs: DataFrame, a_file: str, b_file: str, groups: bool) -> DataFra
                 while at + len(chunk) < len(told) and size < CHUNK_CHARS:
                     chunk.append(texts[at + len(chunk)].as_py())
                     size += len(chunk[-1])
-                for text, cut in zip(chunk, code.parts(chunk, held.number, held.units), strict=True):
-                    held.add(cut, len(text))
+                for text, cut in zip(chunk, code.parts(chunk, block_runs.number, block_runs.units), strict=True):
+                    block_runs.add(cut, len(text))
                 ids += told[at : at + len(chunk)]
-                if held.text >= BLOCK_TEXT:
+                if block_runs.text >= BLOCK_TEXT:
                     yield from flush()
                 at += len(chunk)
                 code.forget()
@@ -390,7 +388,7 @@ def _encoded(docs: DataFrame, a_file: str, b_file: str, groups: bool) -> DataFra
         code.older, code.known = {}, {}
         code.broken.clear()
         gc.enable()
-        give_back()
+        give_back(keep=True)
 
     return docs.mapInArrow(encode, ENCODED)
 

@@ -73,7 +73,7 @@ def expected_groups(rows, size, share):
 @pytest.mark.parametrize("block", [1500, 7])
 def test_minhash_equals_brute_force(spark, block, monkeypatch):
     monkeypatch.setattr(linking, "BLOCK_ITEMS", block)
-    monkeypatch.setattr(linking, "HUB_MEMBERS", 5 * block)
+    monkeypatch.setattr(linking, "HUB_MEETINGS", 5 * block)
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r[0]: tuple(r)[1:] for r in minhash_dedup.near_duplicates(docs).collect()}
