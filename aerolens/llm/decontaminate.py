@@ -8,12 +8,18 @@ is a sufficient prefix: documents are joined with the windows on that shingle
 alone. A hit must then leave room for the whole window inside the document
 (length and position), and all its words are compared.
 
-The benchmark is taken in parts of at most ``part_bytes`` of text; each part
-is collected and broadcast on its own, so memory is bounded for a benchmark of
-any size. Documents are never shuffled.
+The benchmark is taken in parts of at most ``part_bytes`` of text. Each part is
+indexed, counted, matched and, if there are several, written to the checkpoint
+folder before the next one is read, so the driver and the tasks hold one part's
+index at a time. Each part costs two passes over the documents, which are never
+shuffled.
 
 Null texts have no words; items with a null id or no words match nothing.
-Documents sharing an id each give their own row, repeated rows likewise.
+Documents sharing an id each give their own row, repeated rows likewise. Of
+equally rare shingles the one that comes first in the window is the prefix. An
+empty table of documents gives no rows, an empty benchmark no hits; very long
+texts are read whole. Other columns are not read; ``uncontaminated`` passes all
+of them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolens.llm.common import ALNUM, Block, Words, blocks, column, documents, keyed, text_array, words
+from aerolens.llm.common import ALNUM, Block, Words, blocks, checkpoint, column, documents, keyed, map_rows, place, text_array, words
 
 SHINGLE = 3
 
@@ -224,21 +230,19 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
 
 def _indexes(
     docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, text_col: str, part_bytes: int
-) -> list[Index]:
-    """The benchmark in parts, each with its windows by rarest shingle."""
+) -> Iterator[tuple[Index, bool]]:
+    """The benchmark in parts, each with its windows by rarest shingle, and whether it is the only one."""
     items = benchmark.select(
         column(benchmark, item_col).cast("string").alias("item"),
         column(benchmark, text_col).cast("string").alias("text"),
     ).where("item is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
     parts = max(1, -(-2 * size // part_bytes))
-    found = []
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part).collect()
         windows = Windows([(r["item"], r["text"]) for r in rows], window)
         wanted = sorted({s for own in windows.shingles() for s in own})
-        found.append(Index(windows, _shingle_counts(docs, wanted)))
-    return found
+        yield Index(windows, _shingle_counts(docs, wanted)), parts == 1
 
 
 def contamination(
@@ -254,10 +258,15 @@ def contamination(
     """doc_id, n_words, n_hit, spans (runs of hit words, end exclusive), items
     (ids as strings, sorted) and contaminated, for every row of ``df``.
 
-    Runs one pass over the documents for each ``part_bytes`` of benchmark text
-    while the plan is built, to count the shingles, and one when it is read."""
+    For each ``part_bytes`` of benchmark text one pass over the documents counts
+    the shingles and one finds the hits."""
     docs = documents(df, id_col, text_col)
-    found = [_find(docs, index) for index in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes)]
+    found = []
+    for index, only in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes):
+        frame = _find(docs, index)
+        if found:  # of further parts only documents with hits
+            frame = frame.where("size(spans) > 0")
+        found.append(frame if only else checkpoint(frame))
     result = found[0] if len(found) == 1 else _merged(found)
     n_hit = F.expr("aggregate(spans, 0L, (n, x) -> n + x.end - x.start)")
     return result.select(
@@ -276,17 +285,19 @@ def uncontaminated(
     part_bytes: int = 8 << 20,
 ) -> DataFrame:
     """The rows of ``df``, with their own columns, in which no window occurs."""
-    docs = documents(df, id_col, text_col)
-    for index in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes):
+    docs, text = documents(df, id_col, text_col), df.columns.index(text_col)
+    for index, only in _indexes(docs, benchmark, window, item_col, item_text_col, part_bytes):
 
         def clean(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = np.ones(batch.num_rows, bool)
-                for block in blocks(text_array(batch, text_col)):
+                for block in blocks(text_array(batch, place(text))):
                     found = words(block, ALNUM, lower=True)
                     starts, _ = index.hits(found)
                     good[block.first + found.row[starts]] = False
                 yield batch.filter(pa.array(good))
 
-        df = df.mapInArrow(clean, df.schema)
+        df = map_rows(df, clean)
+        if not only:
+            df = checkpoint(df)
     return df
