@@ -10,7 +10,9 @@ without a mandatory trigram scans every document.
 The index is made of blocks of consecutive rows, as a worker reads them:
 nothing is shuffled and memory stays bounded by the block. Matching is on
 characters, ASCII-only classes. Null texts count as empty and hold no secret.
-Each row gives a row, ids repeated or null included.
+Each row gives a row, ids repeated or null included. An empty table gives no
+rows, a very long text is a block of its own and searched whole, other columns
+are not read. Spans that start together stand in the order of the rules.
 """
 
 from __future__ import annotations

@@ -11,7 +11,10 @@ the windows across its end are looked up as well, since a greedy factor can
 hide a longer one that starts inside it.
 
 Null texts have no words. Null or repeated ids don't matter: every row is a
-place of its own, so repeated rows remove each other. Each row gives a row.
+place of its own, so repeated rows remove each other. Each row gives a row. An
+empty table gives no rows, a very long text is hashed whole (some 60 bytes of
+memory for each of its own), other columns are not read. There are no ties: a
+window that occurs twice goes in both places.
 """
 
 from __future__ import annotations

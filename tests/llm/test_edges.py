@@ -3,6 +3,7 @@ columns with clashing names, and on an empty table."""
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from aerolens.llm import (
     byte_bpe,
@@ -120,3 +121,50 @@ def test_bpe_and_secret_and_license_results(spark):
 def test_missing_columns_fail_at_once(spark):
     with pytest.raises(Exception, match="absent"):
         secret_scan.secrets(awkward(spark), text_col="absent")
+
+
+# ------------------------------------------------------------- stage forms
+
+#: Names that stages use themselves or might, another case, a dot, a backtick.
+CLASHING = ["_rid", "_rtext", "_lines", "_row", "own_rid", "OWN_RTEXT", "own_lines", "own_row", "least", "component", "a.b", "tick`s"]
+
+
+def clashing(spark, frame):
+    return frame.select("*", *(F.lit(f"kept {k}").alias(c) for k, c in enumerate(CLASHING)))
+
+
+STAGES = {
+    "accepted": lambda s, d: language_id.accepted(d, language_id.train(d)),
+    "lines": lambda s, d: line_dedup.drop_repeated_lines(d),
+    "one_of_each": lambda s, d: minhash_dedup.one_of_each(d),
+    "uncontaminated": lambda s, d: decontaminate.uncontaminated(d, bench(s)),
+    "tokenized": lambda s, d: byte_bpe.tokenized(d, RANKS, public_tokenizers.PATTERN),
+}
+#: By stage the ids of awkward rows that go, a null one as -1.
+GONE = {
+    "accepted": [2, 3, 4, 7, -1],
+    "lines": [-1],
+    "one_of_each": [1, -1, 6],
+    "uncontaminated": [1, 1, -1, 8],
+    "tokenized": [],
+}
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stage_forms_on_awkward_rows(spark, name):
+    docs = clashing(spark, awkward(spark))
+    got = STAGES[name](spark, docs)
+    if name != "tokenized":
+        assert got.columns == docs.columns and got.schema.simpleString() == docs.schema.simpleString()
+    rows = got.collect()
+    left = sorted([-1 if i is None else i for i, *_ in AWKWARD])
+    for i in GONE[name]:
+        left.remove(i)
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in rows) == left
+    if name != "tokenized":
+        assert all([r[c] for c in CLASHING] == [f"kept {k}" for k in range(len(CLASHING))] for r in rows)
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stage_forms_on_an_empty_table(spark, name):
+    assert STAGES[name](spark, clashing(spark, nothing(spark))).collect() == []

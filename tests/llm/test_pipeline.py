@@ -70,6 +70,6 @@ def test_run_on_an_empty_table(spark, tmp_path):
 
 def test_registry():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert set(entry.oracle_sql()) <= set(entry.queries())
