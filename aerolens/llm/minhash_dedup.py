@@ -23,7 +23,7 @@ whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from aerolens.llm.common import (
     NO_ID,
     NOT_BLANK,
+    Batches,
     blocks,
     checkpoint,
     column,
@@ -129,9 +130,12 @@ class _Sets:
     def __init__(self, docs: DataFrame, classes: DataFrame, size: int):
         self.docs, self.classes, self.size = docs, classes, size
 
-    def of(self, wanted: DataFrame, keep: list[str], schema: str) -> DataFrame:
+    def of(
+        self, wanted: DataFrame, keep: list[str], schema: str, then: tuple[Callable[[Batches], Batches], str] | None = None
+    ) -> DataFrame:
         """``wanted`` (item and the columns ``keep``, one row a class) with the
-        column ``payload``: the packed set."""
+        column ``payload``: the packed set. ``then`` is a further step, with its
+        schema, for the same worker: two in a row would be two workers a task."""
         size = self.size
         listed = sum((F.size(c) * 48 for c in keep), F.lit(64))  # bytes of a row, rather more than less
         wanted, told = counted(
@@ -156,6 +160,11 @@ class _Sets:
                         ["item", *keep, "payload"],
                     )
 
+            give_back()
+
+        if then:
+            step, made = then
+            return look.mapInArrow(lambda batches: step(run(batches)), made)
         return look.mapInArrow(run, ", ".join(x for x in ("item long", schema, "payload binary") if x))
 
 
@@ -178,7 +187,7 @@ def _comparison(sets: _Sets, low: int, high: int) -> Comparison:
     def thin_out(left: DataFrame) -> DataFrame:
         items = left.select("item", "size").distinct()
         total = items.agg(F.sum("size")).first()[0] or 0
-        shared = _shared(sets.of(items.select("item"), [], ""), int(total // PER_PLACE + 1))
+        shared = _shared(sets, items.select("item"), int(total // PER_PLACE + 1))
         return left.join(shared, "item").where(F.col("shared") * high >= F.col("size") * low)
 
     return Comparison(
@@ -191,7 +200,7 @@ def _comparison(sets: _Sets, low: int, high: int) -> Comparison:
     )
 
 
-def _shared(sets: DataFrame, partitions: int) -> DataFrame:
+def _shared(sets: _Sets, items: DataFrame, partitions: int) -> DataFrame:
     """item and how many of its shingles another of these classes holds too."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +232,7 @@ def _shared(sets: DataFrame, partitions: int) -> DataFrame:
         give_back()
         return pa.table({"item": pa.array(item), "shared": pa.array(many.astype(np.int64))})
 
-    dealt = sets.select("item", "payload").mapInArrow(deal, "place int, value binary, owner binary")
+    dealt = sets.of(items, [], "", then=(deal, "place int, value binary, owner binary"))
     return dealt.groupBy("place").applyInArrow(count, "item long, shared long").groupBy("item").agg(F.sum("shared").alias("shared"))
 
 
