@@ -157,15 +157,23 @@ def train(
     labelled = labelled.where("lang is not null and text is not null and doc_id is not null")
     if usable is not None:
         labelled = labelled.where(usable)
-    # The sample is chosen on narrow, distinct rows: every task keeps a language's
-    # share of ids at most.
-    named = labelled.groupBy("lang", "doc_id").agg(F.xxhash64("doc_id", F.lit(seed)).alias("draw"))
-    languages = [r[0] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows).collect()]
+    # The sample is chosen on narrow, distinct rows: of each language a few times
+    # its share by a hash threshold, then that share exactly.
+    seen = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("doc_id").alias("ids"))
+    seen = seen.orderBy(F.desc("n"), "lang").limit(max_rows).collect()
+    languages = [r["lang"] for r in seen]
     if not languages:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, np.zeros((BUCKETS, 0)), np.zeros((0, 3)), -np.inf)
+    each = max(1, max_rows // len(languages))
+    few = {r["lang"]: min(1.0, 4 * each / max(r["ids"], 1)) for r in seen}
+    top = (1 << 63) - 1
+    edges = ((F.lit(lang), F.lit(min(int(part * top), top)).cast("long")) for lang, part in few.items())
+    below = F.create_map(*(x for edge in edges for x in edge))
+    draw = F.xxhash64("doc_id", F.lit(seed))
+    near = labelled.where(F.shiftrightunsigned(draw, 1) <= below[F.col("lang")])
+    named = near.groupBy("lang", "doc_id").agg(F.first(draw).alias("draw"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    drawn = named.where(F.col("lang").isin(languages)).withColumn("place", place)
-    chosen = drawn.where(F.col("place") <= max(1, max_rows // len(languages))).select("lang", "doc_id")
+    chosen = named.withColumn("place", place).where(F.col("place") <= each).select("lang", "doc_id")
     # Rows that share an id and a language are one example, so the bound holds for
     # any table; the list broadcast has max_rows rows at most.
     rows = labelled.join(F.broadcast(chosen), ["lang", "doc_id"])
