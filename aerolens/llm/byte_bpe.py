@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from aerolens.llm.common import column, documents, give_back, held, text_array
+from aerolens.llm.common import column, documents, give_back, held, one_thread, text_array
 
 #: Pieces a worker remembers before it starts anew.
 KEPT_PIECES = 80_000
@@ -68,6 +68,7 @@ class Codec:
     """Encoder and decoder for one rank file."""
 
     def __init__(self, ranks_file: str, pattern: str):
+        one_thread()
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         alphabet = byte_alphabet()

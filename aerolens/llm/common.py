@@ -4,6 +4,7 @@ n-gram hashes, lineage cutting and connected components."""
 from __future__ import annotations
 
 import ctypes
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -115,6 +116,12 @@ class Block:
         return self.data[self.ends[row] : self.ends[row + 1]].tobytes()
 
 
+def one_thread() -> None:
+    """Keeps the ``tokenizers`` library to the task's own thread: a task has one
+    core, and every further thread holds memory of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 _held: dict[tuple, object] = {}
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from aerolens.llm.byte_bpe import SPACE, byte_alphabet
-from aerolens.llm.common import checkpoint, documents, give_back, held, text_array
+from aerolens.llm.common import checkpoint, documents, give_back, held, one_thread, text_array
 
 #: Bytes of text whose pair-document records make up a block's runs.
 BLOCK_TEXT = 4 << 20
@@ -77,6 +77,7 @@ class Aligner:
     """Both encoders, the bytes of their tokens, and the units met so far."""
 
     def __init__(self, a_file: str, b_file: str):
+        one_thread()
         self.a = Tokenizer.from_file(a_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
