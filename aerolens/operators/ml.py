@@ -24,8 +24,8 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext, StorageLevel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -311,6 +311,17 @@ def default_models() -> dict[str, Estimator]:
     }
 
 
+def without_summary(model: Model) -> Model:
+    """``model`` without its training summaries. A summary of two classes keeps the
+    session, which can't be sent to executors once any frame was observed in it;
+    predicting needs no summary."""
+    nothing = SparkContext._active_spark_context._jvm.scala.Option.empty()
+    for one in getattr(model, "models", [model]):
+        if getattr(one, "hasSummary", False):
+            one._java_obj.setSummary(nothing)
+    return model
+
+
 COMPARISON_SCHEMA = T.StructType([
     T.StructField("algorithm", T.StringType()),
     T.StructField("f1", T.DoubleType()),
@@ -335,7 +346,7 @@ def compare_models(
         train.count(), test.count()
         for name, estimator in models.items():
             start = time.perf_counter()
-            fitted = estimator.fit(train)
+            fitted = without_summary(estimator.fit(train))
             found = evaluate(fitted.transform(test))
             rows.append((name, found["f1"], found["accuracy"], time.perf_counter() - start))
     finally:

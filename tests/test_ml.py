@@ -126,6 +126,18 @@ def test_classifiers_beat_majority_class(spark, model_rows):
         assert r.accuracy > majority and 0 < r.f1 <= 1 and r.seconds > 0
 
 
+def test_models_are_compared_in_a_session_that_observed_a_frame(spark, model_rows):
+    """Fitted models must not take the session along: it holds what observes frames."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    train_f, test_f = prepared_parts(model_rows, seed=11, partitions=2)
+    models = {"lr": ml.logistic_one_vs_rest(max_iter=2), "svm": ml.svm_one_vs_rest(max_iter=2)}
+    assert [r.algorithm for r in ml.compare_models(train_f, test_f, models).collect()] == ["lr", "svm"]
+
+
 def test_perceptron_reads_input_width(spark, model_rows):
     train_f, test_f = prepared_parts(model_rows, seed=11)
     width = ml.feature_width(train_f)
