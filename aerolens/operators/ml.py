@@ -65,6 +65,13 @@ def _threshold(share: float) -> Column:
     return F.lit(format(min(round(share * 16**8), 16**8 - 1), "08x"))
 
 
+def _drawn(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row. A filter on a plain column is
+    pushed below the joins with all that the hash is made of written out at each
+    mention, a method too large for the JIT compiler; one on an exploded column isn't."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def split_data(
     df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42, key: Sequence[str] = SPLIT_KEY
 ) -> list[DataFrame]:
@@ -75,14 +82,14 @@ def split_data(
     for w in weights[:-1]:
         at += w / total
         edges.append(_threshold(at))
-    draw, out = _draw(key, seed), []
+    drawn, draw, out = _drawn(df, "_draw", _draw(key, seed)), F.col("_draw"), []
     for low, high in zip([None, *edges], [*edges, None]):
         inside = F.lit(True)
         if low is not None:
             inside = inside & (draw >= low)
         if high is not None:
             inside = inside & (draw < high)
-        out.append(df.filter(inside))
+        out.append(drawn.filter(inside).drop("_draw"))
     return out
 
 

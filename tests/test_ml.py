@@ -33,6 +33,18 @@ def test_split_does_not_depend_on_the_layout(spark, model_rows):
     assert sorted(map(str, other.collect())) != found[0]
 
 
+def draws(df):
+    """The lines of the optimized plan that take the hash which draws a row's part."""
+    return [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "md5(" in line]
+
+
+def test_a_lot_is_drawn_once_a_row(spark):
+    rows = tables.model_rows(tables.enriched_flights(spark, SF_SMALL))
+    for lot in ml.split_data(rows, (0.5, 0.3, 0.2), seed=7):
+        (line,) = draws(lot.groupBy("Year").count())
+        assert line.count("md5(") == 1 and "Filter" not in line
+
+
 def test_stratified_counts_cover_every_year(spark, model_rows):
     counts = stratified_split_counts(model_rows).collect()
     years = {r.Year for r in model_rows.select("Year").distinct().collect()}
