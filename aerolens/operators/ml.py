@@ -103,9 +103,8 @@ def tag_split(
     union of the parts, and without materialising anything: any pass over the
     rows, on any number of partitions, gives the same parts.
     """
-    return df.withColumn(
-        "part", F.when(_draw(key, seed) < _threshold(train_fraction), F.lit("train")).otherwise(F.lit("test"))
-    )
+    part = F.when(_draw(key, seed) < _threshold(train_fraction), F.lit("train")).otherwise(F.lit("test"))
+    return _drawn(df, "part", part)
 
 
 def parts(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:

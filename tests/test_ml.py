@@ -45,6 +45,13 @@ def test_a_lot_is_drawn_once_a_row(spark):
         assert line.count("md5(") == 1 and "Filter" not in line
 
 
+def test_a_tagged_part_is_drawn_once_a_row(spark):
+    rows = tables.model_rows(tables.enriched_flights(spark, SF_SMALL))
+    for part in ml.parts(ml.tag_split(rows, 0.7)):
+        (line,) = draws(part.groupBy("Year").count())
+        assert line.count("md5(") == 1 and "Filter" not in line
+
+
 def test_stratified_counts_cover_every_year(spark, model_rows):
     counts = stratified_split_counts(model_rows).collect()
     years = {r.Year for r in model_rows.select("Year").distinct().collect()}
