@@ -168,11 +168,12 @@ def unusable(df: DataFrame, numerics: Sequence[str] = NUMERIC_COLUMNS) -> DataFr
     return df.select(F.count(F.when(lost, F.lit(1))).alias("skipped"))
 
 
-def prepare_tagged(tagged: DataFrame) -> tuple[PipelineModel, DataFrame]:
+def prepare_tagged(tagged: DataFrame, source: DataFrame | None = None) -> tuple[PipelineModel, DataFrame]:
     """M7 over a ``tag_split`` result: fit the feature pipeline on its train part
     and transform all rows at once. Keeps the original columns with ``part``, the
-    category indices, ``features`` and ``label_index``."""
-    model = feature_pipeline(tagged.filter(F.col("part") == "train").drop("part"))
+    category indices, ``features`` and ``label_index``. ``source``, the same rows
+    before a shuffle, saves the fit that shuffle."""
+    model = feature_pipeline(parts(tagged if source is None else source)[0])
     return model, _transformed(model, tagged)
 
 
@@ -210,9 +211,17 @@ def vector_summary(df: DataFrame, by: Sequence[str] = (), col: str = FEATURES) -
     )
 
 
-#: Partitions that models are fitted on: a few times the cores of a cluster. The
-#: number is part of a fit, so it is given and not taken from the input's layout.
+#: Partitions that models are fitted on, at least, and the most rows meant for one: a
+#: fit keeps a row's whole vector (about 1 KB for trees, 2 KB for a perceptron), and a
+#: partition that doesn't fit into memory is read from disk in each pass. The number is
+#: part of a fit, so it follows from the rows and not from the input's layout.
 FIT_PARTITIONS = 8
+FIT_ROWS = 250_000
+
+
+def fit_partitions(df: DataFrame, least: int = FIT_PARTITIONS) -> int:
+    """Partitions to fit models on: ``least``, more for more than that many times FIT_ROWS."""
+    return max(least, -(-df.count() // FIT_ROWS))
 
 
 def laid_out(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:

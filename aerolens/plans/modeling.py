@@ -21,10 +21,12 @@ def stratified_split_counts(model_rows: DataFrame, train_fraction: float = 0.8,
 def prepared_parts(
     model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS
 ) -> tuple[DataFrame, DataFrame]:
-    """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %,
-    rows laid out for fitting."""
-    tagged = ml.tag_split(ml.laid_out(model_rows, partitions), 0.7, seed)
-    return ml.parts(ml.prepare_tagged(tagged)[1])
+    """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %
+    (from any layout, so before the shuffle), rows laid out for fitting on
+    ``partitions`` or, if they are many, more."""
+    split = lambda rows: ml.tag_split(rows, 0.7, seed)
+    laid = ml.laid_out(model_rows, ml.fit_partitions(model_rows, partitions))
+    return ml.parts(ml.prepare_tagged(split(laid), split(model_rows))[1])
 
 
 def _prepared(model_rows: DataFrame, seed: int) -> DataFrame:

@@ -129,6 +129,15 @@ def test_fits_are_the_same_from_any_layout(spark, model_rows):
     assert found[0] == found[1] == found[2] and len(found[0]) == 5
 
 
+def test_more_rows_are_fitted_on_more_partitions(spark, model_rows, monkeypatch):
+    """A partition to fit on holds a bounded number of rows, from any input layout."""
+    monkeypatch.setattr(ml, "FIT_ROWS", 500, raising=False)
+    n = model_rows.count()
+    for layout in (1, 5):
+        train_f, test_f = prepared_parts(model_rows.repartition(layout), partitions=4)
+        assert train_f.rdd.getNumPartitions() == test_f.rdd.getNumPartitions() == -(-n // 500) > 4
+
+
 def test_feature_vectors_query(spark, model_rows):
     out = feature_vectors(model_rows)
     assert set(out.columns) >= {"OP_CARRIER_Index", ml.LABEL, "part"}
