@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolens.operators import ml
-from aerolens.plans.modeling import feature_vectors, prepared_parts, stratified_split_counts
+from aerolens.plans.modeling import feature_vectors, perceptron_scores, prepared_parts, stratified_split_counts
 from aerolens.plans import tables
 from conftest import SF_SMALL
 
@@ -138,6 +138,21 @@ def test_more_rows_are_fitted_on_more_partitions(spark, model_rows, monkeypatch)
         assert train_f.rdd.getNumPartitions() == test_f.rdd.getNumPartitions() == -(-n // 500) > 4
 
 
+def test_the_perceptron_is_fitted_on_bounded_partitions(spark, model_rows, monkeypatch):
+    """Its dense rows stay whole in memory during a fit, so a partition's are bounded."""
+    found = []
+
+    def compared(train, test, models):
+        found.append((train.rdd.getNumPartitions(), test.rdd.getNumPartitions(), *models))
+        return spark.createDataFrame([], ml.COMPARISON_SCHEMA)
+
+    monkeypatch.setattr(ml, "FIT_ROWS", 500, raising=False)
+    monkeypatch.setattr(ml, "compare_models", compared)
+    perceptron_scores(model_rows, partitions=4)
+    wanted = -(-model_rows.count() // 500)
+    assert found == [(wanted, wanted, "Multilayer Perceptron")] and wanted > 4
+
+
 def test_feature_vectors_query(spark, model_rows):
     out = feature_vectors(model_rows)
     assert set(out.columns) >= {"OP_CARRIER_Index", ml.LABEL, "part"}
