@@ -22,11 +22,11 @@ def prepared_parts(
     model_rows: DataFrame, seed: int = 42, partitions: int = ml.FIT_PARTITIONS
 ) -> tuple[DataFrame, DataFrame]:
     """M8 then M3-M7: seeded 70/30 split, feature pipeline fitted on the 70 %
-    (from any layout, so before the shuffle), rows laid out for fitting on
-    ``partitions`` or, if they are many, more."""
-    split = lambda rows: ml.tag_split(rows, 0.7, seed)
-    laid = ml.laid_out(model_rows, ml.fit_partitions(model_rows, partitions))
-    return ml.parts(ml.prepare_tagged(split(laid), split(model_rows))[1])
+    (from any layout, so before the shuffle), each part laid out for fitting on
+    ``partitions`` or, if the rows are many, more."""
+    count = ml.fit_partitions(model_rows, partitions)
+    train, test = ml.parts(ml.tag_split(model_rows, 0.7, seed))
+    return ml.prepare(ml.laid_out(train, count), ml.laid_out(test, count), train)[1:]
 
 
 def _prepared(model_rows: DataFrame, seed: int) -> DataFrame:

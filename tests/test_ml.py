@@ -153,6 +153,67 @@ def test_the_perceptron_is_fitted_on_bounded_partitions(spark, model_rows, monke
     assert found == [(wanted, wanted, "Multilayer Perceptron")] and wanted > 4
 
 
+@pytest.mark.parametrize("partitions, block_size", [(2, 128), (20, 7)])
+def test_the_perceptron_is_fitted_as_by_spark(spark, model_rows, partitions, block_size):
+    """The same weights but for rounding, from sparse and dense vectors, few and many
+    partitions, partial blocks and a partition without rows; no summary of another fit."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.linalg import Vectors
+
+    flights = prepared_parts(model_rows, seed=11, partitions=partitions)[0].select(ml.FEATURES, ml.LABEL)
+    few = [(Vectors.dense([i % 3 - 1.0, i % 5 / 4, 0.5]), float(i * i % 3)) for i in range(60)]
+    few += [(Vectors.sparse(3, {1: i / 4.0}), float(i % 3)) for i in range(20)]
+    small = spark.createDataFrame(few, [ml.FEATURES, ml.LABEL]).coalesce(1).repartitionByRange(partitions, ml.LABEL)
+    for train, width in ((flights, ml.feature_width(flights)), (small, 3)):
+        train = train.persist()
+        mine = ml.perceptron(width, (5, 4), max_iter=6, block_size=block_size)
+        spark_own = MultilayerPerceptronClassifier(**{p.name: v for p, v in mine.extractParamMap().items()})
+        got, wanted = mine.fit(train), spark_own.fit(train)
+        assert got.weights.toArray() == pytest.approx(wanted.weights.toArray(), rel=1e-5, abs=1e-6)
+        assert type(got) is type(wanted) and got.getMaxIter() == 6 and not got.hasSummary
+        train.unpersist()
+
+
+def test_rows_to_fit_stay_sparse(spark, model_rows):
+    """A pass of the perceptron reads values and places, not a width of zeros."""
+    from aerolens.operators import perceptron
+
+    train_f, _ = prepared_parts(model_rows, partitions=2)
+    layers = [ml.feature_width(train_f), 4, 3]
+    packed = perceptron._packed(train_f, ml.FEATURES, ml.LABEL, layers, 128)
+    read = sum(len(value) for row in packed.collect() for value in row)
+    assert read < train_f.count() * layers[0] * 8 / 10
+
+
+def test_a_label_outside_the_classes_is_an_error(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(Vectors.dense([1.0]), 3.0)], [ml.FEATURES, ml.LABEL])
+    with pytest.raises(Exception, match="isn't one of 3 classes"):
+        ml.perceptron(1, (2,)).fit(rows)
+
+
+def test_rows_are_predicted_once_for_the_scores(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def guess(label):
+        seen.add(1)
+        return label
+
+    rows = spark.range(50).select((F.col("id") % 3).cast("double").alias(ml.LABEL))
+    predicted = rows.withColumn(ml.PREDICTION, F.udf(guess, "double")(ml.LABEL))
+    assert ml.evaluate(predicted) == {"f1": 1.0, "accuracy": 1.0} and seen.value == 50
+
+
+def test_parts_are_shuffled_apart(spark, model_rows):
+    """Each part is laid out alone, after its rows were picked: no row is shuffled twice."""
+    for part in prepared_parts(model_rows, partitions=3):
+        plan = part._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        dealt = next(i for i, line in enumerate(plan) if "RepartitionByExpression" in line)
+        picked = [i for i, line in enumerate(plan) if "Filter" in line and "(part#" in line]
+        assert picked and min(picked) > dealt
+
+
 def test_feature_vectors_query(spark, model_rows):
     out = feature_vectors(model_rows)
     assert set(out.columns) >= {"OP_CARRIER_Index", ml.LABEL, "part"}
