@@ -27,13 +27,7 @@ from operator import or_
 from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -42,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolens.operators.perceptron import SparsePerceptron
+from aerolens.operators.trees import SparseDecisionTree, SparseRandomForest
 
 # Model inputs and column names.
 CATEGORY_COLUMNS = ["OP_CARRIER", "ORIGIN", "DEST"]
@@ -241,13 +236,13 @@ def feature_width(df: DataFrame, col: str = FEATURES) -> int:
 
 
 def decision_tree(max_depth: int = 3, seed: int = 42) -> Estimator:
-    """M9."""
-    return DecisionTreeClassifier(labelCol=LABEL, featuresCol=FEATURES, maxDepth=max_depth, seed=seed)
+    """M9: Spark's decision tree, fitted over sparse rows."""
+    return SparseDecisionTree(labelCol=LABEL, featuresCol=FEATURES, maxDepth=max_depth, seed=seed)
 
 
 def random_forest(seed: int = 1) -> Estimator:
-    """Spark defaults (20 trees, depth 5), seeded."""
-    return RandomForestClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=seed)
+    """Spark's random forest and defaults (20 trees, depth 5), seeded, fitted over sparse rows."""
+    return SparseRandomForest(labelCol=LABEL, featuresCol=FEATURES, seed=seed)
 
 
 def perceptron(
