@@ -27,7 +27,7 @@ from operator import or_
 from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolens.operators.linear import SparseOneVsRest
 from aerolens.operators.perceptron import SparsePerceptron
 from aerolens.operators.trees import SparseDecisionTree, SparseRandomForest
 
@@ -268,17 +269,17 @@ OVR_PARALLELISM = 3
 
 
 def logistic_one_vs_rest(max_iter: int = 10, parallelism: int = OVR_PARALLELISM) -> Estimator:
-    """One-vs-rest over binary logistic regression."""
+    """One-vs-rest over binary logistic regression, fitted over sparse rows."""
     lr = LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, maxIter=max_iter)
-    return OneVsRest(classifier=lr, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
+    return SparseOneVsRest(classifier=lr, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
 
 
 def svm_one_vs_rest(
     max_iter: int = 10, reg_param: float = 0.1, parallelism: int = OVR_PARALLELISM
 ) -> Estimator:
-    """One-vs-rest over a linear SVM."""
+    """One-vs-rest over a linear SVM, fitted over sparse rows."""
     svc = LinearSVC(labelCol=LABEL, featuresCol=FEATURES, maxIter=max_iter, regParam=reg_param)
-    return OneVsRest(classifier=svc, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
+    return SparseOneVsRest(classifier=svc, labelCol=LABEL, featuresCol=FEATURES, parallelism=parallelism)
 
 
 def confusion(predictions: DataFrame) -> DataFrame:

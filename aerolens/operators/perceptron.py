@@ -270,9 +270,35 @@ def _step_size(phi: Callable[[float], tuple], t: float, tries: int = 10) -> floa
     raise _NoStep("search")
 
 
-def minimized(objective: Objective, x: np.ndarray, max_iter: int, tol: float, memory: int = 10) -> np.ndarray:
+def _halved(phi: Callable[[float], tuple], t: float, value: float, shrink: float, tries: int = 20) -> float:
+    """A step by backtracking under the strong Wolfe conditions, as Spark's orthant-wise
+    optimizer takes it: the first place is given the value of the start."""
+    _, first, slope = phi(0.0)
+    # The slope at the first place isn't looked at if the step is cut there anyway.
+    steep = 0.0 if value > first + t * slope * 1e-4 else phi(t)[2]
+    for _ in range(tries - 1):
+        if value > first + t * slope * 1e-4:
+            by = shrink
+        elif steep < 0.9 * slope:
+            by = 2.1
+        elif steep > -0.9 * slope:
+            by = shrink
+        else:
+            break
+        t *= by
+        if not 1e-10 <= t <= 1e10:
+            raise _NoStep("step size")
+        _, value, steep = phi(t)
+    return t
+
+
+def minimized(
+    objective: Objective, x: np.ndarray, max_iter: int, tol: float, memory: int = 10, orthants: bool = False
+) -> np.ndarray:
     """L-BFGS with a strong Wolfe search, as Spark's fit runs it: until ``max_iter`` steps,
-    a value that no longer falls, a flat place, or two directions without a step in turn."""
+    a value that no longer falls, a flat place, or two directions without a step in turn.
+    ``orthants``: as its orthant-wise form without an L1 term runs, which leaves out what
+    goes against the gradient and stops each weight where its sign would change."""
     last: list = [None, None]
 
     def at(place: np.ndarray) -> tuple[float, np.ndarray]:
@@ -281,29 +307,40 @@ def minimized(objective: Objective, x: np.ndarray, max_iter: int, tol: float, me
         return last[1]
 
     value, gradient = at(x)
-    first, values, history, failed, done = abs(value), [math.inf], [], False, 0
+    start, values, history, failed, done = abs(value), [math.inf], [], False, 0
     with np.errstate(divide="ignore", invalid="ignore"):
         while done < max_iter:
-            if len(values) > 1 and abs(value - max(values)) <= tol * first:
+            if len(values) > 1 and abs(value - max(values)) <= tol * start:
                 break
             if np.linalg.norm(gradient) <= max(tol * abs(value), 1e-8):
                 break
             try:
                 way = _direction(history, gradient)
+                if orthants:
+                    way = np.where(way * gradient < 0, way, 0.0)
+                signs = np.where(x != 0, np.sign(x), np.sign(-gradient)) if orthants else None
 
-                def phi(t: float, x=x, way=way) -> tuple[float, float, float]:
-                    found, slope = at(x + way * t)
+                def place(t: float, x=x, way=way, signs=signs) -> np.ndarray:
+                    to = x + way * t
+                    return to if signs is None else np.where(np.sign(to) == signs, to, 0.0)
+
+                def phi(t: float, place=place, way=way) -> tuple[float, float, float]:
+                    found, slope = at(place(t))
                     return t, found, float(slope @ way)
 
-                size = _step_size(phi, 1.0 if done else 1.0 / np.linalg.norm(way))
-                if size * np.linalg.norm(gradient) < 1e-10:
-                    raise _NoStep("underflow")
+                if orthants:
+                    first = 1.0 if done else 0.5 / np.linalg.norm(gradient)
+                    size = _halved(phi, first, value, 0.5 if done else 0.1)
+                else:
+                    size = _step_size(phi, 1.0 if done else 1.0 / np.linalg.norm(way))
+                    if size * np.linalg.norm(gradient) < 1e-10:
+                        raise _NoStep("underflow")
             except _NoStep:
                 if failed:
                     break
                 failed, history = True, []
                 continue
-            new = x + way * size
+            new = place(size)
             value, grown = at(new)
             history = [(new - x, grown - gradient), *history][:memory]
             x, gradient, failed, done = new, grown, False, done + 1

@@ -94,7 +94,23 @@ class Bins:
         return int(self.sizes.sum())
 
 
-def _values(df: DataFrame, features: str, width: int) -> list[Column]:
+def in_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """All rows of the batches, in their order, ``size`` at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= size:
+            table = pa.Table.from_batches(held)
+            for at in range(0, n - size + 1, size):
+                yield table.slice(at, size)
+            held, n = table.slice(n - n % size).to_batches(), n % size
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def values_of(df: DataFrame, features: str, width: int) -> list[Column]:
+    """Places and values that the vectors hold; a dense one holds all."""
     vector = F.unwrap_udt(F.col(features))
     everywhere = F.sequence(F.lit(0), F.lit(width - 1))
     return [F.coalesce(vector["indices"], everywhere).alias("places"), vector["values"].alias("values")]
@@ -120,7 +136,7 @@ def _bins(estimator, df: DataFrame, trees: int, strategy: str) -> Bins | None:
     found: list[list[np.ndarray]] = [[] for _ in numbers]
     if len(numbers):
         at = {int(f): k for k, f in enumerate(numbers)}
-        for row in _sampled(df, estimator, share).select(*_values(df, estimator.getFeaturesCol(), width)).collect():
+        for row in _sampled(df, estimator, share).select(*values_of(df, estimator.getFeaturesCol(), width)).collect():
             for place, value in zip(row["places"], row["values"], strict=True):
                 if value != 0.0 and place in at:
                     found[at[place]].append(value)
@@ -164,20 +180,10 @@ def _thresholds(values: np.ndarray, expected: float, rows: int, most: int) -> np
 
 def _packed(df: DataFrame, features: str, label: str, bins: Bins) -> DataFrame:
     """The rows of each partition, in their order, as blocks of PACKED_ROWS."""
-    rows = df.select(F.col(label).cast("double").alias("label"), *_values(df, features, len(bins.sizes)))
+    rows = df.select(F.col(label).cast("double").alias("label"), *values_of(df, features, len(bins.sizes)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= PACKED_ROWS:
-                table = pa.Table.from_batches(held)
-                for at in range(0, n - PACKED_ROWS + 1, PACKED_ROWS):
-                    yield _block(table.slice(at, PACKED_ROWS), bins)
-                held, n = table.slice(n - n % PACKED_ROWS).to_batches(), n % PACKED_ROWS
-        if n:
-            yield _block(pa.Table.from_batches(held), bins)
+        return (_block(table, bins) for table in in_blocks(batches, PACKED_ROWS))
 
     return rows.mapInArrow(pack, "labels binary, lengths binary, cells binary")
 
@@ -275,18 +281,22 @@ def _add_block(block: dict, bins: Bins, step: Pass, weights: np.ndarray | None,
     size, every, binned = sum(len(c) for _, c in slots), np.arange(n), binned.ravel()
     index, share = np.empty(size, np.int64), np.empty(size) if weights is not None else None
     for tree, (features, cuts, lefts, rights, places, depth) in step.trees.items():
-        node = np.zeros(n, np.int64)
+        row, node = at[features] * n, np.zeros(n, np.int64)
         for _ in range(depth):
-            go_left = binned[at[features][node] * n + every] <= cuts[node]
+            go_left = binned[row[node] + every] <= cuts[node]
             node = np.where(go_left, lefts[node], rights[node])
-        base = (np.where(places < 0, step.nodes, places) * one)[node]
+        # A tree's nodes to count stand in a row; the rows at others go to one more.
+        asked = places >= 0
+        begin, nodes = places[asked].min(), np.count_nonzero(asked)
+        base = (np.where(asked, places - begin, nodes) * one)[node]
         own, to = None if weights is None else weights[tree].astype(float), 0
         for rows, cell in slots:
             np.add(base[rows], cell, out=index[to : to + len(cell)])
             if share is not None:
                 share[to : to + len(cell)] = own[rows]
             to += len(cell)
-        sums += np.bincount(index, share, (step.nodes + 1) * one)
+        found = np.bincount(index, share, (nodes + 1) * one)
+        sums[begin * one : (begin + nodes) * one] += found[: nodes * one]
 
 
 def _sum(packed: DataFrame, bins: Bins, step: Pass, trees: int, rate: float | None, seed: int) -> np.ndarray:
@@ -297,12 +307,12 @@ def _sum(packed: DataFrame, bins: Bins, step: Pass, trees: int, rate: float | No
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, step = sent.value
         part, size = TaskContext.get().partitionId(), (bins.cells + 1) * bins.classes
-        rng, sums = np.random.Generator(np.random.SFC64([seed % 2**64, part])), np.zeros((step.nodes + 1) * size)
+        rng, sums = np.random.Generator(np.random.SFC64([seed % 2**64, part])), np.zeros(step.nodes * size)
         for batch in batches:
             for block in batch.to_pylist():
                 drawn = None if lots is None else lots.draw(rng, (trees, len(block["labels"]) // 4))
                 _add_block(block, bins, step, drawn, sums)
-        counts = sums[: step.nodes * size].reshape(-1, bins.classes)
+        counts = sums.reshape(-1, bins.classes)
         counts = counts if step.wanted is None else counts[step.wanted]
         yield pa.RecordBatch.from_pylist([{"part": part, "counts": counts.tobytes()}], schema=SUMMED)
 
