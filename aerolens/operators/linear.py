@@ -19,7 +19,7 @@ from threading import Condition
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext, StorageLevel, TaskContext
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import (
     LinearSVC,
     LinearSVCModel,
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolens.operators.perceptron import minimized
-from aerolens.operators.trees import in_blocks, values_of
+from aerolens.operators.trees import in_blocks, in_few_tasks, values_of
 
 #: Rows that are multiplied at once.
 PACKED_ROWS = 8192
@@ -44,7 +44,8 @@ DIRECT_BYTES = 16 << 20
 #: Classes that are told apart here; more are left to Spark's own fit.
 CLASSES = 100
 
-PACKED = pa.schema([(c, pa.binary()) for c in ("labels", "full", "table", "lengths", "places", "values", "used")])
+FIELDS = ("labels", "full", "table", "lengths", "places", "values", "used")
+PACKED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in FIELDS)])
 #: Types that a block's numbers and counts are kept in, the smallest that holds them all.
 NUMBERS = (np.int8, np.int16, np.float32, np.float64)
 COUNTS = (np.uint8, np.uint16, np.int32)
@@ -111,12 +112,14 @@ def _model(classifier, weights: np.ndarray):
 def _packed(df: DataFrame, features: str, label: str, width: int) -> DataFrame:
     """The rows of each partition, in their order, as blocks of PACKED_ROWS: a table of
     the places that most rows have a value at, and all other values by row."""
-    rows = df.select(F.col(label).cast("double").alias("label"), *values_of(df, features, width))
+    rows = df.select(
+        F.spark_partition_id().alias("part"), F.col(label).cast("double").alias("label"), *values_of(df, features, width)
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (_block(table, width) for table in in_blocks(batches, PACKED_ROWS))
 
-    return rows.mapInArrow(pack, ", ".join(f"{c} binary" for c in PACKED.names))
+    return rows.mapInArrow(pack, ", ".join(["part int", *(f"{c} binary" for c in FIELDS)]))
 
 
 def _small(values: np.ndarray, kinds: Sequence[type]) -> np.ndarray:
@@ -136,7 +139,7 @@ def _read(data: bytes, count: int, kinds: Sequence[type]) -> np.ndarray:
 
 
 def _block(table: pa.Table, width: int) -> pa.RecordBatch:
-    label, places, values = (c.chunk(0) for c in table.combine_chunks().columns)
+    part, label, places, values = (c.chunk(0) for c in table.combine_chunks().columns)
     if label.null_count or values.null_count:
         raise ValueError("a row to fit has no label or no vector")
     labels, lengths = label.to_numpy(), values.value_lengths().to_numpy()
@@ -160,7 +163,9 @@ def _block(table: pa.Table, width: int) -> pa.RecordBatch:
         _small(np.bincount(own[rest], minlength=n), COUNTS), _small(local, COUNTS),
         value[rest][: 0 if ones else None], used.astype(np.int32),
     ]
-    return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], schema=PACKED)
+    return pa.RecordBatch.from_arrays(
+        [part.slice(0, 1), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], schema=PACKED
+    )
 
 
 @dataclass
@@ -196,14 +201,20 @@ def _pass(packed: DataFrame, start: Callable[[], np.ndarray], add: Callable[[Blo
     kind, parts = "part int, sums binary", packed.rdd.getNumPartitions()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = None
+        part, sums = -1, None
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"part": part, "sums": sums.tobytes()}], schema=SUMMED)
+
         for batch in batches:
             for block in batch.to_pylist():
-                sums = start() if sums is None else sums
+                if block["part"] != part:
+                    if sums is not None:
+                        yield row()
+                    part, sums = block["part"], start()
                 add(_unpacked(block), sums)
         if sums is not None:
-            row = {"part": TaskContext.get().partitionId(), "sums": sums.tobytes()}
-            yield pa.RecordBatch.from_pylist([row], schema=SUMMED)
+            yield row()
 
     def merged(rows: list[dict]) -> dict:
         rows = sorted(rows, key=lambda r: r["part"])
@@ -214,7 +225,7 @@ def _pass(packed: DataFrame, start: Callable[[], np.ndarray], add: Callable[[Blo
         if rows:
             yield pa.RecordBatch.from_pylist([merged(rows)], schema=SUMMED)
 
-    found = packed.mapInArrow(gather, kind)
+    found = in_few_tasks(packed).mapInArrow(gather, kind)
     if parts * size * 8 > DIRECT_BYTES:
         found = found.repartition(math.isqrt(parts), "part").mapInArrow(bring, kind)
     rows = [r.asDict() for r in found.collect()]

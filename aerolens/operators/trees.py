@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -35,7 +35,10 @@ DIRECT_SUMS = 16
 #: Spark takes split candidates from about so many rows, or from maxBins squared.
 SPLIT_ROWS = 10_000
 
-PACKED = pa.schema([(c, pa.binary()) for c in ("labels", "lengths", "cells")])
+#: A pass starts so many Python tasks a core at most, as each takes some time to start.
+TASKS = 3
+
+PACKED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("labels", "lengths", "cells"))])
 SUMMED = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 EPSILON = float(np.finfo(float).eps)
 
@@ -116,6 +119,12 @@ def values_of(df: DataFrame, features: str, width: int) -> list[Column]:
     return [F.coalesce(vector["indices"], everywhere).alias("places"), vector["values"].alias("values")]
 
 
+def in_few_tasks(packed: DataFrame) -> DataFrame:
+    """The blocks of several partitions in a task, one after another. Sums and draws go
+    by the partition that a block names, so they are the same in any number of tasks."""
+    return packed.coalesce(TASKS * packed.sparkSession.sparkContext.defaultParallelism)
+
+
 def _bins(estimator, df: DataFrame, trees: int, strategy: str) -> Bins | None:
     """The bins that Spark's fit would use, or None for what only that fit covers."""
     features, label = (df.schema[c].metadata.get("ml_attr", {}) for c in (estimator.getFeaturesCol(), estimator.getLabelCol()))
@@ -180,16 +189,19 @@ def _thresholds(values: np.ndarray, expected: float, rows: int, most: int) -> np
 
 def _packed(df: DataFrame, features: str, label: str, bins: Bins) -> DataFrame:
     """The rows of each partition, in their order, as blocks of PACKED_ROWS."""
-    rows = df.select(F.col(label).cast("double").alias("label"), *values_of(df, features, len(bins.sizes)))
+    rows = df.select(
+        F.spark_partition_id().alias("part"), F.col(label).cast("double").alias("label"),
+        *values_of(df, features, len(bins.sizes)),
+    )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (_block(table, bins) for table in in_blocks(batches, PACKED_ROWS))
 
-    return rows.mapInArrow(pack, "labels binary, lengths binary, cells binary")
+    return rows.mapInArrow(pack, "part int, labels binary, lengths binary, cells binary")
 
 
 def _block(table: pa.Table, bins: Bins) -> pa.RecordBatch:
-    label, places, values = (c.chunk(0) for c in table.combine_chunks().columns)
+    part, label, places, values = (c.chunk(0) for c in table.combine_chunks().columns)
     if label.null_count or values.null_count:
         raise ValueError("a row to fit has no label or no vector")
     labels, lengths = label.to_numpy(), values.value_lengths().to_numpy()
@@ -211,7 +223,9 @@ def _block(table: pa.Table, bins: Bins) -> pa.RecordBatch:
     found += bins.starts[place]
     kind = np.uint16 if bins.cells < 2**16 else np.int32
     parts = [labels.astype(np.int32), lengths.astype(np.int32), found.astype(kind)]
-    return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], schema=PACKED)
+    return pa.RecordBatch.from_arrays(
+        [part.slice(0, 1), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], schema=PACKED
+    )
 
 
 @dataclass
@@ -306,15 +320,24 @@ def _sum(packed: DataFrame, bins: Bins, step: Pass, trees: int, rate: float | No
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, step = sent.value
-        part, size = TaskContext.get().partitionId(), (bins.cells + 1) * bins.classes
-        rng, sums = np.random.Generator(np.random.SFC64([seed % 2**64, part])), np.zeros(step.nodes * size)
+        size, part, rng, sums = (bins.cells + 1) * bins.classes, -1, None, np.zeros(0)
+
+        def row() -> pa.RecordBatch:
+            counts = sums.reshape(-1, bins.classes)
+            counts = counts if step.wanted is None else counts[step.wanted]
+            return pa.RecordBatch.from_pylist([{"part": part, "counts": counts.tobytes()}], schema=SUMMED)
+
         for batch in batches:
             for block in batch.to_pylist():
+                if block["part"] != part:
+                    if rng is not None:
+                        yield row()
+                    part, sums = block["part"], np.zeros(step.nodes * size)
+                    rng = np.random.Generator(np.random.SFC64([seed % 2**64, part]))
                 drawn = None if lots is None else lots.draw(rng, (trees, len(block["labels"]) // 4))
                 _add_block(block, bins, step, drawn, sums)
-        counts = sums.reshape(-1, bins.classes)
-        counts = counts if step.wanted is None else counts[step.wanted]
-        yield pa.RecordBatch.from_pylist([{"part": part, "counts": counts.tobytes()}], schema=SUMMED)
+        if rng is not None:
+            yield row()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, part = None, 0
@@ -325,7 +348,7 @@ def _sum(packed: DataFrame, bins: Bins, step: Pass, trees: int, rate: float | No
         if total is not None:
             yield pa.RecordBatch.from_pylist([{"part": part, "counts": total.tobytes()}], schema=SUMMED)
 
-    found = packed.mapInArrow(add, kind)
+    found = in_few_tasks(packed).mapInArrow(add, kind)
     if parts > DIRECT_SUMS:
         found = found.repartition(math.isqrt(parts), "part").mapInArrow(merge, kind)
     summed = sum(np.frombuffer(r["counts"]) for r in found.collect()).reshape(-1, bins.classes)

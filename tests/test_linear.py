@@ -69,7 +69,7 @@ def test_the_registered_models_share_their_passes(spark, train, monkeypatch):
 def test_packed_rows_are_small_and_exact(spark, train):
     width = ml.feature_width(train)
     blocks = linear._packed(train, ml.FEATURES, ml.LABEL, width).collect()
-    assert sum(len(v) for b in blocks for v in b) < train.count() * 40
+    assert sum(len(b[c]) for b in blocks for c in linear.FIELDS) < train.count() * 40
     rows = train.collect()
     at = 0
     for block in map(linear._unpacked, (b.asDict() for b in blocks)):

@@ -57,7 +57,7 @@ def test_the_registered_trees_are_fitted_over_sparse_rows(spark, train):
         assert isinstance(estimator, trees.SparseDecisionTree | trees.SparseRandomForest)
         bins = trees._bins(estimator, train, 1, "all")
         packed = trees._packed(train, ml.FEATURES, ml.LABEL, bins).collect()
-        read = sum(len(value) for row in packed for value in row)
+        read = sum(len(row[c]) for row in packed for c in ("labels", "lengths", "cells"))
         assert read < train.count() * ml.feature_width(train) * 4 / 10
         assert bins.rows == train.count() and len(packed) == 3
 
@@ -113,3 +113,22 @@ def test_rows_that_cannot_be_fitted_are_an_error(spark, train):
         rows = rows.select(*(F.col(c).alias(c, metadata=meta[c]) for c in rows.columns))
         with pytest.raises(Exception, match=message):
             ml.decision_tree().fit(rows)
+
+
+def test_a_fit_is_the_same_in_any_number_of_tasks(spark, train, monkeypatch):
+    """Partitions counted one after another in a task give the same draws and sums, to the
+    last bit, and no partition starts a task of its own in each pass."""
+    from aerolens.operators import linear
+
+    many, found = train.repartition(40).persist(), []
+    logistic = linear.SparseOneVsRest(classifier=ml.logistic_one_vs_rest(max_iter=3).getClassifier(), **COLUMNS)
+    for tasks in (1, 100):
+        monkeypatch.setattr(trees, "TASKS", tasks)
+        forest = trees.SparseRandomForest(**COLUMNS, seed=1, numTrees=3, maxDepth=3).fit(many)
+        found.append((shape(forest), [list(m.coefficients.toArray()) for m in logistic.fit(many).models]))
+    assert found[0] == found[1]
+    monkeypatch.undo()
+    wide = train.repartition(500)
+    most = trees.TASKS * spark.sparkContext.defaultParallelism
+    assert trees.in_few_tasks(wide).rdd.getNumPartitions() == most < 500
+    many.unpersist()
