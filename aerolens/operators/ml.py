@@ -1,7 +1,8 @@
 """Train/test splits, feature preparation and classifiers.
 
-All fitting is Spark ML: category indexing and encoding are distributed
-aggregates, and every classifier trains from partition-level statistics.
+Category indexing and encoding are distributed aggregates, and every classifier
+trains from partition-level statistics: Spark ML's estimators, whose fits run over
+packed sparse rows (``trees``, ``linear``, ``perceptron``) and give Spark's models.
 The driver only loops over the (few) models.
 
 Differences from a naive script, on purpose:
@@ -210,8 +211,8 @@ def vector_summary(df: DataFrame, by: Sequence[str] = (), col: str = FEATURES) -
     )
 
 
-#: Partitions that models are fitted on, at least, and the most rows meant for one: a
-#: fit keeps a row's whole vector (about 1 KB for trees, 2 KB for a perceptron), and a
+#: Partitions that models are fitted on, at least, and the most rows meant for one: fits
+#: left to Spark keep a row's whole vector (about 1 KB for trees), and a
 #: partition that doesn't fit into memory is read from disk in each pass. The number is
 #: part of a fit, so it follows from the rows and not from the input's layout.
 FIT_PARTITIONS = 8
@@ -263,8 +264,8 @@ def perceptron(
     )
 
 
-# One-vs-rest fits one binary model per class; they are independent, so they
-# run as concurrent Spark jobs (one per class of the three labels).
+# One-vs-rest fits one binary model per class; they are independent and share their
+# passes. Fits left to Spark run as concurrent jobs (one per class of the three labels).
 OVR_PARALLELISM = 3
 
 

@@ -3,7 +3,7 @@
 Spark's own fit writes every row out as one bin for each place of its vector (over
 1 KB for flights, whose vectors hold nine values), keeps these rows and visits all
 places of each in every pass. Here the rows are packed once as the bins of the
-values they hold, some 20 bytes; a pass counts those, and what a node's rows have at
+values they hold, some 26 bytes; a pass counts those, and what a node's rows have at
 zero follows from its total. Split candidates, the gain, the order of nodes, the
 features drawn for a node, stopping and pruning are those of Spark's estimators, so
 a tree is the same; a forest's bootstrap draws the same Poisson counts from another
